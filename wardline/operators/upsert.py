@@ -31,10 +31,16 @@ def merge_into_table(
     updates.alias("updates").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
+def by_month(df: DataFrame, month: str = "year_month") -> DataFrame:
+    """Rows gathered by month for writing. Rebalancing splits a month that is too large for
+    one task and merges small ones, so neither hot months nor many tiny files arise."""
+    return df.hint("rebalance", month)
+
+
 def overwrite_months(df: DataFrame, path: str, month: str = "year_month") -> None:
     """Replace exactly the months present in `df`; all other months stay as they are."""
     (
-        df.repartition(month)
+        by_month(df, month)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(month)
@@ -57,7 +63,7 @@ def upsert_months(
     in place: if the job dies, `finish_upsert` with the same scratch folder completes it.
     """
     if not files.exists(spark, path):
-        updates.write.mode("overwrite").partitionBy(month).parquet(path)
+        by_month(updates, month).write.mode("overwrite").partitionBy(month).parquet(path)
         return
     target = spark.read.option("mergeSchema", "true").parquet(path)
     target = target.withColumn(month, F.col(month).cast("string"))
@@ -67,11 +73,11 @@ def upsert_months(
         row[0]
         for row in held.select(month).union(updates.select(month)).distinct().collect()
     ]
-    old = target.filter(F.col(month).isin([m for m in touched if m is not None])
-                        | (F.col(month).isNull() if None in touched else F.lit(False)))
-    merge_rows(old, updates, keys).write.mode("overwrite").partitionBy(month).parquet(
-        f"{scratch}/rows"
-    )
+    in_touched = F.col(month).isin([m for m in touched if m is not None])
+    if None in touched:
+        in_touched = in_touched | F.col(month).isNull()
+    merged = merge_rows(target.filter(in_touched), updates, keys)
+    by_month(merged, month).write.mode("overwrite").partitionBy(month).parquet(f"{scratch}/rows")
     files.write_text(spark, f"{scratch}/months.json", files.to_json(touched))
     finish_upsert(spark, path, scratch, month)
 
@@ -85,7 +91,8 @@ def finish_upsert(
     staged = staged.withColumn(month, F.col(month).cast("string"))
     filled = {row[0] for row in staged.select(month).distinct().collect()}
     (
-        staged.write.mode("overwrite")
+        by_month(staged, month)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(month)
         .parquet(path)
