@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.dates import shift_month
-
 
 def zero_filled(df: DataFrame, counts: Sequence[str]) -> DataFrame:
     """Counts become 0 where a join found nothing; all other measures keep their NULL."""
@@ -39,18 +37,3 @@ def orphan_rows(child: DataFrame, parent: DataFrame, columns: Mapping[str, str])
     keys = parent.select(*[F.col(p).alias(c) for c, p in columns.items()])
     return child.join(keys, list(columns), "left_anti")
 
-
-def lagged(
-    df: DataFrame,
-    keys: Sequence[str],
-    month: str,
-    columns: Mapping[str, str],
-    months: int,
-) -> DataFrame:
-    """`columns` (source -> new name) moved `months` calendar months later, ready for an
-    equi-join on keys and month. Unlike lag(), a gap in the months gives NULL."""
-    return df.select(
-        *keys,
-        shift_month(F.col(month), months).alias(month),
-        *[F.col(source).alias(name) for source, name in columns.items()],
-    )

@@ -32,9 +32,8 @@ from wardline.functions import (
 )
 from wardline.operators import dedup, history, joins, quality, spatial, spine, upsert
 from wardline.operators.ranking import top_ranked
-from wardline.plans import analysis, dims, monthly, serving, staging
-from wardline.plans.kpi import neighborhood_pulse_summary
-from wardline.plans.star import CELL, Star, published_exports
+from wardline.plans import analysis, dims, kpi, monthly, serving, staging
+from wardline.plans.star import CELL, Star, published_exports, stored_star
 from wardline.sources import extract
 from wardline.sources.extract import Cursor, all_strings
 from wardline.streaming import ingest_files, read_raw_table, validate_batch
@@ -330,7 +329,7 @@ def complaint_permit_left(spark, folder):
 
 @query
 def dim_zip_codes(spark, folder):
-    return Star(spark, folder).zips
+    return stored_star(spark, folder).zips
 
 
 @query
@@ -350,18 +349,18 @@ def dim_permit_types(spark, folder):
 
 @query
 def zip_month_spine(spark, folder):
-    star = Star(spark, folder)
+    star = stored_star(spark, folder)
     return spine.zip_month_spine(star.zips, star.dates)
 
 
 @query
 def fact_monthly(spark, folder):
-    return Star(spark, folder).fact
+    return stored_star(spark, folder).fact
 
 
 @query
 def mart_pulse_wide(spark, folder):
-    return Star(spark, folder).pulse
+    return stored_star(spark, folder).pulse
 
 
 @query
@@ -384,27 +383,27 @@ def mart_top_types(spark, folder):
 
 @query
 def kpi_pulse_summary(spark, folder):
-    return neighborhood_pulse_summary(Star(spark, folder).pulse)
+    return kpi.neighborhood_pulse_summary(stored_star(spark, folder).pulse)
 
 
 @query
 def kpi_borough_trends(spark, folder):
-    return Star(spark, folder).lazy_exports["borough_monthly_trends"]
+    return kpi.borough_monthly_trends(stored_star(spark, folder).pulse)
 
 
 @query
 def kpi_log_scale(spark, folder):
-    return Star(spark, folder).lazy_exports["safety_infrastructure_corr"]
+    return kpi.safety_infrastructure_corr(Star(spark, folder).safety)
 
 
 @query
 def kpi_food(spark, folder):
-    return Star(spark, folder).lazy_exports["food_compliance_overview"]
+    return kpi.food_compliance_overview(Star(spark, folder).food)
 
 
 @query
 def kpi_top15(spark, folder):
-    return Star(spark, folder).lazy_exports["complaint_type_rankings"]
+    return kpi.complaint_type_rankings(Star(spark, folder).top_types)
 
 
 @query
@@ -428,7 +427,7 @@ def lag_join(spark, folder):
 
 @query
 def lag_join_dense(spark, folder):
-    star = Star(spark, folder)
+    star = stored_star(spark, folder)
     return analysis.complaint_permit_lag(star.pairs, spine.zip_month_spine(star.zips, star.dates))
 
 
@@ -439,12 +438,12 @@ def lag_correlation(spark, folder):
 
 @query
 def zip_consensus(spark, folder):
-    return dims.zip_consensus(Star(spark, folder).staged)
+    return dims.zip_consensus(stored_star(spark, folder).staged)
 
 
 @query
 def zip_seed(spark, folder):
-    star = Star(spark, folder)
+    star = stored_star(spark, folder)
     return analysis.zip_seed(star.staged, star.permits, star.inspections)
 
 
@@ -522,20 +521,20 @@ def _restaurant_history(star: Star) -> DataFrame:
 
 @query
 def scd2_history(spark, folder):
-    return plain(_restaurant_history(Star(spark, folder)))
+    return plain(_restaurant_history(stored_star(spark, folder)))
 
 
 @query
 def scd2_point_in_time(spark, folder):
     return plain(
-        history.as_of(_restaurant_history(Star(spark, folder)), dt.datetime(2000, 3, 10))
+        history.as_of(_restaurant_history(stored_star(spark, folder)), dt.datetime(2000, 3, 10))
     )
 
 
 @query
 def scd2_transitions(spark, folder):
     return history.transitions(
-        _restaurant_history(Star(spark, folder)),
+        _restaurant_history(stored_star(spark, folder)),
         "restaurant_id",
         "inspection_grade",
         dt.datetime(2000, 2, 10),
@@ -569,7 +568,7 @@ def stream_ingest(spark, folder):
 @query
 def dq_results(spark, folder):
     """Column checks of the four staged tables, keys and references, one row per check."""
-    star = Star(spark, folder)
+    star = stored_star(spark, folder)
     parts = [
         quality.run_checks(
             star.complaints,
@@ -634,7 +633,7 @@ def dq_results(spark, folder):
 @query
 def dq_fact(spark, folder):
     """Score present and in range, key present and unique, zip known to the dimension."""
-    star = Star(spark, folder)
+    star = stored_star(spark, folder)
     return (
         quality.run_checks(
             star.fact,

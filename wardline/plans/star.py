@@ -10,6 +10,8 @@ date functions that differ are passed in by dialect.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +23,15 @@ from wardline.operators.spatial import polygon_table
 from wardline.operators.spine import months_between
 from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
 from wardline.sources.exports import load_exports, publish
+from wardline.sources.tables import spread_small
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 CONTEXT = RunContext(
     as_of=dt.date(2001, 8, 1), run_ts=dt.datetime(2001, 8, 1, 12), run_id="star", job_path="star"
 )
 CELL = 1.0
+# Tables with much work per row, and the key to spread them by while they are small.
+SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 class SparkDialect:
@@ -307,13 +312,31 @@ def raw_polygons_sql(d) -> str:
 class Star:
     """The star tables of one folder as raw sources, and the models built on them, all lazy."""
 
-    def __init__(self, spark: SparkSession, folder: str, ctx: RunContext = CONTEXT):
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        ctx: RunContext = CONTEXT,
+        staged_at: str | None = None,
+    ):
         self.spark = spark
         self.folder = folder
         self.ctx = ctx
+        self.staged_at = staged_at
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
+            df = self.spark.read.parquet(path)
+            self._tables[name] = spread_small(df, path, SPREAD.get(name))
+        return self._tables[name]
+
+    def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The staged table: read back where it is stored, else worked out from raw."""
+        if self.staged_at is None:
+            return build()
+        return self.spark.read.parquet(f"{self.staged_at}/{name}")
 
     def _raw(self, sql: str) -> DataFrame:
         used = {n: self.table(n) for n in TABLES if "{" + n + "}" in sql}
@@ -341,19 +364,28 @@ class Star:
 
     @cached_property
     def complaints(self) -> DataFrame:
-        return staging.stage_complaints(self.raw_complaints, self.ctx)
+        return self._staged(
+            "complaints", lambda: staging.stage_complaints(self.raw_complaints, self.ctx)
+        )
 
     @cached_property
     def permits(self) -> DataFrame:
-        return staging.stage_permits(self.raw_permits, self.ctx)
+        return self._staged(
+            "permits", lambda: staging.stage_permits(self.raw_permits, self.ctx)
+        )
 
     @cached_property
     def inspections(self) -> DataFrame:
-        return staging.stage_inspections(self.raw_inspections, self.ctx)
+        return self._staged(
+            "inspections", lambda: staging.stage_inspections(self.raw_inspections, self.ctx)
+        )
 
     @cached_property
     def arrests(self) -> DataFrame:
-        return staging.stage_arrests(self.raw_arrests, self.ctx, self.polygons, cell=CELL)
+        return self._staged(
+            "arrests",
+            lambda: staging.stage_arrests(self.raw_arrests, self.ctx, self.polygons, cell=CELL),
+        )
 
     @property
     def staged(self) -> list[DataFrame]:
@@ -442,15 +474,37 @@ class Star:
         return kpi.all_exports(self.pulse, self.safety, self.food, self.top_types)
 
 
-_published: dict[tuple[str, str], str] = {}
+STAGED = ("complaints", "permits", "inspections", "arrests")
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, kind: str, folder: str, build: Callable[[str], None]) -> str:
+    """A place in the shared folder, filled by `build` once per application and input folder."""
+    key = (spark.sparkContext.applicationId, kind, folder)
+    if key not in _stored:
+        base = f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}"
+        build(base)
+        _stored[key] = base
+    return _stored[key]
+
+
+def stored_star(spark: SparkSession, folder: str) -> Star:
+    """The star with its staged tables written once and read back. Models that need a staged
+    table more than once build on this, so raw rows are deduplicated and placed only once."""
+
+    def build(base: str) -> None:
+        lazy = Star(spark, folder)
+        for name in STAGED:
+            getattr(lazy, name).write.parquet(f"{base}/{name}")
+
+    return Star(spark, folder, staged_at=_once(spark, "staged", folder, build))
 
 
 def published_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The exports of a folder, published once per application to the shared folder; serving
-    queries then read the small files, as a dashboard does, and not the raw tables."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _published:
-        base = f"{shared_folder(spark)}/exports/{key[0]}-{len(_published)}"
-        publish(spark, Star(spark, folder).lazy_exports, base, CONTEXT)
-        _published[key] = base
-    return load_exports(spark, _published[key])
+    """The exports, published once; serving queries then read the small files, as a dashboard
+    does, and not the raw tables."""
+
+    def build(base: str) -> None:
+        publish(spark, stored_star(spark, folder).lazy_exports, base, CONTEXT)
+
+    return load_exports(spark, _once(spark, "exports", folder, build))
