@@ -84,9 +84,11 @@ def upsert_months(
 
 def finish_upsert(
     spark: SparkSession, path: str, scratch: str, month: str = "year_month"
-) -> None:
-    """Put staged months in place; safe to repeat."""
+) -> bool:
+    """Put staged months in place; safe to repeat. False when nothing is staged."""
     touched = files.from_json(files.read_text(spark, f"{scratch}/months.json"))
+    if touched is None:
+        return False
     staged = spark.read.parquet(f"{scratch}/rows")
     staged = staged.withColumn(month, F.col(month).cast("string"))
     filled = {row[0] for row in staged.select(month).distinct().collect()}
@@ -100,3 +102,4 @@ def finish_upsert(
     for emptied in set(touched) - filled:
         name = "__HIVE_DEFAULT_PARTITION__" if emptied is None else emptied
         files.delete(spark, f"{path}/{month}={name}")
+    return True

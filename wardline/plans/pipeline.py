@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from wardline import fixed_values as fv
 from wardline.context import RunContext
 from wardline.functions import lookback_floor, with_gold_audit
-from wardline.operators import history, quality
-from wardline.operators.upsert import by_month, overwrite_months, upsert_months
+from wardline.operators import history, quality, upsert
 from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
 from wardline.sources import files
 from wardline.sources.exports import publish
@@ -83,6 +82,10 @@ class Pipeline:
             "inspections": lambda r: staging.stage_inspections(r, self.ctx),
         }
         path, state = f"{self.root}/silver/{name}", f"{self.root}/state/{name}.json"
+        scratch = f"{self.root}/state/merge-{name}"
+        # A merge that died after its rows were complete is put in place first.
+        if upsert.finish_upsert(self.spark, path, scratch):
+            files.delete(self.spark, scratch)
         mark = None
         if not full_refresh:
             stored = files.from_json(files.read_text(self.spark, state))
@@ -96,8 +99,7 @@ class Pipeline:
         if mark is None:
             _write_all(rows, path)
         else:
-            scratch = f"{self.root}/state/merge-{name}-{self.ctx.run_id}"
-            upsert_months(self.spark, path, rows, KEYS[name], scratch)
+            upsert.upsert_months(self.spark, path, rows, KEYS[name], scratch)
             files.delete(self.spark, scratch)
         files.write_text(
             self.spark, state, files.to_json({"high_water": newest.isoformat()})
@@ -278,7 +280,7 @@ class Pipeline:
     def _put(self, layer: str, name: str, df: DataFrame, incremental: bool) -> None:
         path = f"{self.root}/{layer}/{name}"
         if incremental:
-            overwrite_months(df, path)
+            upsert.overwrite_months(df, path)
         else:
             _write_all(df, path)
 
@@ -290,7 +292,7 @@ class Pipeline:
 
 def _write_all(df: DataFrame, path: str) -> None:
     (
-        by_month(df)
+        upsert.by_month(df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("year_month")
