@@ -19,6 +19,7 @@ def plan(spark, name):
         "monthly_arrests", "monthly_permits", "monthly_inspections", "mart_top_types",
         "mart_safety_full_outer", "mart_food_full_outer", "lag_join", "upsert_merge",
         "point_in_polygon", "point_in_polygon_shuffled", "orphan_keys",
+        "fact_monthly", "zip_month_spine", "q17_grade_means", "q18_compliance_scatter",
     ],
 )
 def test_no_all_pairs_join_and_no_python(spark, name):

@@ -25,6 +25,7 @@ def months_between(bounds: DataFrame, low: Column, high: Column) -> DataFrame:
 
 
 def zip_month_spine(zips: DataFrame, months: DataFrame) -> DataFrame:
-    """Every zip in every month: a grid of two dimensions, so its size is
-    zips x months by definition and does not depend on the facts."""
-    return zips.select("zip_code", "borough").crossJoin(months.select("year_month"))
+    """Every zip in every month. The months of the date dimension, a few hundred at most, are
+    one array value; each zip row unfolds it where it is, so there is no join of all pairs."""
+    all_months = months.agg(F.array_sort(F.collect_set("year_month"))).scalar()
+    return zips.select("zip_code", "borough", F.explode(all_months).alias("year_month"))

@@ -65,6 +65,9 @@ def upsert_months(
     if not files.exists(spark, path):
         by_month(updates, month).write.mode("overwrite").partitionBy(month).parquet(path)
         return
+    # Stored once: the updates are needed for the key scan, the months and the merge.
+    by_month(updates, month).write.mode("overwrite").parquet(f"{scratch}/updates")
+    updates = spark.read.parquet(f"{scratch}/updates")
     target = spark.read.option("mergeSchema", "true").parquet(path)
     target = target.withColumn(month, F.col(month).cast("string"))
     # Column-pruned key scan: bounded output, one row per month of the table.

@@ -301,17 +301,17 @@ def grade_distribution(
     def percent(value: Column) -> Column:
         return F.round(value.cast("decimal(18,8)") * 100, 1).cast("double")
 
-    totals = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[percent(_exact_mean(g, 4)).alias(g) for g in grades],
+    zips = rows.agg(F.count(F.lit(1))).scalar()
+    each = rows.filter(zips <= mean_above).select(
+        "zip_code", *[percent(F.col(g)).alias(g) for g in grades]
     )
-    # `totals` is one row by construction.
-    each = (
-        rows.crossJoin(totals.select("n"))
-        .filter(F.col("n") <= mean_above)
-        .select("zip_code", *[percent(F.col(g)).alias(g) for g in grades])
+    mean = (
+        rows.agg(
+            F.count(F.lit(1)).alias("n"), *[percent(_exact_mean(g, 4)).alias(g) for g in grades]
+        )
+        .filter(F.col("n") > mean_above)
+        .select(F.lit("ALL").alias("zip_code"), *grades)
     )
-    mean = totals.filter(F.col("n") > mean_above).select(F.lit("ALL").alias("zip_code"), *grades)
     return each.unionByName(mean)
 
 
@@ -325,11 +325,15 @@ def compliance_scatter(food: DataFrame, month: str) -> DataFrame:
         )
         .select("zip_code", "pct_grade_a", "food_complaints_per_inspection", "total_inspections")
     )
-    medians = rows.agg(
-        F.median("pct_grade_a").alias("median_grade_a"),
-        F.median("food_complaints_per_inspection").alias("median_complaints"),
+
+    def middle(column: str) -> Column:
+        return rows.agg(F.median(column)).scalar()
+
+    return rows.select(
+        "*",
+        middle("pct_grade_a").alias("median_grade_a"),
+        middle("food_complaints_per_inspection").alias("median_complaints"),
     )
-    return rows.crossJoin(medians)
 
 
 def inspection_volume(food: DataFrame) -> DataFrame:

@@ -32,11 +32,27 @@ def contract_errors(
     return errors, rows
 
 
-def write_export(spark: SparkSession, df: DataFrame, name: str, base: str, run: str) -> str:
-    """Write one file under the run's folder. The rows are gathered by a shuffle and not by
-    coalesce, which would pull the whole computation above it into a single task."""
-    staged = f"{base}/{run}/{name}.parquet"
-    df.repartition(1).write.mode("overwrite").option("compression", "snappy").parquet(staged)
+def write_export(
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    base: str,
+    run: str,
+    limit: int = MAX_EXPORT_BYTES,
+) -> str:
+    """Write the export as one file under the run's folder.
+
+    It is computed and written in parallel first. Only rows proven to be within the size limit
+    are gathered into a single file; anything larger fails before one task has to hold it.
+    """
+    parts, staged = f"{base}/{run}/_parts/{name}", f"{base}/{run}/{name}.parquet"
+    df.write.mode("overwrite").parquet(parts)
+    size = files.size_of(spark, parts)
+    if size >= limit:
+        raise ValueError(f"export checks failed: {name}: {size} bytes, limit {limit}")
+    one_file = spark.read.parquet(parts).coalesce(1)
+    one_file.write.mode("overwrite").option("compression", "snappy").parquet(staged)
+    files.delete(spark, parts)
     return staged
 
 
