@@ -129,6 +129,14 @@ EXTRACT_SOURCES = {
     ),
 }
 
+# Feeds that fill each raw table.
+RAW_FEEDS = {
+    "complaints": ("service_requests",),
+    "arrests": ("arrests_historic", "arrests_current"),
+    "permits": ("permits",),
+    "inspections": ("inspections",),
+}
+
 # Export contracts: grain keys, required columns, size ceiling.
 MAX_EXPORT_BYTES = 10 * 1024 * 1024
 EXPORT_KEYS = {

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.context import RunContext
-from wardline.fixed_values import INGEST_COLUMNS
+from wardline.fixed_values import INGEST_COLUMNS, RAW_FEEDS
 from wardline.functions.keys import row_hash
 from wardline.operators.quality import null_counts
 from wardline.sources import files
@@ -44,7 +44,7 @@ def current_schema(
     Only new files' footers are read. Columns are added, never dropped or retyped.
     """
     state = files.from_json(files.read_text(spark, state_path))
-    reader = spark.read.option("mergeSchema", "true")
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     known = T.StructType([])
@@ -87,7 +87,8 @@ def ingest_files(
     schema = current_schema(
         spark, source, f"{checkpoint}/{feed}.schema.json", pattern, ctx.run_ts
     )
-    reader = spark.readStream.schema(schema)
+    # Folder names say where a file came from and are not data.
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
@@ -106,6 +107,25 @@ def ingest_files(
     return rows_of_run(spark, target, ctx.run_id, [feed])
 
 
+def ingest_all(
+    spark: SparkSession, landing: str, raw: str, checkpoint: str, ctx: RunContext
+) -> dict[str, int]:
+    """Take in the new files of every feed that has landed any; rows added by raw table."""
+    added: dict[str, int] = {}
+    for table, feeds in RAW_FEEDS.items():
+        for feed in feeds:
+            source = f"{landing}/{feed}"
+            if files.exists(spark, source):
+                rows = ingest_files(spark, source, f"{raw}/{table}", checkpoint, ctx, feed)
+                added[table] = added.get(table, 0) + rows
+    return added
+
+
+def raw_tables(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
+    """The raw tables by name, each over all its feeds."""
+    return {t: read_raw_table(spark, f"{raw}/{t}", feeds) for t, feeds in RAW_FEEDS.items()}
+
+
 def read_raw_table(
     spark: SparkSession, target: str, feeds: Sequence[str] = ("main",)
 ) -> DataFrame:
