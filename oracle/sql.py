@@ -598,7 +598,7 @@ QUERIES = {
     "kpi_food": "SELECT * FROM food",
     "kpi_top15": "SELECT * FROM rankings",
     "kpi_top3": "SELECT * FROM top_types WHERE borough_rank <= 3",
-    "log_scaled_prices": "SELECT o_orderkey, round(log10(o_custkey + 1), 4) AS log_cust FROM orders",
+    "log_scaled_values": "SELECT o_orderkey, round(log10(o_custkey + 1), 4) AS log_cust FROM orders",
     "lag_join": lag("lag_source"),
     "lag_join_dense": lag("dense_pairs"),
     "lag_correlation": f"""SELECT {CORR.format(x='noise_complaints_t', y='new_building_count_t_minus_1')} AS noise_lag_1,

@@ -57,6 +57,16 @@ def test_upsert_months(spark, folder):
     assert stored(spark, path) == expected
 
 
+def test_upsert_with_new_columns(spark, folder):
+    path = f"{folder}/t"
+    upsert.upsert_months(spark, path, table(spark, (1, "a", "2024-01")), ["id"], f"{folder}/s0")
+    for n, month in ((2, "2024-02"), (3, "2024-01")):
+        wide = spark.createDataFrame([(n, "b", month, "x")], SCHEMA + ", extra string")
+        upsert.upsert_months(spark, path, wide, ["id"], f"{folder}/s{n}", evolving=True)
+    merged = spark.read.option("mergeSchema", True).parquet(path)
+    assert rows(merged, "id", "extra") == [(1, None), (2, "x"), (3, "x")]
+
+
 def test_interrupted_upsert_can_be_finished(spark, folder):
     path, scratch = f"{folder}/t", f"{folder}/s"
     first = table(spark, (1, "a", "2024-01"), (2, "b", "2024-01"), (3, "c", "2024-02"))

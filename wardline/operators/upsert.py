@@ -55,12 +55,14 @@ def upsert_months(
     keys: Sequence[str],
     scratch: str,
     month: str = "year_month",
+    evolving: bool = False,
 ) -> None:
     """Upsert into a parquet table laid out by month, rewriting only the months it touches.
 
     Touched are the months of the updates and the months in which their keys sit now, so a
     key may move. The merged months are first written whole to `scratch` and only then put
     in place: if the job dies, `finish_upsert` with the same scratch folder completes it.
+    With `evolving` updates may bring new columns; finding all columns opens every file.
     """
     if not files.exists(spark, path):
         by_month(updates, month).write.mode("overwrite").partitionBy(month).parquet(path)
@@ -68,7 +70,7 @@ def upsert_months(
     # Stored once: the updates are needed for the key scan, the months and the merge.
     by_month(updates, month).write.mode("overwrite").parquet(f"{scratch}/updates")
     updates = spark.read.parquet(f"{scratch}/updates")
-    target = spark.read.option("mergeSchema", "true").parquet(path)
+    target = spark.read.option("mergeSchema", evolving).parquet(path)
     target = target.withColumn(month, F.col(month).cast("string"))
     # Column-pruned key scan: bounded output, one row per month of the table.
     held = target.select(*{*keys, month}).join(updates.select(*keys), list(keys), "left_semi")

@@ -63,7 +63,7 @@ class Pipeline:
         return {"incremental": incremental, "warnings": warnings, "manifest": manifest}
 
     def read(self, layer: str, name: str) -> DataFrame:
-        df = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{layer}/{name}")
+        df = self.spark.read.parquet(f"{self.root}/{layer}/{name}")
         if "year_month" in df.columns:
             df = df.withColumn("year_month", F.col("year_month").cast("string"))
         return df

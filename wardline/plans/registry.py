@@ -412,7 +412,7 @@ def kpi_top3(spark, folder):
 
 
 @query
-def log_scaled_prices(spark, folder):
+def log_scaled_values(spark, folder):
     orders = Star(spark, folder).table("orders")
     return orders.select("o_orderkey", log_scaled(F.col("o_custkey")).alias("log_cust"))
 

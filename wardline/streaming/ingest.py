@@ -16,6 +16,10 @@ from wardline.functions.keys import row_hash
 from wardline.operators.quality import null_counts
 from wardline.sources import files
 
+INGEST_SCHEMA = (
+    "_row_hash string, _ingested_at timestamp, _source_file string, _ingest_date string, "
+    "_job_run_id string, _notebook_path string, _source_system string"
+)
 # Files may appear late in a listing; the next schema scan reaches back this far.
 SCAN_OVERLAP = dt.timedelta(hours=1)
 
@@ -36,6 +40,10 @@ def with_ingest_columns(df: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
+def schema_path(target: str, feed: str) -> str:
+    return f"{target}/{feed}.schema.json"
+
+
 def current_schema(
     spark: SparkSession, source: str, state_path: str, pattern: str | None, scan_time: dt.datetime
 ) -> T.StructType:
@@ -84,9 +92,7 @@ def ingest_files(
     table. The checkpoint knows the files taken and the sink's log the files committed, so a
     restarted run neither skips nor repeats rows.
     """
-    schema = current_schema(
-        spark, source, f"{checkpoint}/{feed}.schema.json", pattern, ctx.run_ts
-    )
+    schema = current_schema(spark, source, schema_path(target, feed), pattern, ctx.run_ts)
     # Folder names say where a file came from and are not data.
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if pattern:
@@ -129,12 +135,16 @@ def raw_tables(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
 def read_raw_table(
     spark: SparkSession, target: str, feeds: Sequence[str] = ("main",)
 ) -> DataFrame:
-    """The raw table over its feeds; columns a file lacked are NULL."""
+    """The raw table over its feeds; columns a file lacked are NULL. The schema is the stored
+    one, so no file needs to be opened to find it."""
     table = None
     for feed in feeds:
         if not files.exists(spark, f"{target}/{feed}/_spark_metadata/0"):
             continue
-        part = spark.read.option("mergeSchema", "true").parquet(f"{target}/{feed}")
+        state = files.from_json(files.read_text(spark, schema_path(target, feed)))
+        fields = T.StructType.fromJson(state["schema"]).fields
+        schema = T.StructType(fields + T.StructType.fromDDL(INGEST_SCHEMA).fields)
+        part = spark.read.schema(schema).parquet(f"{target}/{feed}")
         table = part if table is None else table.unionByName(part, allowMissingColumns=True)
     if table is None:
         raise ValueError(f"no rows were ever ingested into {target}")
