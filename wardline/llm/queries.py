@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, secrets, warc
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -29,9 +29,53 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def span_digests(found: DataFrame, kinds: tuple[str, ...], base: int) -> DataFrame:
+    """The digest columns of a span query: the first `base` kinds count and are hashed."""
+    fixed = F.filter("spans", lambda s: s["kind_no"] < base)
+    counts = [
+        F.size(F.filter("spans", lambda s, i=i: s["kind_no"] == i)).cast("long").alias(f"n_{kind}")
+        for i, kind in enumerate(kinds[:base])
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.joined(fixed), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return span_digests(secrets.scan(docs, secrets.train(docs)), secrets.KINDS, 3)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(spark, folder, manifest, payloads=False).select(
+        F.col("record_key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, coalesce(html, '') AS h FROM pages
+), k AS (
+  SELECT h, max(page_id) AS keeper FROM p WHERE octet_length(b) >= 1000 GROUP BY h HAVING count(*) > 1
+)
+SELECT page_id, octet_length(b) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN keeper IS NULL OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keeper IS NULL OR page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM p LEFT JOIN k USING (h)
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_byte_bpe": op7_byte_bpe}
+    return {"op7_byte_bpe": op7_byte_bpe, "op9_secrets": op9_secrets, "op10_warc": op10_warc}
 
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return {"op10_warc": OP10_SQL}
