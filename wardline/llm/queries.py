@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secrets, warc
+from . import bpe, pii, secrets, warc
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,6 +44,11 @@ def span_digests(found: DataFrame, kinds: tuple[str, ...], base: int) -> DataFra
     )
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return span_digests(pii.scan(docs, pii.train(docs)), pii.KINDS, pii.BASE)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return span_digests(secrets.scan(docs, secrets.train(docs)), secrets.KINDS, 3)
@@ -74,7 +79,7 @@ FROM p LEFT JOIN k USING (h)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_byte_bpe": op7_byte_bpe, "op9_secrets": op9_secrets, "op10_warc": op10_warc}
+    return {"op1_pii": op1_pii, "op7_byte_bpe": op7_byte_bpe, "op9_secrets": op9_secrets, "op10_warc": op10_warc}
 
 
 def llm_oracle() -> dict[str, str]:
