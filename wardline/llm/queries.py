@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, secrets, warc
-from .common import table
+from . import bpe, langid, pii, rules, secrets, warc
+from .common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -49,6 +49,26 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(pii.scan(docs, pii.train(docs)), pii.KINDS, pii.BASE)
 
 
+def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = rules.train(docs, labels.filter(~held_out(F.col("doc_id"))))
+    return rules.score(docs, model, ["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op8_language_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~held_out(F.col("doc_id")))
+    return langid.predict(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return span_digests(secrets.scan(docs, secrets.train(docs)), secrets.KINDS, 3)
@@ -79,7 +99,14 @@ FROM p LEFT JOIN k USING (h)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op7_byte_bpe": op7_byte_bpe, "op9_secrets": op9_secrets, "op10_warc": op10_warc}
+    return {
+        "op1_pii": op1_pii,
+        "op2_rule_ensemble": op2_rule_ensemble,
+        "op7_byte_bpe": op7_byte_bpe,
+        "op8_language_shares": op8_language_shares,
+        "op9_secrets": op9_secrets,
+        "op10_warc": op10_warc,
+    }
 
 
 def llm_oracle() -> dict[str, str]:
