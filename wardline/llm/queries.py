@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, pii, rules, secrets, warc
+from . import bpe, langid, pii, rules, secrets, tiling, warc
 from .common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -61,6 +61,11 @@ def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op8_language_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, ~held_out(F.col("doc_id")))
@@ -102,6 +107,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
         "op2_rule_ensemble": op2_rule_ensemble,
+        "op4_string_tiling": op4_string_tiling,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language_shares": op8_language_shares,
         "op9_secrets": op9_secrets,

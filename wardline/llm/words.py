@@ -83,23 +83,29 @@ class Words:
             at = upto
         return out
 
+    def runs(self, length: int) -> np.ndarray:
+        """Hash of the run at each word; runs that cross rows are to be left out by the caller.
+
+        A row with exactly fewer words than a shingle has the hash of its run of that length, so
+        short sequences can be looked up inside longer rows.
+        """
+        full = max(0, len(self.hash) - length + 1)
+        acc = np.full(full, length, np.uint64)
+        for j in range(length):
+            acc += self.hash[j : j + full] * _PLACES[j]
+        return _mix(acc)
+
     def shingles(self, n: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(row, hash) of each run of n words; rows with fewer give their whole sequence once."""
-        total = len(self.hash)
-        full = max(0, total - n + 1)
-        acc = np.zeros(full, np.uint64)
-        for j in range(n):
-            acc += self.hash[j : j + full] * _PLACES[j]
-        row = self.row[:full]
-        same = row == self.row[n - 1 : n - 1 + full]
-        rows, hashes = [row[same]], [_mix(acc[same])]
+        rows, hashes = [], []
+        full = max(0, len(self.hash) - n + 1)
+        same = self.row[:full] == self.row[n - 1 : n - 1 + full]
+        rows.append(self.row[:full][same])
+        hashes.append(self.runs(n)[same])
         for k in range(1, n if short else 1):
             few = np.flatnonzero(self.count == k)
-            acc = np.full(len(few), k, np.uint64)
-            for j in range(k):
-                acc += self.hash[self.first[few] + j] * _PLACES[j + 128]
             rows.append(few)
-            hashes.append(_mix(acc))
+            hashes.append(self.runs(k)[self.first[few]])
         return np.concatenate(rows), np.concatenate(hashes)
 
 
