@@ -83,3 +83,21 @@ def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
         for c, f in zip(columns, schema, strict=True)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+#: Cells of a fixed-size set of hashes (512 KB) and of one of its pages.
+CELLS, PAGE = 1 << 22, 1 << 15
+
+
+def bitmap(df: DataFrame, column: str) -> bytes:
+    """Bits of the cells that the column's 64-bit hashes fall into: at most 128 rows reach the driver."""
+    cells = df.select(F.pmod(column, F.lit(CELLS)).alias("cell"))
+    pages = (
+        cells.groupBy((F.col("cell") / PAGE).cast("long").alias("page"))
+        .agg(F.bitmap_construct_agg(F.col("cell") % PAGE).alias("bits"))
+        .collect()
+    )
+    out = bytearray(CELLS // 8)
+    for p in pages:
+        out[p["page"] * PAGE // 8 : (p["page"] + 1) * PAGE // 8] = p["bits"]
+    return bytes(out)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, pii, rules, secrets, tiling, warc
+from . import bpe, jaccard, langid, pii, pivots, rules, secrets, tiling, warc
 from .common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -61,11 +61,19 @@ def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
 
 
+def op5_token_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_classes(table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op8_language_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, ~held_out(F.col("doc_id")))
@@ -107,7 +115,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
         "op2_rule_ensemble": op2_rule_ensemble,
+        "op3_pivot_index": op3_pivot_index,
         "op4_string_tiling": op4_string_tiling,
+        "op5_token_combinations": op5_token_combinations,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language_shares": op8_language_shares,
         "op9_secrets": op9_secrets,

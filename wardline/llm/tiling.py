@@ -24,13 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, record, slices, stored
+from .common import CELLS, bitmap, map_batches, record, slices, stored
 from .words import Words
 
 SEED = 4
 COVERAGE = 0.8
-_BITS = 1 << 22
-_PAGE = 1 << 15
 _MOD, _RADIX = (1 << 61) - 1, 1_000_003
 
 
@@ -125,9 +123,9 @@ def _runs_of(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(same), words.runs(length)[same]
 
 
-def _document_hits(bitmap, lengths: list[int], schema: pa.Schema):
+def _document_hits(cells, lengths: list[int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").view(bool)
+        bits = np.unpackbits(np.frombuffer(cells.value, np.uint8), bitorder="little").view(bool)
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"), letters_only=True)
@@ -135,7 +133,7 @@ def _document_hits(bitmap, lengths: list[int], schema: pa.Schema):
                 hits, at_row = [], []
                 for length in lengths:
                     at, hashes = _runs_of(words, length)
-                    yes = bits[(hashes % np.uint64(_BITS)).astype(np.int64)]
+                    yes = bits[(hashes % np.uint64(CELLS)).astype(np.int64)]
                     at, hashes = at[yes], hashes[yes]
                     np.add.at(covered, at, 1)
                     np.add.at(covered, at + length, -1)
@@ -196,17 +194,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE) -> Dat
         r["n"] for r in known.select(F.least(F.size("tokens"), F.lit(SEED)).alias("n")).distinct().collect()
     )
     seeds = known.select("item", F.size("tokens").alias("n"), F.posexplode("seeds").alias("at", "seed"))
-    cell = F.pmod("seed", F.lit(_BITS))  # the low bits, as the tasks take them
-    pages = (
-        seeds.select(cell.alias("cell"))
-        .groupBy((F.col("cell") / _PAGE).cast("long").alias("page"))
-        .agg(F.bitmap_construct_agg(F.col("cell") % _PAGE).alias("bits"))
-        .collect()
-    )  # at most _BITS / _PAGE rows of 4 KB
-    bitmap = bytearray(_BITS // 8)
-    for page in pages:
-        bitmap[page["page"] * _PAGE // 8 : (page["page"] + 1) * _PAGE // 8] = page["bits"]
-
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"), F.lower("text").alias("text"),
@@ -215,7 +202,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE) -> Dat
         [("row", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
          ("tokens", pa.list_(pa.int64())), ("seeds", pa.list_(pa.int64()))]
     )
-    shared = spark.sparkContext.broadcast(bytes(bitmap))
+    shared = spark.sparkContext.broadcast(bitmap(seeds, "seed"))
     hits = stored(
         map_batches(
             rows, _document_hits(shared, lengths or [SEED], hit_schema),
