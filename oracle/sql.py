@@ -177,7 +177,11 @@ def _edges() -> str:
 
 
 AUDIT = "_row_hash, _ingested_at, _source_file, _ingest_date"
-AS_OF = "DATE '2001-08-01'"
+AS_OF = "DATE '2001-11-30'"
+# Some ids are null and some repeat.
+POINT_ID = (
+    "CASE WHEN arrest_id % 11 = 0 THEN NULL WHEN arrest_id % 7 = 0 THEN arrest_id - 1 ELSE arrest_id END AS point_id"
+)
 SINCE = "TIMESTAMP '2000-01-01 00:00:00'"
 
 
@@ -267,6 +271,12 @@ def restaurants(where: str) -> str:
             grade_assigned_date DESC NULLS LAST, inspection_record_key ASC) = 1"""
 
 
+def restaurants_at(moment: str) -> str:
+    """The newest row per restaurant up to a moment, without restaurants not seen for 180 days."""
+    newest = restaurants(f"inspection_date <= DATE '{moment}'")
+    return f"SELECT * FROM ({newest}) WHERE inspection_date >= DATE '{moment}' - 180"
+
+
 def snapshot(before: str, current: str, at: str) -> str:
     same = " AND ".join(
         f"o.{c} IS NOT DISTINCT FROM n.{c}"
@@ -446,12 +456,16 @@ CTES = {
         {', '.join(f"coalesce({c}, 0) AS {c}" for c in ('total_permits_issued', 'active_permits', 'new_building_count'))}
         FROM spine s LEFT JOIN pairs USING (zip_code, year_month)
         WHERE coalesce(total_complaints, 0) > 0 OR coalesce(total_permits_issued, 0) > 0""",
-    "s1": restaurants("inspection_type = 'Initial' AND year_month = '2000-01'"),
-    "s2": restaurants("inspection_type = 'Initial' AND year_month = '2000-02'"),
-    "s3": restaurants("inspection_type = 'Initial' AND year_month = '2000-03'"),
-    "h1": "SELECT *, TIMESTAMP '2000-01-31' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM s1",
-    "h2": snapshot("h1", "s2", "2000-02-29"),
-    "h3": snapshot("h2", "s3", "2000-03-31"),
+    "s1": restaurants_at("1998-06-30"),
+    "s2": restaurants_at("1999-12-31"),
+    "s3": restaurants_at("2000-12-31"),
+    "s4": restaurants_at("2001-06-30"),
+    "s5": restaurants_at("2001-11-30"),
+    "h1": "SELECT *, TIMESTAMP '1998-06-30' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM s1",
+    "h2": snapshot("h1", "s2", "1999-12-31"),
+    "h3": snapshot("h2", "s3", "2000-12-31"),
+    "h4": snapshot("h3", "s4", "2001-06-30"),
+    "h5": snapshot("h4", "s5", "2001-11-30"),
 }
 
 
@@ -569,9 +583,9 @@ QUERIES = {
     "landing_strings": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
         o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
         o_orderpriority FROM orders""",
-    "point_in_polygon": "SELECT arrest_id AS point_id, latitude, longitude, zip_code, zip_code_source FROM arrests",
-    "point_in_polygon_shuffled": "SELECT arrest_id AS point_id, latitude, longitude, zip_code, zip_code_source FROM arrests",
-    "point_without_polygons": """SELECT arrest_id AS point_id, latitude, longitude, 'UNKNOWN' AS zip_code,
+    "point_in_polygon": f"SELECT {POINT_ID}, latitude, longitude, zip_code, zip_code_source FROM arrests",
+    "point_in_polygon_shuffled": f"SELECT {POINT_ID}, latitude, longitude, zip_code, zip_code_source FROM arrests",
+    "point_without_polygons": f"""SELECT {POINT_ID}, latitude, longitude, 'UNKNOWN' AS zip_code,
         'borough_fallback' AS zip_code_source FROM typed_arrests""",
     "monthly_complaints": "SELECT * FROM m_complaints",
     "monthly_arrests": "SELECT * FROM m_arrests",
@@ -624,16 +638,16 @@ QUERIES = {
         WHERE (l_shipdate, l_orderkey, l_linenumber, l_partkey) > ('1998-03-10 00:00:00', '5', '3', '0')
         ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey LIMIT 1000""",
     "upsert_merge": "SELECT * FROM permits",
-    "lookback_recompute": f"""SELECT * FROM ({monthly_permits(stage_permits(latest("(SELECT * FROM raw_permits WHERE _ingested_at <= TIMESTAMP '2001-06-01 00:00:00')", "job__, permit_sequence__")))}) old
-        WHERE NOT EXISTS (SELECT 1 FROM m_permits m WHERE m.year_month >= '2001-05' AND m.zip_code = old.zip_code AND m.year_month = old.year_month)
-        UNION ALL SELECT * FROM m_permits WHERE year_month >= '2001-05'""",
-    "scd2_history": "SELECT * FROM h3",
-    "scd2_point_in_time": """SELECT * FROM h3 WHERE valid_from <= TIMESTAMP '2000-03-10'
-        AND (valid_to IS NULL OR valid_to > TIMESTAMP '2000-03-10')""",
+    "lookback_recompute": f"""SELECT * FROM ({monthly_permits(stage_permits(latest("(SELECT * FROM raw_permits WHERE _ingested_at <= TIMESTAMP '2001-10-01 00:00:00')", "job__, permit_sequence__")))}) old
+        WHERE NOT EXISTS (SELECT 1 FROM m_permits m WHERE m.year_month >= '2001-09' AND m.zip_code = old.zip_code AND m.year_month = old.year_month)
+        UNION ALL SELECT * FROM m_permits WHERE year_month >= '2001-09'""",
+    "scd2_history": "SELECT * FROM h5",
+    "scd2_point_in_time": """SELECT * FROM h5 WHERE valid_from <= TIMESTAMP '2000-06-10'
+        AND (valid_to IS NULL OR valid_to > TIMESTAMP '2000-06-10')""",
     "scd2_transitions": """SELECT a.inspection_grade AS inspection_grade_then, b.inspection_grade AS inspection_grade_now, count(*) AS keys
-        FROM h3 a JOIN h3 b USING (restaurant_id)
+        FROM h5 a JOIN h5 b USING (restaurant_id)
         WHERE a.valid_from <= TIMESTAMP '2000-02-10' AND (a.valid_to IS NULL OR a.valid_to > TIMESTAMP '2000-02-10')
-          AND b.valid_from <= TIMESTAMP '2000-04-10' AND (b.valid_to IS NULL OR b.valid_to > TIMESTAMP '2000-04-10')
+          AND b.valid_from <= TIMESTAMP '2001-07-10' AND (b.valid_to IS NULL OR b.valid_to > TIMESTAMP '2001-07-10')
         GROUP BY ALL""",
     "stream_ingest": "SELECT event_type, 'first' AS _job_run_id, count(*) AS rows, count(DISTINCT event_id) AS hashes FROM events GROUP BY event_type",
     "dq_results": " UNION ALL ".join(

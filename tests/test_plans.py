@@ -1,5 +1,7 @@
 """Plans keep the shape they need at scale."""
 
+import re
+
 import pytest
 from conftest import TESTDATA, plan_of
 
@@ -30,7 +32,12 @@ def test_no_all_pairs_join_and_no_python(spark, name):
 
 @pytest.mark.parametrize("name", ["stg_permits", "dedup_latest", "current_restaurants"])
 def test_ranked_dedup_is_limited_before_the_shuffle(spark, name):
-    assert "WindowGroupLimit" in plan(spark, name)
+    text = plan(spark, name)
+    # Plans print children below parents: the partial limit stands under the final one's exchange.
+    final, partial = text.index("Final"), text.index("Partial")
+    assert re.search(r"WindowGroupLimit .*Final", text) and re.search(r"WindowGroupLimit .*Partial", text)
+    between = text[final:partial]
+    assert between.count("Exchange hashpartitioning") == 1
 
 
 def test_counts_are_combined_before_the_shuffle(spark):

@@ -48,7 +48,7 @@ def test_points(spark, polygons, cell, limit):
     points = spark.createDataFrame(
         [(i, x, y) for i, x, y, _ in POINTS], "id int, longitude double, latitude double"
     )
-    placed = spatial.assign_zip(points, polygons, "id", cell=cell, broadcast_limit=limit)
+    placed = spatial.assign_zip(points, polygons, cell=cell, broadcast_limit=limit)
     expected = sorted(
         (i, z or "UNKNOWN", "spatial" if z else "borough_fallback") for i, _, _, z in POINTS
     )
@@ -76,13 +76,26 @@ def test_random_points_match_brute_force(spark, polygons):
     points = spark.createDataFrame(data, "id int, longitude double, latitude double")
     expected = sorted(((i, brute(x, y)) for i, x, y in data), key=repr)
     for cell, limit in ((0.7, spatial.BROADCAST_LIMIT_BYTES), (2.5, 0)):
-        placed = spatial.assign_zip(points, polygons, "id", cell=cell, broadcast_limit=limit)
+        placed = spatial.assign_zip(points, polygons, cell=cell, broadcast_limit=limit)
         assert rows(placed, "id", "zip_code") == expected
 
 
+@pytest.mark.parametrize("limit", [spatial.BROADCAST_LIMIT_BYTES, 0])
+def test_null_and_repeated_ids_keep_their_own_zip(spark, polygons, limit):
+    points = spark.createDataFrame(
+        [(None, 0.5, 0.5), (7, 0.5, 0.5), (7, 9.0, 1.0), (8, 50.0, 50.0), (None, 9.0, 1.0)],
+        "id int, longitude double, latitude double",
+    )
+    placed = spatial.assign_zip(points, polygons, cell=1.0, broadcast_limit=limit)
+    assert rows(placed, "id", "longitude", "zip_code") == sorted(
+        [(None, 0.5, "10001"), (7, 0.5, "10001"), (7, 9.0, "10003"), (8, 50.0, "UNKNOWN"), (None, 9.0, "10003")],
+        key=repr,
+    )
+
+
 def test_small_cover_never_shuffles_points(spark, polygons):
     points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, longitude double, latitude double")
-    plan = plan_of(spatial.assign_zip(points, polygons, "id", cell=1.0))
+    plan = plan_of(spatial.assign_zip(points, polygons, cell=1.0))
     assert "BroadcastHashJoin" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "SortMergeJoin" not in plan
@@ -125,4 +138,4 @@ def test_polygon_table_is_loaded_once(spark, folder):
 
 def test_no_polygon_table(spark):
     points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, longitude double, latitude double")
-    assert one(spatial.assign_zip(points, None, "id"), "zip_code") == ("UNKNOWN",)
+    assert one(spatial.assign_zip(points, None), "zip_code") == ("UNKNOWN",)

@@ -114,21 +114,21 @@ def inside(edges: Column, x: Column, y: Column) -> Column:
 def assign_zip(
     points: DataFrame,
     polygons: DataFrame | None,
-    point_id: str,
     latitude: str = "latitude",
     longitude: str = "longitude",
     cell: float = 0.01,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    salts: int = 16,
 ) -> DataFrame:
     """Adds `zip_code` and `zip_code_source`; every point keeps exactly one row.
 
     Where polygons overlap the lowest zip wins. Points without coordinates or outside all
     polygons, and all points when there is no polygon table, get the fallback labels.
 
-    The cover is measured first. Small enough, its cells are broadcast and the points are
-    never shuffled. Otherwise points and cells meet in a shuffle; the cells are repeated over
-    `salts`, so a cell with a large part of all points is spread over that many tasks.
+    Each cell of the cover is one row with its candidate polygons, so a point meets at most one
+    row and keys play no part: null and repeated ids keep their own zips. The cover is measured
+    first. Small enough, it is broadcast and the points are never shuffled; otherwise both sides
+    are shuffled by cell, where adaptive execution splits cells with many points. The rows are
+    the same either way.
     """
     if polygons is None:
         return _labelled(points.withColumn("_zip", F.lit(None).cast("string")))
@@ -140,46 +140,17 @@ def assign_zip(
     placed = points.withColumns(
         {"cell_x": F.floor(_number(x) / cell), "cell_y": F.floor(_number(y) / cell)}
     )
-    if rows * BYTES_PER_CANDIDATE + edges * BYTES_PER_EDGE <= broadcast_limit:
-        matched = _match_broadcast(placed, cover, x, y)
-    else:
-        matched = _match_shuffled(placed, cover, point_id, x, y, salts)
-    return _labelled(matched.drop("cell_x", "cell_y"))
-
-
-def _match_broadcast(placed: DataFrame, cover: DataFrame, x: Column, y: Column) -> DataFrame:
-    # Candidates per cell come from the measured cover only, never from points.
+    # Candidates per cell come from the cover only, never from points.
     by_cell = cover.groupBy("cell_x", "cell_y").agg(
         F.collect_list(F.struct("zip_code", "edges")).alias("_candidates")
     )
+    if rows * BYTES_PER_CANDIDATE + edges * BYTES_PER_EDGE <= broadcast_limit:
+        by_cell = F.broadcast(by_cell)
     hits = F.filter("_candidates", lambda c: inside(c.edges, x, y))
-    lowest = F.array_min(F.transform(hits, lambda c: c.zip_code))
-    return (
-        placed.join(F.broadcast(by_cell), ["cell_x", "cell_y"], "left")
-        .withColumn("_zip", lowest)
-        .drop("_candidates")
-    )
-
-
-def _match_shuffled(
-    placed: DataFrame, cover: DataFrame, point_id: str, x: Column, y: Column, salts: int
-) -> DataFrame:
-    repeated = cover.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    probe = placed.filter(F.col("cell_x").isNotNull() & F.col("cell_y").isNotNull()).select(
-        F.col(point_id),
-        x.alias("_x"),
-        y.alias("_y"),
-        "cell_x",
-        "cell_y",
-        F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("int").alias("_salt"),
-    )
-    hits = (
-        probe.join(repeated, ["cell_x", "cell_y", "_salt"])
-        .filter(inside(F.col("edges"), F.col("_x"), F.col("_y")))
-        .groupBy(point_id)
-        .agg(F.min("zip_code").alias("_zip"))
+    matched = placed.join(by_cell, ["cell_x", "cell_y"], "left").withColumn(
+        "_zip", F.array_min(F.transform(hits, lambda c: c.zip_code))
     )
-    return placed.join(hits, point_id, "left")
+    return _labelled(matched.drop("cell_x", "cell_y", "_candidates"))
 
 
 def _number(value: Column) -> Column:

@@ -44,7 +44,16 @@ MONTH = "1998-05"
 ZIP = "NATION_7"
 BOROUGH = "BROOKLYN"
 SINCE = dt.datetime(2000, 1, 1)
-RUNS = (dt.datetime(2000, 1, 31), dt.datetime(2000, 2, 29), dt.datetime(2000, 3, 31))
+# Moments of the history's runs; the last one lies after all inspections.
+RUNS = (
+    dt.datetime(1998, 6, 30),
+    dt.datetime(1999, 12, 31),
+    dt.datetime(2000, 12, 31),
+    dt.datetime(2001, 6, 30),
+    dt.datetime(2001, 11, 30),
+)
+# A restaurant without an inspection for so long is gone from a run's source.
+GONE_DAYS = 180
 
 _queries: dict[str, Query] = {}
 
@@ -268,8 +277,12 @@ def landing_strings(spark, folder):
 
 
 def _points(star: Star) -> DataFrame:
+    # Some ids are null and some repeat, as tolerant casts of raw keys give them.
     return star.raw_arrests.select(
-        F.col("arrest_key").cast("bigint").alias("point_id"),
+        F.expr(
+            "CASE WHEN CAST(arrest_key AS BIGINT) % 11 = 0 THEN NULL WHEN CAST(arrest_key AS BIGINT) % 7 = 0 "
+            "THEN CAST(arrest_key AS BIGINT) - 1 ELSE CAST(arrest_key AS BIGINT) END"
+        ).alias("point_id"),
         tolerant(F.col("latitude"), "double").alias("latitude"),
         tolerant(F.col("longitude"), "double").alias("longitude"),
     )
@@ -278,22 +291,20 @@ def _points(star: Star) -> DataFrame:
 @query
 def point_in_polygon(spark, folder):
     star = Star(spark, folder)
-    return spatial.assign_zip(_points(star), star.polygons, "point_id", cell=CELL)
+    return spatial.assign_zip(_points(star), star.polygons, cell=CELL)
 
 
 @query
 def point_in_polygon_shuffled(spark, folder):
     """The same with the cover treated as too large to broadcast."""
     star = Star(spark, folder)
-    return spatial.assign_zip(
-        _points(star), star.polygons, "point_id", cell=0.5, broadcast_limit=0
-    )
+    return spatial.assign_zip(_points(star), star.polygons, cell=0.5, broadcast_limit=0)
 
 
 @query
 def point_without_polygons(spark, folder):
     star = Star(spark, folder)
-    return spatial.assign_zip(_points(star), None, "point_id")
+    return spatial.assign_zip(_points(star), None)
 
 
 # --- monthly ----------------------------------------------------------------------------
@@ -494,7 +505,7 @@ def lookback_recompute(spark, folder):
     """Monthly permits known before the last load, with the lookback months worked out anew."""
     star = Star(spark, folder)
     raw = star.raw_permits
-    first = dt.datetime(2001, 6, 1)
+    first = dt.datetime(2001, 10, 1)
     old = monthly.monthly_permits(
         staging.stage_permits(raw.filter(F.col("_ingested_at") <= F.lit(first)), star.ctx)
     )
@@ -504,12 +515,12 @@ def lookback_recompute(spark, folder):
 
 
 def _restaurant_history(star: Star) -> DataFrame:
-    """Three monthly runs over the restaurants that had an initial inspection in the month."""
-    initial = star.inspections.filter(F.col("inspection_type") == "Initial")
+    """Runs that each take the newest row per restaurant over all inspections up to then."""
     result = None
     for moment in RUNS:
-        month = moment.strftime("%Y-%m")
-        current = analysis.current_restaurants(initial.filter(F.col("year_month") == month))
+        until = star.inspections.filter(F.col("inspection_date") <= F.lit(moment.date()))
+        lately = F.col("inspection_date") >= F.lit(moment.date() - dt.timedelta(days=GONE_DAYS))
+        current = analysis.current_restaurants(until).filter(lately)
         if result is None:
             result = history.start_history(current, moment)
         else:
@@ -527,7 +538,7 @@ def scd2_history(spark, folder):
 @query
 def scd2_point_in_time(spark, folder):
     return plain(
-        history.as_of(_restaurant_history(stored_star(spark, folder)), dt.datetime(2000, 3, 10))
+        history.as_of(_restaurant_history(stored_star(spark, folder)), dt.datetime(2000, 6, 10))
     )
 
 
@@ -538,7 +549,7 @@ def scd2_transitions(spark, folder):
         "restaurant_id",
         "inspection_grade",
         dt.datetime(2000, 2, 10),
-        dt.datetime(2000, 4, 10),
+        dt.datetime(2001, 7, 10),
     )
 
 

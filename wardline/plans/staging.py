@@ -212,7 +212,7 @@ def stage_arrests(
         "year_month": year_month(tolerant(F.col("arrest_date"), "date")),
     }
     typed = project(base_rows(raw, ARRESTS), ARRESTS, derived, strict, False)
-    placed = assign_zip(typed, polygons, "arrest_id", cell=cell)
+    placed = assign_zip(typed, polygons, cell=cell)
     return with_staging_audit(placed, "stg_arrests", ctx)
 
 

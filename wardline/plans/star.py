@@ -23,15 +23,12 @@ from wardline.operators.spatial import polygon_table
 from wardline.operators.spine import months_between
 from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
 from wardline.sources.exports import load_exports, publish
-from wardline.sources.tables import spread_small
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 CONTEXT = RunContext(
-    as_of=dt.date(2001, 8, 1), run_ts=dt.datetime(2001, 8, 1, 12), run_id="star", job_path="star"
+    as_of=dt.date(2001, 11, 30), run_ts=dt.datetime(2001, 11, 30, 12), run_id="star", job_path="star"
 )
 CELL = 1.0
-# Tables with much work per row, and the key to spread them by while they are small.
-SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 class SparkDialect:
@@ -327,9 +324,7 @@ class Star:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            path = f"{self.folder}/{name}.parquet"
-            df = self.spark.read.parquet(path)
-            self._tables[name] = spread_small(df, path, SPREAD.get(name))
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

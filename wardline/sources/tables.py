@@ -29,8 +29,6 @@ POLYGON_FILE_SCHEMA = """
     modzcta string, zcta5ce10 string, zip_code string, the_geom string, geometry string
 """
 
-SMALL_FILE_BYTES = 256 * 1024 * 1024
-
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -63,21 +61,6 @@ def register_table(spark: SparkSession, namespace: str, name: str, location: str
     return full
 
 
-def spread_small(df: DataFrame, path: str, key: str | None) -> DataFrame:
-    """Spread a table that is one small file over all cores.
-
-    A file with a single row group is read by one task, which would then do all the work per
-    row alone. Tables of real size have row groups for every core and are left as they are.
-    """
-    if key is None:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if files.size_of(spark, path) >= SMALL_FILE_BYTES:
-        return df
-    return df.repartition(cores, key)
-
-
 def without_audit(df: DataFrame) -> DataFrame:
     return df.drop(*GOLD_AUDIT_COLUMNS)
 
