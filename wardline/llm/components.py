@@ -48,19 +48,21 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def block_pairs(keys: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+def block_pairs(keys: DataFrame, weights: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """Deal rows that share a key into blocks, and say which blocks have to meet.
 
-    `keys` has (key, id, weight). An id lives in one block: that of its most shared key, which is
-    cut into blocks of about `most` weight. Two blocks meet if any key has ids in both, once for
-    all keys they share. So every two ids with a common key meet in exactly one pair of blocks,
-    each id is sent once per pair and not once per key, and no task gets more than two blocks.
+    `keys` has (key, id), repeats allowed, and `weights` (id, weight). An id lives in one block:
+    that of its most shared key, which is cut into blocks of about `most` weight. Two blocks meet
+    if any key has ids in both, once for all keys they share. So every two ids with a common key
+    meet in exactly one pair of blocks, each id is sent once per pair and not once per key, and
+    no task gets more than two blocks.
     Returns (home: id, block; pairs: a, b with a <= b).
     """
-    keys = keys.distinct()
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).filter("n > 1")
-    live = stored(keys.join(shared, "key").select("key", "id", "n", "w"), "block-keys")
-    home = live.groupBy("id").agg(F.max(F.struct("n", "key", "w")).alias("h"))
+    shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    live = keys.join(shared.filter("low < high").select("key"), "key").distinct()
+    live = stored(live.join(weights, "id").select("key", "id", "weight"), "block-keys")
+    size = live.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    home = live.join(size, "key").groupBy("id").agg(F.max(F.struct("n", "key", "w")).alias("h"))
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("h.w") / most))
     home = stored(home.select("id", F.xxhash64("h.key", part).alias("block")), "block-home")
     sizes = home.groupBy("block").count()
@@ -72,13 +74,13 @@ def block_pairs(keys: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     return home, stored(across.union(within), "block-pairs")
 
 
-def meet(home: DataFrame, pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def meet(home: DataFrame, pairs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """`rows` (id, ...) once per pair of blocks, with a, b and second (true for rows of b alone)."""
     sides = pairs.select("a", "b", F.col("a").alias("block")).union(
         pairs.filter("a <> b").select("a", "b", F.col("b").alias("block"))
     )
     dealt = sides.join(home, "block").withColumn("second", F.col("block") != F.col("a")).drop("block")
-    return dealt.join(rows, "id")
+    return dealt.join(rows, "id") if rows is not None else dealt
 
 
 class Forest:
