@@ -1,0 +1,120 @@
+"""Personal data and secrets: base spans against plain regular expressions, added spans by example."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from fixtures import awkward, documents
+
+from wardline.llm import pii, secrets
+from wardline.llm.queries import span_digests
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")
+
+
+def personal(text):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in CARD.finditer(text):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d)) % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= sum(c.isdigit() for c in m[0]) <= 15]
+    return sorted(out)
+
+
+def secret(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_personal_base_spans():
+    rnd = random.Random(5)
+    bits = [*"ab_.-@ +().0123456789é", "1.2.3.4", "4111111111111111", "a@b.co", "+1 (555) 010-9999", "x@", "@y.z", ".com"]
+    for _ in range(5000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40)))
+        assert pii.base_spans(text) == personal(text), text
+
+
+def test_personal_base_spans_stay_linear():
+    for text in ("a" * 200_000, "1" * 200_000, "a@" * 100_000, "1 " * 100_000, "+1" * 100_000, "0.0.0." * 30_000):
+        pii.base_spans(text)
+
+
+def digest(spans, kinds):
+    joined = ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in spans)
+    return hashlib.sha256(joined.encode()).hexdigest()
+
+
+def test_personal_query_columns(spark):
+    texts = [*awkward(), "write to a.b@c.org or +1 (555) 010-9999, from 10.0.0.1 😀 4111 1111 1111 1111"]
+    docs = documents(spark, texts)
+    got = span_digests(pii.scan(docs, pii.train(docs)), pii.KINDS, pii.BASE).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = personal(texts[r.doc_id] or "")
+        assert r.base_sha256 == digest(want, pii.KINDS)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in want) for i in range(4)]
+
+
+def test_personal_added_spans(spark):
+    texts = ["my phone: 030 123 4567 call"] * 30 + ["version 300-200-1000 of it"] * 30 + ["ssn 078-05-1120 ok"] * 5
+    docs = documents(spark, texts)
+    kinds = [[s.kind for s in r.spans] for r in sorted(pii.scan(docs, pii.train(docs)).collect(), key=lambda r: r.doc_id)]
+    assert kinds[0] == ["contact"] and kinds[30] == [] and kinds[60] == ["national"]
+
+
+def test_em_finds_the_reliable_labeler():
+    rnd = np.random.default_rng(1)
+    truth = rnd.random(4000) < 0.3
+    noise = lambda rate: np.where(rnd.random(4000) < rate, truth, ~truth).astype(int)
+    votes = np.stack([noise(0.95), noise(0.9), noise(0.55), noise(0.85), noise(0.5)], 1)
+    patterns, at, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    p = pii.reliabilities(np.zeros(len(n), int), patterns, n)
+    assert ((p[at.ravel()] > 0.5) == truth).mean() > 0.94
+
+
+def test_secret_base_spans(spark):
+    rnd = random.Random(3)
+    bits = ["password", "Secret", "TOKEN", "api_key", "ApiKey", "=", ":", " ", '"', "'", "AKIA", "AKIA" + "Q" * 16, "deadbeef" * 3, "abc", "é", "😀", "Zz9/+=", "\n", "ſecret", "toKen"]
+    texts = [*awkward(), "AKIAAKIA" + "B" * 12 + "é" + "f" * 30]
+    texts += ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 200))) for _ in range(150)]
+    docs = documents(spark, texts)
+    got = span_digests(secrets.scan(docs, secrets.train(docs)), secrets.KINDS, 3).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.base_sha256 == digest(secret(texts[r.doc_id] or ""), secrets.KINDS)
+
+
+def test_secret_added_spans_and_no_python(spark):
+    rnd = random.Random(8)
+    pick = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    plain = [f"{a}_{b}_{c}_identifier_2" for a in ("load", "store") for b in ("table", "column") for c in ("first", "last")]
+    texts = [f"token={pick(alphabet, 40)} and {rnd.choice(plain)}" for _ in range(300)]
+    hidden = pick(alphabet, 40)
+    texts += [f"see {hidden} here", f"see {plain[0]} here"]
+    docs = documents(spark, texts)
+    ratios = secrets.train(docs.filter("doc_id < 300"))
+    found = secrets.scan(docs, ratios)
+    plan = found._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    spans = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in found.collect()}
+    assert spans[300] == [("markov", hidden)] and spans[301] == []
+
+
+@pytest.mark.parametrize("operator", [pii, secrets])
+def test_empty_table(spark, operator):
+    docs = documents(spark, [])
+    assert operator.scan(docs, operator.train(docs)).count() == 0

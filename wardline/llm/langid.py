@@ -157,3 +157,27 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     ddl += ", lang_pred string, share double, score double, shares map<string, double>"
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return map_batches(rows, _predict(shared, schema), ddl)
+
+
+def _accept(model, least: float, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = part.column("text").to_pylist()
+                keep = [max(known.shares(t)[0].values(), default=0.0) >= least for t in texts]
+                yield record(schema, *part.filter(pa.array(keep, pa.bool_())).columns)
+
+    return run
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """Rows of `docs`, all columns, whose text has a known language with at least this share.
+
+    Null text, text without letters, and mixtures in which no language reaches the share go.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_batches(docs, _accept(shared, least, to_arrow_schema(docs.schema)), ddl)

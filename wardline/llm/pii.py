@@ -139,7 +139,7 @@ def votes(text: str, start: int, kind: int, end: int) -> tuple[int, ...]:
         known = any(w in GIVEN for w in words) or 2
     before = text[max(0, start - NEAR) : start]
     context = 1 if FOR.search(before) else 0 if AGAINST.search(before) else 2
-    variety = 2 if kind in (0, 1, 6) else int(len(set(digits)) > 3)
+    variety = 2 if kind in (0, 1, 6) else int(len(set(digits)) > 4)
     edges = text[max(0, start - 1) : start] + text[end : end + 1]
     alone = int(not any(c.isalnum() or c in "_/=" for c in edges))
     return int(shape), int(known), context, variety, alone

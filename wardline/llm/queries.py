@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, pii, pivots, rules, secrets, tiling, warc
+from . import bpe, jaccard, langid, lines, pii, pivots, rules, secrets, tiling, warc
 from .common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -74,6 +74,10 @@ def op5_token_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_classes(table(spark, sf_dir, "documents"), 4, 85)
 
 
+def op6_segment_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op8_language_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, ~held_out(F.col("doc_id")))
@@ -111,6 +115,12 @@ FROM p LEFT JOIN k USING (h)
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -118,10 +128,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pivot_index": op3_pivot_index,
         "op4_string_tiling": op4_string_tiling,
         "op5_token_combinations": op5_token_combinations,
+        "op6_segment_edit_join": op6_segment_edit_join,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language_shares": op8_language_shares,
         "op9_secrets": op9_secrets,
         "op10_warc": op10_warc,
+        "pipeline": pipeline,
     }
 
 

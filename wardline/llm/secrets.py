@@ -3,7 +3,7 @@
 All of it is column functions. Base kinds follow fixed patterns. The added kind `markov` takes
 long tokens with a digit that touch no base span, and compares how likely their characters follow
 each other in random strings and in ordinary identifiers (log-likelihood ratio per character).
-Both models are first-order, with add-one counts over all documents: strings that the base
+Both models are first-order, counted over all documents and backed off to single characters: strings that the base
 patterns label as secret values train the one, all other long tokens the other.
 
 Null text counts as empty and has no spans. Repeated rows and null ids give a row each. Without
@@ -33,6 +33,8 @@ TOKEN_WITH_DIGIT = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + TOKEN
 #: Nats per character from which a token counts as random.
 LEAST_RATIO = 0.3
 _CODES = 128
+#: How many observations the single-character model counts as.
+_BACK = 32
 _BLOCK = 64
 
 
@@ -87,11 +89,13 @@ def _values() -> Column:
 def train(docs: DataFrame, text: str = "text") -> list[float]:
     """Log-likelihood ratios of character pairs, at 128 * first + second, over all documents."""
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("values", _values())
     ordinary = F.filter(
-        F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), lambda t: ~t.rlike(f"{ACCESS}|{HEX}")
+        F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)),
+        lambda t: ~t.rlike(f"{ACCESS}|{HEX}|{ASSIGN}") & ~F.array_contains("values", t),
     )
     labelled = F.concat(
-        F.transform(_values(), lambda v: F.struct(F.lit(1).alias("random"), v.alias("t"))),
+        F.transform("values", lambda v: F.struct(F.lit(1).alias("random"), v.alias("t"))),
         F.transform(ordinary, lambda v: F.struct(F.lit(0).alias("random"), v.alias("t"))),
     )
     tokens = rows.select(F.explode(labelled).alias("x")).select("x.random", "x.t").filter(F.length("t") > 1)
@@ -103,12 +107,18 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
         model[r["random"]][ord(r["pair"][0])][ord(r["pair"][1])] = r["count"]
     kinds = sum(c.isascii() and (c.isalnum() or c in "+/_=-.") for c in map(chr, range(_CODES)))
 
-    totals = [[sum(row) for row in m] for m in model]
-    return [
-        math.log((model[1][a][b] + 1) / (totals[1][a] + kinds)) - math.log((model[0][a][b] + 1) / (totals[0][a] + kinds))
-        for a in range(_CODES)
-        for b in range(_CODES)
-    ]
+    logs = []
+    for pair in model:
+        after = [sum(row[b] for row in pair) for b in range(_CODES)]
+        alone = [(n + 1) / (sum(after) + kinds) for n in after]
+        logs.append(
+            [
+                [math.log((n + _BACK * alone[b]) / (sum(row) + _BACK)) for b, n in enumerate(row)]
+                for row in pair
+            ]
+        )
+    ordinary_log, random_log = logs
+    return [random_log[a][b] - ordinary_log[a][b] for a in range(_CODES) for b in range(_CODES)]
 
 
 def scan(docs: DataFrame, ratios: list[float], key: str = "doc_id", text: str = "text") -> DataFrame:
