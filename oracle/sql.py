@@ -110,6 +110,15 @@ def key(*parts: str) -> str:
     return "md5(concat_ws('-', " + ", ".join(f"coalesce({p}, '_null_')" for p in parts) + "))"
 
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+def json_field(name: str) -> str:
+    """The column as a text field of a JSON object; NULL fields are left out."""
+    text = f"replace(replace(CAST({name} AS VARCHAR), '\\', '\\\\'), '\"', '\\\"')"
+    return f"'\"{name}\":\"' || {text} || '\"'"
+
+
 def has(x: str, *words: str) -> str:
     return "(" + " OR ".join(f"contains({x}, '{w}')" for w in words) + ")"
 
@@ -512,7 +521,8 @@ def check_rows(name: str, failing: str, severity: str = "error") -> str:
 def fresh(source: str, table: str, warn: int, error: int) -> str:
     age = "datesub('hour', max(_ingested_at), TIMESTAMP '2001-11-05 06:00:00')"
     return f"""SELECT '{source}' AS source, max(_ingested_at) AS newest, {age} AS age_hours,
-        CASE WHEN {age} > {error} THEN 'ERROR' WHEN {age} > {warn} THEN 'WARN' ELSE 'PASS' END AS status FROM {table}"""
+        CASE WHEN TIMESTAMP '2001-11-05 06:00:00' > max(_ingested_at) + INTERVAL {error} HOUR THEN 'ERROR'
+            WHEN TIMESTAMP '2001-11-05 06:00:00' > max(_ingested_at) + INTERVAL {warn} HOUR THEN 'WARN' ELSE 'PASS' END AS status FROM {table}"""
 
 
 M, B = "'1998-05'", "'BROOKLYN'"
@@ -535,13 +545,7 @@ def mean_percent(x: str) -> str:
     return ratio(f"sum({whole})", f"(count({x}) * 100)", 1)
 
 
-def grades(limit: int) -> str:
-    letters = "abc"
-    return f"""WITH g AS (SELECT * FROM food WHERE year_month = {M} AND pct_grade_a IS NOT NULL)
-        SELECT zip_code, {', '.join(f'{percent(f"pct_grade_{c}")} AS pct_grade_{c}' for c in letters)} FROM g
-            WHERE (SELECT count(*) FROM g) <= {limit}
-        UNION ALL SELECT 'ALL', {', '.join(f'{mean_percent(f"pct_grade_{c}")}' for c in letters)} FROM g
-            HAVING count(*) > {limit}"""
+GRADED = f"(SELECT * FROM food WHERE year_month = {M} AND pct_grade_a IS NOT NULL)"
 
 
 QUERIES = {
@@ -580,6 +584,8 @@ QUERIES = {
     "active_flags": """SELECT year_month, is_active_permit,
         CAST(CASE WHEN expiration_date >= DATE '2002-01-01' THEN 1 ELSE 0 END AS INTEGER) AS active_later,
         count(*) AS n FROM permits GROUP BY ALL""",
+    "row_hashes": f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+        md5('{{' || concat_ws(',', {", ".join(json_field(c) for c in ORDER_COLUMNS)}) || '}}') AS _row_hash FROM orders""",
     "landing_strings": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
         o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
         o_orderpriority FROM orders""",
@@ -773,8 +779,10 @@ QUERIES = {
         "",
         f"year_month = {M} AND zip_code IN (SELECT zip_code FROM zips WHERE borough = {B})",
     ),
-    "q17_grade_means": grades(20),
-    "q17_grade_rows": grades(100),
+    "q17_grade_means": f"""SELECT 'ALL' AS zip_code,
+        {', '.join(f'{mean_percent(f"pct_grade_{c}")} AS pct_grade_{c}' for c in "abc")} FROM {GRADED} HAVING count(*) > 0""",
+    "q17_grade_rows": f"""SELECT zip_code, {', '.join(f'{percent(f"pct_grade_{c}")} AS pct_grade_{c}' for c in "abc")}
+        FROM {GRADED}""",
     "q18_compliance_scatter": f"""WITH g AS (SELECT zip_code, pct_grade_a, food_complaints_per_inspection, total_inspections FROM food
             WHERE year_month = {M} AND pct_grade_a IS NOT NULL AND food_complaints_per_inspection IS NOT NULL)
         SELECT g.*, (SELECT median(pct_grade_a) FROM g) AS median_grade_a,

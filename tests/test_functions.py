@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from conftest import one, rows
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
 from wardline import functions as fn
+from wardline.context import utc
 
 
 def values(spark, raw, build, kind="string"):
@@ -14,6 +16,17 @@ def values(spark, raw, build, kind="string"):
     return [r[0] for r in df.orderBy("i").select(build(F.col("v"))).collect()]
 
 
+def test_naive_moments_are_utc_wherever_the_driver_runs(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        column = F.unix_seconds(utc(dt.datetime(2024, 3, 10, 12)))
+        assert spark.range(1).select(column).first()[0] == 1710072000
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_boroughs(spark):
     raw = [" manhattan ", "k", "3", "Staten Is", "b", "5", "Unspecified", "", None, "X"]
     expected = ["MANHATTAN", "BROOKLYN", "BROOKLYN", "STATEN ISLAND", "BRONX", "STATEN ISLAND"]

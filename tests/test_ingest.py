@@ -1,10 +1,14 @@
 import datetime as dt
+import os
+import re
+from pathlib import Path
 
 import pytest
-from conftest import one, rows
+from conftest import one, plan_of, rows
 from pyspark.sql import functions as F
 
 from wardline.context import RunContext
+from wardline.plans.staging import new_rows
 from wardline.sources import extract, files, tables
 from wardline.streaming import ingest_files, read_raw_table, validate_batch
 
@@ -42,6 +46,26 @@ def test_files_are_taken_once_and_columns_may_be_added(spark, folder):
         validate_batch(table.withColumn("_source_file", F.lit(None).cast("string")))
 
 
+def test_columns_of_files_with_old_times_are_kept(spark, folder):
+    def ingest(n):
+        return ingest_files(spark, f"{folder}/raw/*", f"{folder}/table", f"{folder}/cp", run(n))
+
+    land(spark, folder, "a", [("1",)], "id string")
+    assert ingest(1) == 1
+    land(spark, folder, "b", [("2", "kept")], "id string, extra string")
+    for path in Path(folder, "raw", "b").iterdir():
+        os.utime(path, (1_000_000_000, 1_000_000_000))
+    assert ingest(2) == 1
+    assert rows(read_raw_table(spark, f"{folder}/table"), "id", "extra") == [("1", None), ("2", "kept")]
+
+
+def test_new_rows_skip_older_days(spark, folder):
+    land(spark, folder, "a", [("1",)], "id string")
+    ingest_files(spark, f"{folder}/raw/*", f"{folder}/table", f"{folder}/cp", run(1))
+    plan = plan_of(new_rows(read_raw_table(spark, f"{folder}/table"), dt.datetime(2024, 1, 1)))
+    assert re.search(r"PartitionFilters: \[.*_ingest_date", plan)
+
+
 def test_same_row_has_the_same_hash_in_every_run(spark, folder):
     for n in (1, 2):
         land(spark, folder, f"f{n}", [("1", "x")], "id string, v string")
@@ -80,7 +104,7 @@ def test_pages_cover_every_row_once(spark, folder):
     for n in range(1, 9):
         counts.append(
             extract.extract_new_rows(
-                spark, source, "permits", f"{folder}/land", f"{folder}/cursor.json", run(n), page_rows=5, pages=2
+                spark, source, "permits", f"{folder}/land", f"{folder}/cursor.json", run(n), page_rows=10
             )
         )
     assert counts == [10, 10, 10, 10, 10, 0, 0, 0]
@@ -89,6 +113,42 @@ def test_pages_cover_every_row_once(spark, folder):
     assert sorted(int(r.n) for r in landed.collect()) == list(range(50))
 
 
+def test_typed_cursor_and_default_without_a_cap(spark, folder):
+    """Numbers compare as numbers: 10 comes after 9, and no row is landed twice."""
+    data = [("2021-01-01", "J", n) for n in range(6, 14)]
+    source = spark.createDataFrame(data, "issuance_date string, job__ string, permit_sequence__ int")
+    where = ("permits", f"{folder}/land", f"{folder}/cursor.json")
+    paged = [extract.extract_new_rows(spark, source, *where, run(n), page_rows=3) for n in range(1, 5)]
+    assert paged == [3, 3, 2, 0]
+    landed = spark.read.parquet(f"{folder}/land/run=r*")
+    assert sorted(int(r.permit_sequence__) for r in landed.collect()) == list(range(6, 14))
+    whole = ("permits", f"{folder}/all", f"{folder}/all.json")
+    assert [extract.extract_new_rows(spark, source, *whole, run(n)) for n in (1, 2)] == [8, 0]
+    assert extract.extract_new_rows(spark, source, *whole, run(3), lookback_days=2) == 8
+
+
+def test_refused_rows_never_land(spark, folder):
+    rows_ = [("2021-01-01", "1"), ("2021-01-01", None), ("2021-01-02", "3")]
+    schema = "arrest_date string, arrest_key string"
+    where = ("arrests_historic", f"{folder}/land", f"{folder}/c.json")
+    assert extract.extract_new_rows(spark, spark.createDataFrame(rows_[:1], schema), *where, run(1)) == 1
+    for n in (2, 3):  # a null key on the cursor's own date is seen as well
+        with pytest.raises(ValueError, match="cursor not moved"):
+            extract.extract_new_rows(spark, spark.createDataFrame(rows_, schema), *where, run(n))
+    assert spark.read.parquet(f"{folder}/land/run=*").count() == 1
+
+
+def test_small_files_survive_a_lost_driver(spark, folder):
+    path = f"{folder}/state.json"
+    files.write_text(spark, path, "one")
+    files.write_text(spark, path, "two")
+    assert files.read_text(spark, path) == "two"
+    files.rename(spark, path, f"{path}.new")  # lost between delete and rename
+    assert files.read_text(spark, path) == "two"
+    files.write_text(spark, path, "three")
+    assert files.read_text(spark, path) == "three"
+
+
 def test_null_key_stops_the_cursor(spark, folder):
     source = spark.createDataFrame([("2021-01-01", None)], "arrest_date string, arrest_key string")
     with pytest.raises(ValueError, match="cursor not moved"):

@@ -68,6 +68,12 @@ def test_freshness(spark, hours, status):
     assert rows(quality.freshness(df, "s", now, 25, 49), "age_hours", "status") == [(hours, status)]
 
 
+def test_freshness_counts_minutes(spark):
+    now = dt.datetime(2024, 3, 10)
+    df = spark.createDataFrame([(now - dt.timedelta(hours=25, minutes=59),)], "_ingested_at timestamp")
+    assert rows(quality.freshness(df, "s", now, 25, 49), "age_hours", "status") == [(25, "WARN")]
+
+
 def test_freshness_of_an_empty_source(spark):
     empty = spark.createDataFrame([], "_ingested_at timestamp")
     assert rows(quality.freshness(empty, "s", dt.datetime(2024, 3, 10), 25, 49), "status") == [("ERROR",)]
@@ -98,6 +104,12 @@ def test_publish_and_manifest(spark, folder):
     assert exports.load_exports(spark, folder)["food_compliance_overview"].count() == 2
 
 
+def test_large_exports_become_several_files(spark, folder):
+    with pytest.warns(UserWarning, match="several files"):
+        exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r1"), limit=10)
+    assert exports.load_exports(spark, folder)["complaint_type_rankings"].count() == 2
+
+
 def test_bad_exports_are_not_promoted(spark, folder):
     exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r1"))
     name = "borough_monthly_trends"

@@ -3,17 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def utc(moment: dt.datetime | Column) -> Column:
+    """A moment as a timestamp column. Naive times are UTC, whatever zone the driver runs in."""
+    if isinstance(moment, Column):
+        return moment.cast("timestamp")
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=dt.timezone.utc)
+    return F.lit(moment).cast("timestamp")
+
+
 @dataclass(frozen=True)
 class RunContext:
     """Clock, run id and provenance of one run; every date rule takes `as_of` from here."""
@@ -53,10 +64,13 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for cut lineage; a temporary one only where none is set."""
+    """The cluster's shared folder for cut lineage; a temporary one only on a single machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir names no shared folder, and {master} has executors of its own")
     made = tempfile.mkdtemp(prefix="wardline-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made

@@ -89,11 +89,6 @@ TOP_TYPES = 15
 TOP_CHART_TYPES = 10
 TOP_SCORES = 30
 RECENT_MONTHS = 24
-GRADE_MEAN_ABOVE = 20
-
-# Extract paging.
-PAGE_ROWS = 50_000
-PAGES_PER_RUN = 2
 
 # Lineage columns.
 INGEST_COLUMNS = (
@@ -137,7 +132,7 @@ RAW_FEEDS = {
     "inspections": ("inspections",),
 }
 
-# Export contracts: grain keys, required columns, size ceiling.
+# Fixed values. Export contracts: grain keys, required columns, size ceiling.
 MAX_EXPORT_BYTES = 10 * 1024 * 1024
 EXPORT_KEYS = {
     "neighborhood_pulse_summary": ("zip_code", "year_month"),
@@ -148,25 +143,62 @@ EXPORT_KEYS = {
 }
 EXPORT_REQUIRED = {
     "neighborhood_pulse_summary": (
-        "zip_code year_month borough neighborhood_name neighborhood_pulse_score "
-        "is_complete_month borough_avg_pulse_score city_avg_pulse_score "
-        "pulse_score_prev_month pulse_score_mom_delta borough_pulse_rank borough_zip_count"
-    ).split(),
+        "zip_code",
+        "year_month",
+        "borough",
+        "neighborhood_name",
+        "neighborhood_pulse_score",
+        "is_complete_month",
+        "borough_avg_pulse_score",
+        "city_avg_pulse_score",
+        "pulse_score_prev_month",
+        "pulse_score_mom_delta",
+        "borough_pulse_rank",
+        "borough_zip_count",
+    ),
     "borough_monthly_trends": (
-        "borough year_month year quarter month_name is_complete_month total_complaints "
-        "total_arrests total_permits_issued total_inspections avg_pulse_score "
-        "noise_complaint_count food_complaint_count construction_complaint_count "
-        "felony_count misdemeanor_count critical_violation_count zip_code_count"
-    ).split(),
+        "borough",
+        "year_month",
+        "year",
+        "quarter",
+        "month_name",
+        "is_complete_month",
+        "total_complaints",
+        "total_arrests",
+        "total_permits_issued",
+        "total_inspections",
+        "avg_pulse_score",
+        "noise_complaint_count",
+        "food_complaint_count",
+        "construction_complaint_count",
+        "felony_count",
+        "misdemeanor_count",
+        "critical_violation_count",
+        "zip_code_count",
+    ),
     "safety_infrastructure_corr": (
-        "zip_code year_month total_arrests total_permits_issued arrests_per_permit "
-        "felony_pct log_arrests log_permits"
-    ).split(),
+        "zip_code",
+        "year_month",
+        "total_arrests",
+        "total_permits_issued",
+        "arrests_per_permit",
+        "felony_pct",
+        "log_arrests",
+        "log_permits",
+    ),
     "food_compliance_overview": (
-        "zip_code year_month total_inspections food_complaint_count "
-        "food_complaints_per_inspection"
-    ).split(),
+        "zip_code",
+        "year_month",
+        "total_inspections",
+        "food_complaint_count",
+        "food_complaints_per_inspection",
+    ),
     "complaint_type_rankings": (
-        "borough year_month complaint_type complaint_count borough_rank pct_of_borough_total"
-    ).split(),
+        "borough",
+        "year_month",
+        "complaint_type",
+        "complaint_count",
+        "borough_rank",
+        "pct_of_borough_total",
+    ),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
-from wardline.context import RunContext
+from wardline.context import RunContext, utc
 
 KEY_SEPARATOR = "-"
 KEY_NULL = "_null_"
@@ -31,7 +31,7 @@ def row_hash(columns: Iterable[str]) -> Column:
 def with_staging_audit(df: DataFrame, model: str, ctx: RunContext) -> DataFrame:
     return df.withColumns(
         {
-            "_stg_loaded_at": F.lit(ctx.run_ts),
+            "_stg_loaded_at": utc(ctx.run_ts),
             "_stg_model_name": F.lit(model),
             "_stg_run_id": F.lit(ctx.run_id),
         }
@@ -41,5 +41,5 @@ def with_staging_audit(df: DataFrame, model: str, ctx: RunContext) -> DataFrame:
 def with_gold_audit(df: DataFrame, model: str, ctx: RunContext) -> DataFrame:
     loaded, name, run = fv.GOLD_AUDIT_COLUMNS
     return df.withColumns(
-        {loaded: F.lit(ctx.run_ts), name: F.lit(model), run: F.lit(ctx.run_id)}
+        {loaded: utc(ctx.run_ts), name: F.lit(model), run: F.lit(ctx.run_id)}
     )

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.context import utc
+
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 
@@ -16,7 +18,7 @@ def start_history(current: DataFrame, run_ts: dt.datetime | Column) -> DataFrame
     """History after the first run: every row open since `run_ts`."""
     return current.select(
         "*",
-        _moment(run_ts).alias(VALID_FROM),
+        utc(run_ts).alias(VALID_FROM),
         F.lit(None).cast("timestamp").alias(VALID_TO),
     )
 
@@ -37,7 +39,7 @@ def apply_snapshot(
     """
     columns = current.columns
     layout = [*columns, VALID_FROM, VALID_TO]
-    moment = _moment(run_ts)
+    moment = utc(run_ts)
     closed = history.filter(F.col(VALID_TO).isNotNull()).select(*layout)
     before = history.filter(F.col(VALID_TO).isNull()).select(
         F.col(key).alias("_key"), F.struct(*layout).alias("_old")
@@ -69,7 +71,7 @@ def apply_snapshot(
 
 def as_of(history: DataFrame, moment: dt.datetime | Column) -> DataFrame:
     """The rows valid at `moment`."""
-    at = _moment(moment)
+    at = utc(moment)
     return history.filter(
         (F.col(VALID_FROM) <= at) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > at))
     )
@@ -90,7 +92,3 @@ def transitions(
         .groupBy(f"{column}_then", f"{column}_now")
         .agg(F.count(F.lit(1)).alias("keys"))
     )
-
-
-def _moment(value: dt.datetime | Column) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")

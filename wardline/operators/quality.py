@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.context import utc
+
 from wardline.operators.dedup import duplicate_keys
 from wardline.operators.joins import orphan_rows
 
@@ -105,12 +107,16 @@ def freshness(
     error_hours: int,
     column: str = "_ingested_at",
 ) -> DataFrame:
-    """One row: the newest load, its age in hours, and PASS, WARN or ERROR."""
-    now = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp")
+    """One row: the newest load, its age in whole hours, and PASS, WARN or ERROR by exact times."""
+    now = utc(as_of)
     age = F.timestamp_diff("HOUR", F.col("newest"), now)
+
+    def older(hours: int) -> Column:
+        return F.timestamp_add("HOUR", F.lit(hours), F.col("newest"))
+
     status = (
-        F.when(F.col("newest").isNull() | (age > error_hours), "ERROR")
-        .when(age > warn_hours, "WARN")
+        F.when(F.col("newest").isNull() | (now > older(error_hours)), "ERROR")
+        .when(now > older(warn_hours), "WARN")
         .otherwise("PASS")
     )
     return df.agg(F.max(column).cast("timestamp").alias("newest")).select(

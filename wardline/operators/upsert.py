@@ -1,4 +1,4 @@
-"""Keyed upsert: as a DataFrame, onto month partitions, and through a merging catalog."""
+"""Keyed upsert: as a DataFrame, and onto month partitions."""
 
 from __future__ import annotations
 
@@ -20,17 +20,6 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Da
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def merge_into_table(
-    spark: SparkSession, table: str, updates: DataFrame, keys: Sequence[str]
-) -> None:
-    """The same upsert as MERGE, for catalogs whose tables take row-level changes."""
-    on = None
-    for key in keys:
-        same = F.expr(f"{table}.`{key}` = updates.`{key}`")
-        on = same if on is None else on & same
-    updates.alias("updates").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-
-
 def by_month(df: DataFrame, month: str = "year_month") -> DataFrame:
     """Rows gathered by month for writing. Rebalancing splits a month that is too large for
     one task and merges small ones, so neither hot months nor many tiny files arise."""

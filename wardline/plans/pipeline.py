@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
-from wardline.context import RunContext
+from wardline.context import RunContext, utc
 from wardline.functions import lookback_floor, with_gold_audit
 from wardline.operators import history, quality, upsert
 from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
@@ -89,13 +89,16 @@ class Pipeline:
         mark = None
         if not full_refresh:
             stored = files.from_json(files.read_text(self.spark, state))
-            mark = dt.datetime.fromisoformat(stored["high_water"]) if stored else None
+            mark = dt.datetime.fromisoformat(stored["high_water"]) if stored else None  # UTC
         new = staging.new_rows(raw, mark)
-        newest = new.agg(F.max("_ingested_at")).first()[0]
+        # As UTC text: a datetime would come back in the driver's own zone.
+        shown = F.date_format(F.max("_ingested_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        newest = new.agg(shown).first()[0]
         if newest is None:
             return
+        newest = dt.datetime.fromisoformat(newest)
         # Rows that arrive while this runs belong to the next run.
-        rows = build[name](new.filter(F.col("_ingested_at") <= F.lit(newest)))
+        rows = build[name](new.filter(F.col("_ingested_at") <= utc(newest)))
         if mark is None:
             _write_all(rows, path)
         else:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
-from wardline.context import RunContext, shared_folder
+from wardline.context import RunContext, shared_folder, utc
 from wardline.functions import (
     blank_to_null,
     category_of,
@@ -246,7 +246,8 @@ def surrogate_keys(spark, folder):
 
 @query
 def row_hashes(spark, folder):
-    orders = Star(spark, folder).table("orders")
+    """Hashes of landed rows, which are all text; the type-dependent spelling of JSON numbers is out."""
+    orders = all_strings(Star(spark, folder).table("orders"))
     return orders.select("o_orderkey", row_hash(orders.columns).alias("_row_hash"))
 
 
@@ -495,7 +496,7 @@ def upsert_merge(spark, folder):
     """Permits staged in two runs and merged equal the permits staged at once."""
     star = Star(spark, folder)
     raw = star.raw_permits
-    before = staging.stage_permits(raw.filter(F.col("_ingested_at") <= F.lit(SINCE)), star.ctx)
+    before = staging.stage_permits(raw.filter(F.col("_ingested_at") <= utc(SINCE)), star.ctx)
     after = staging.stage_permits(staging.new_rows(raw, SINCE), star.ctx)
     return plain(upsert.merge_rows(before, after, ["permit_key"]))
 
@@ -507,7 +508,7 @@ def lookback_recompute(spark, folder):
     raw = star.raw_permits
     first = dt.datetime(2001, 10, 1)
     old = monthly.monthly_permits(
-        staging.stage_permits(raw.filter(F.col("_ingested_at") <= F.lit(first)), star.ctx)
+        staging.stage_permits(raw.filter(F.col("_ingested_at") <= utc(first)), star.ctx)
     )
     since = lookback_floor(star.ctx.as_of, fv.LOOKBACK_DAYS)
     fresh = monthly.monthly_permits(star.permits, since=since, as_of=star.ctx.as_of)
@@ -770,8 +771,8 @@ serve(
     "q16_food_summary",
     lambda s, f: serving.food_summary(_food(s, f), _places(s, f), MONTH, BOROUGH),
 )
-serve("q17_grade_means", lambda s, f: serving.grade_distribution(_food(s, f), MONTH))
-serve("q17_grade_rows", lambda s, f: serving.grade_distribution(_food(s, f), MONTH, 100))
+serve("q17_grade_means", lambda s, f: serving.grade_means(_food(s, f), MONTH))
+serve("q17_grade_rows", lambda s, f: serving.grade_rows(_food(s, f), MONTH))
 serve("q18_compliance_scatter", lambda s, f: serving.compliance_scatter(_food(s, f), MONTH))
 serve("q19_inspection_volume", lambda s, f: serving.inspection_volume(_food(s, f)))
 serve("q19_grade_a_trend", lambda s, f: serving.grade_a_trend(_food(s, f)))

@@ -239,9 +239,10 @@ def permit_ratio_rows(trends: DataFrame, most: int = fv.RECENT_MONTHS) -> DataFr
 
 def permit_ratio_matrix(trends: DataFrame, most: int = fv.RECENT_MONTHS) -> DataFrame:
     """Boroughs by newest months (m01 = oldest), known boroughs in their fixed order."""
-    names = [f"m{i:02d}" for i in range(1, most + 1)]
+    width = max(2, len(str(most)))
+    names = [f"m{i:0{width}d}" for i in range(1, most + 1)]
     order = F.array_position(F.array(*[F.lit(b) for b in fv.BOROUGH_ORDER]), F.col("borough"))
-    column = F.concat(F.lit("m"), F.lpad(F.col("position").cast("string"), 2, "0"))
+    column = F.concat(F.lit("m"), F.lpad(F.col("position").cast("string"), width, "0"))
     return (
         permit_ratio_rows(trends, most)
         .filter(F.col("borough").isin(*fv.BOROUGH_ORDER))
@@ -291,28 +292,24 @@ def food_summary(
     )
 
 
-def grade_distribution(
-    food: DataFrame, month: str, mean_above: int = fv.GRADE_MEAN_ABOVE
-) -> DataFrame:
-    """Grade shares in percent: per zip, or one row of means when there are many zips."""
-    grades = ("pct_grade_a", "pct_grade_b", "pct_grade_c")
-    rows = _of(food, month).filter(F.col("pct_grade_a").isNotNull()).select("zip_code", *grades)
+GRADES = ("pct_grade_a", "pct_grade_b", "pct_grade_c")
 
-    def percent(value: Column) -> Column:
-        return F.round(value.cast("decimal(18,8)") * 100, 1).cast("double")
 
-    zips = rows.agg(F.count(F.lit(1))).scalar()
-    each = rows.filter(zips <= mean_above).select(
-        "zip_code", *[percent(F.col(g)).alias(g) for g in grades]
-    )
-    mean = (
-        rows.agg(
-            F.count(F.lit(1)).alias("n"), *[percent(_exact_mean(g, 4)).alias(g) for g in grades]
-        )
-        .filter(F.col("n") > mean_above)
-        .select(F.lit("ALL").alias("zip_code"), *grades)
-    )
-    return each.unionByName(mean)
+def _percent(value: Column) -> Column:
+    return F.round(value.cast("decimal(18,8)") * 100, 1).cast("double")
+
+
+def grade_rows(food: DataFrame, month: str) -> DataFrame:
+    """Grade shares in percent, one row per graded zip. A chart with many zips takes `grade_means`."""
+    rows = _of(food, month).filter(F.col("pct_grade_a").isNotNull())
+    return rows.select("zip_code", *[_percent(F.col(g)).alias(g) for g in GRADES])
+
+
+def grade_means(food: DataFrame, month: str) -> DataFrame:
+    """Means of the graded zips' shares in percent: one row, none without a graded zip."""
+    rows = _of(food, month).filter(F.col("pct_grade_a").isNotNull())
+    means = rows.agg(F.count(F.lit(1)).alias("n"), *[_percent(_exact_mean(g, 4)).alias(g) for g in GRADES])
+    return means.filter("n > 0").select(F.lit("ALL").alias("zip_code"), *GRADES)
 
 
 def compliance_scatter(food: DataFrame, month: str) -> DataFrame:

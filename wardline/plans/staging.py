@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
-from wardline.context import RunContext
+from wardline.context import RunContext, utc
 from wardline.functions import (
     clean_text,
     grade_number,
@@ -50,12 +50,6 @@ class Source:
         return list(dict.fromkeys([*self.keys, *self.columns, *self.also_read]))
 
 
-def _texts(names: str) -> dict[str, tuple[str, str]]:
-    """'raw:staged' or 'name' words, all trimmed text."""
-    pairs = [(word.split(":") * 2)[:2] for word in names.split()]
-    return {raw: (staged, TEXT) for raw, staged in pairs}
-
-
 # Source column names and their staged names.
 COMPLAINTS = Source(
     keys=("unique_key",),
@@ -64,12 +58,20 @@ COMPLAINTS = Source(
         "created_date": ("created_date", "timestamp"),
         "closed_date": ("closed_date", "timestamp"),
         "resolution_action_updated_date": ("resolution_action_updated_date", "timestamp"),
-        **_texts(
-            "agency:responding_agency_code complaint_type descriptor:complaint_descriptor "
-            "location_type resolution_description open_data_channel_type:submission_channel "
-            "incident_address street_name cross_street_1 cross_street_2 city community_board "
-            "council_district police_precinct"
-        ),
+        "agency": ("responding_agency_code", TEXT),
+        "complaint_type": ("complaint_type", TEXT),
+        "descriptor": ("complaint_descriptor", TEXT),
+        "location_type": ("location_type", TEXT),
+        "resolution_description": ("resolution_description", TEXT),
+        "open_data_channel_type": ("submission_channel", TEXT),
+        "incident_address": ("incident_address", TEXT),
+        "street_name": ("street_name", TEXT),
+        "cross_street_1": ("cross_street_1", TEXT),
+        "cross_street_2": ("cross_street_2", TEXT),
+        "city": ("city", TEXT),
+        "community_board": ("community_board", TEXT),
+        "council_district": ("council_district", TEXT),
+        "police_precinct": ("police_precinct", TEXT),
         "incident_zip": ("zip_code", ZIP),
         "bbl": ("borough_block_lot", NUMERIC),
         "latitude": ("latitude", "double"),
@@ -86,10 +88,11 @@ ARRESTS = Source(
         "pd_cd": ("nypd_classification_code", "int"),
         "ky_cd": ("offense_category_code", "int"),
         "arrest_precinct": ("arrest_precinct", "int"),
-        **_texts(
-            "pd_desc:nypd_classification_desc ofns_desc:offense_description "
-            "law_code:penal_law_code arrest_boro:arrest_borough_raw perp_race:perpetrator_race"
-        ),
+        "pd_desc": ("nypd_classification_desc", TEXT),
+        "ofns_desc": ("offense_description", TEXT),
+        "law_code": ("penal_law_code", TEXT),
+        "arrest_boro": ("arrest_borough_raw", TEXT),
+        "perp_race": ("perpetrator_race", TEXT),
         "latitude": ("latitude", "double"),
         "longitude": ("longitude", "double"),
     },
@@ -99,18 +102,32 @@ ARRESTS = Source(
 PERMITS = Source(
     keys=("job__", "permit_sequence__"),
     columns={
-        **_texts(
-            "job__:job_number permit_sequence__:permit_sequence_number bin__:building_id_number "
-            "job_doc___:job_document_number job_type self_cert:is_self_certified "
-            "borough:borough_raw house__:house_number street_name block:tax_block lot:tax_lot "
-            "community_board bldg_type:building_type gis_council_district:council_district "
-            "gis_census_tract:census_tract gis_nta_name:neighborhood_name work_type "
-            "permit_status filing_status permit_type permit_subtype non_profit:is_non_profit "
-            "owner_s_business_type:owner_business_type "
-            "owner_s_business_name:owner_business_name "
-            "permittee_s_business_name:permittee_business_name "
-            "permittee_s_license_type:permittee_license_type"
-        ),
+        "job__": ("job_number", TEXT),
+        "permit_sequence__": ("permit_sequence_number", TEXT),
+        "bin__": ("building_id_number", TEXT),
+        "job_doc___": ("job_document_number", TEXT),
+        "job_type": ("job_type", TEXT),
+        "self_cert": ("is_self_certified", TEXT),
+        "borough": ("borough_raw", TEXT),
+        "house__": ("house_number", TEXT),
+        "street_name": ("street_name", TEXT),
+        "block": ("tax_block", TEXT),
+        "lot": ("tax_lot", TEXT),
+        "community_board": ("community_board", TEXT),
+        "bldg_type": ("building_type", TEXT),
+        "gis_council_district": ("council_district", TEXT),
+        "gis_census_tract": ("census_tract", TEXT),
+        "gis_nta_name": ("neighborhood_name", TEXT),
+        "work_type": ("work_type", TEXT),
+        "permit_status": ("permit_status", TEXT),
+        "filing_status": ("filing_status", TEXT),
+        "permit_type": ("permit_type", TEXT),
+        "permit_subtype": ("permit_subtype", TEXT),
+        "non_profit": ("is_non_profit", TEXT),
+        "owner_s_business_type": ("owner_business_type", TEXT),
+        "owner_s_business_name": ("owner_business_name", TEXT),
+        "permittee_s_business_name": ("permittee_business_name", TEXT),
+        "permittee_s_license_type": ("permittee_license_type", TEXT),
         "zip_code": ("zip_code", ZIP),
         "gis_latitude": ("latitude", "double"),
         "gis_longitude": ("longitude", "double"),
@@ -124,13 +141,22 @@ PERMITS = Source(
 INSPECTIONS = Source(
     keys=("camis", "inspection_date", "violation_code", "inspection_type"),
     columns={
-        **_texts(
-            "camis:restaurant_id violation_code inspection_type dba:restaurant_name "
-            "cuisine_description:cuisine_type boro:borough_raw building:building_number "
-            "street:street_name community_board council_district census_tract "
-            "bin:building_id_number nta:neighborhood_tabulation_area action:enforcement_action "
-            "violation_description critical_flag:is_critical_violation"
-        ),
+        "camis": ("restaurant_id", TEXT),
+        "violation_code": ("violation_code", TEXT),
+        "inspection_type": ("inspection_type", TEXT),
+        "dba": ("restaurant_name", TEXT),
+        "cuisine_description": ("cuisine_type", TEXT),
+        "boro": ("borough_raw", TEXT),
+        "building": ("building_number", TEXT),
+        "street": ("street_name", TEXT),
+        "community_board": ("community_board", TEXT),
+        "council_district": ("council_district", TEXT),
+        "census_tract": ("census_tract", TEXT),
+        "bin": ("building_id_number", TEXT),
+        "nta": ("neighborhood_tabulation_area", TEXT),
+        "action": ("enforcement_action", TEXT),
+        "violation_description": ("violation_description", TEXT),
+        "critical_flag": ("is_critical_violation", TEXT),
         "zipcode": ("zip_code", ZIP),
         "inspection_date": ("inspection_date", "date"),
         "grade_date": ("grade_assigned_date", "date"),
@@ -144,8 +170,13 @@ INSPECTIONS = Source(
 
 
 def new_rows(raw: DataFrame, high_water: dt.datetime | None) -> DataFrame:
-    """Rows ingested after the newest one already staged; all rows on a first run."""
-    return raw if high_water is None else raw.filter(F.col("_ingested_at") > F.lit(high_water))
+    """Rows ingested after the newest one already staged; all rows on a first run. The bound on the
+    ingest date lets a partitioned raw table skip all older days."""
+    if high_water is None:
+        return raw
+    day = F.col("_ingest_date")
+    recent = day.isNull() | (day >= high_water.strftime("%Y-%m-%d"))
+    return raw.filter(recent & (F.col("_ingested_at") > utc(high_water)))
 
 
 def base_rows(raw: DataFrame, source: Source) -> DataFrame:

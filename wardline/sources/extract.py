@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.context import RunContext
-from wardline.fixed_values import EXTRACT_SOURCES, PAGE_ROWS, PAGES_PER_RUN
+from wardline.fixed_values import EXTRACT_SOURCES
 from wardline.sources import files
 
 
@@ -62,13 +62,19 @@ def keyset_page(
     df: DataFrame, date: str, keys: Sequence[str], cursor: Cursor, rows: int
 ) -> DataFrame:
     """The next `rows` rows in cursor order. The leading date bound reaches the scan."""
+    return past_cursor(df, date, keys, cursor).orderBy(date, *keys).limit(rows)
+
+
+def past_cursor(df: DataFrame, date: str, keys: Sequence[str], cursor: Cursor) -> DataFrame:
+    """Every row past the cursor, unordered. Rows of the cursor's date without a key are kept, so
+    that a check can see them."""
     if cursor.key is None:
-        new = df.filter(F.col(date) > F.lit(cursor.date))
-    else:
-        new = df.filter(F.col(date) >= F.lit(cursor.date)).filter(
-            after_cursor([date, *keys], [cursor.date, *cursor.key])
-        )
-    return new.orderBy(date, *keys).limit(rows)
+        return df.filter(F.col(date) > F.lit(cursor.date))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    new = df.filter(F.col(date) >= F.lit(cursor.date))
+    return new.filter(after_cursor([date, *keys], [cursor.date, *cursor.key]) | no_key)
 
 
 def all_strings(df: DataFrame) -> DataFrame:
@@ -82,27 +88,41 @@ def extract_new_rows(
     landing: str,
     state_path: str,
     ctx: RunContext,
-    page_rows: int = PAGE_ROWS,
-    pages: int = PAGES_PER_RUN,
+    page_rows: int | None = None,
+    lookback_days: int = 0,
 ) -> int:
-    """Land the next pages of `df` as an all-string parquet file; returns the rows written.
+    """Land the rows of `df` past the cursor as an all-string parquet folder; returns their number.
+
+    All of them are written in parallel and the cursor is the largest (date, key...) among them,
+    compared by their types. With `page_rows` only the next so many rows in cursor order are
+    taken, for sources that must be read in pages. `lookback_days` moves the cursor back first,
+    to fetch rows changed after they were read.
 
-    The cursor is stored only once the file is complete, and each file is named by its run,
-    so a lost run is simply repeated. Whatever the page cap leaves is taken next time.
+    Rows are checked in a folder beside the landing zone and moved in only when every one has its
+    cursor and key values, so a refused run leaves nothing to ingest. The cursor is stored last
+    and the folder is named by the run, so a lost run is simply repeated.
     """
     date, keys, _ = EXTRACT_SOURCES[source]
     cursor = parse_cursor(files.read_text(spark, state_path), first_watermark(source, ctx))
-    path = f"{landing}/run={ctx.run_id}"
-    page = all_strings(keyset_page(df, date, keys, cursor, page_rows * pages))
-    page.write.mode("overwrite").parquet(path)
-    written = spark.read.parquet(path)
-    order = F.struct(date, *keys)
+    if lookback_days:
+        cursor = lookback_cursor(cursor, lookback_days)
+    new = past_cursor(df, date, keys, cursor)
+    if page_rows is not None:
+        new = new.orderBy(date, *keys).limit(page_rows)
+    side, path = f"{landing}.refused/run={ctx.run_id}", f"{landing}/run={ctx.run_id}"
+    all_strings(new).write.mode("overwrite").parquet(side)
+    written = spark.read.parquet(side)
+    # Texts are compared as what they were, so that 10 comes after 9.
+    typed = [F.col(c).cast(df.schema[c].dataType).alias(c) for c in (date, *keys)]
     missing = F.count_if(F.greatest(*[F.col(c).isNull() for c in (date, *keys)]))
-    rows, bad, last = written.agg(F.count(F.lit(1)), missing, F.max(order)).first()
+    last = F.max(F.struct(*typed, *[F.col(c).alias(f"_{c}") for c in (date, *keys)]))
+    rows, bad, newest = written.agg(F.count(F.lit(1)), missing, last).first()
     if bad:
         raise ValueError(f"{bad} rows of {source} lack a cursor or key value; cursor not moved")
+    files.delete(spark, path)
+    files.rename(spark, side, path)
     if rows:
-        advanced = Cursor(last[0], tuple(last[1:]))
+        advanced = Cursor(newest[f"_{date}"], tuple(newest[f"_{k}"] for k in keys))
         files.write_text(spark, state_path, advanced.to_text())
     return rows
 

@@ -29,6 +29,12 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(handle).getLength()
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern finds."""
+    fs, handle = _path(spark, pattern)
+    return [str(s.getPath()) for s in fs.globStatus(handle) or []]
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, handle = _path(spark, source)
     _, goal = _path(spark, target)
@@ -48,10 +54,13 @@ def copy(spark: SparkSession, source: str, target: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """Text of a small file, or None when it does not exist."""
+    """Text of a small file, or None when it does not exist. A replacement that a lost driver
+    left complete beside it (see write_text) counts while the file itself is gone."""
     fs, handle = _path(spark, path)
     if not fs.exists(handle):
-        return None
+        _, handle = _path(spark, f"{path}.new")
+        if not fs.exists(handle):
+            return None
     stream = fs.open(handle)
     try:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -60,14 +69,22 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file: the text is complete under a side name before it takes the place."""
+    """Replace a small file. `.new` only ever holds a complete text, so at every moment either the
+    file or `.new` can be read."""
     fs, handle = _path(spark, path)
     _, side = _path(spark, f"{path}.new")
-    out = fs.create(side, True)
+    _, draft = _path(spark, f"{path}.draft")
+    out = fs.create(draft, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(handle):
+        fs.delete(side, False)  # left by a lost run, and older than the file
+    elif fs.exists(side):
+        fs.rename(side, handle)
+    if not fs.rename(draft, side):
+        raise OSError(f"could not write {path}")
     fs.delete(handle, False)
     if not fs.rename(side, handle):
         raise OSError(f"could not write {path}")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.context import RunContext
+from wardline.context import RunContext, utc
 from wardline.fixed_values import INGEST_COLUMNS, RAW_FEEDS
 from wardline.functions.keys import row_hash
 from wardline.operators.quality import null_counts
@@ -20,8 +18,8 @@ INGEST_SCHEMA = (
     "_row_hash string, _ingested_at timestamp, _source_file string, _ingest_date string, "
     "_job_run_id string, _notebook_path string, _source_system string"
 )
-# Files may appear late in a listing; the next schema scan reaches back this far.
-SCAN_OVERLAP = dt.timedelta(hours=1)
+# What the file stream needs to know of a file: where it is. Its content is read per batch.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def with_ingest_columns(df: DataFrame, ctx: RunContext) -> DataFrame:
@@ -30,7 +28,7 @@ def with_ingest_columns(df: DataFrame, ctx: RunContext) -> DataFrame:
     return df.withColumns(
         {
             "_row_hash": row_hash(df.columns),
-            "_ingested_at": F.lit(ctx.run_ts),
+            "_ingested_at": utc(ctx.run_ts),
             "_source_file": F.col("_metadata.file_path"),
             "_ingest_date": F.lit(ctx.run_ts.strftime("%Y-%m-%d")),
             "_job_run_id": F.lit(ctx.run_id),
@@ -44,36 +42,20 @@ def schema_path(target: str, feed: str) -> str:
     return f"{target}/{feed}.schema.json"
 
 
-def current_schema(
-    spark: SparkSession, source: str, state_path: str, pattern: str | None, scan_time: dt.datetime
-) -> T.StructType:
-    """Schema of the source: the stored one plus columns of files new since the last scan.
+def stored_fields(spark: SparkSession, target: str, feed: str) -> list[T.StructField]:
+    state = files.from_json(files.read_text(spark, schema_path(target, feed)))
+    return T.StructType.fromJson(state["schema"]).fields if state else []
 
-    Only new files' footers are read. Columns are added, never dropped or retyped.
-    """
-    state = files.from_json(files.read_text(spark, state_path))
-    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    known = T.StructType([])
-    if state:
-        known = T.StructType.fromJson(state["schema"])
-        since = dt.datetime.fromisoformat(state["scanned_at"]) - SCAN_OVERLAP
-        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-    try:
-        seen = reader.parquet(source).schema
-    except AnalysisException:
-        if not state:
-            raise
-        seen = T.StructType([])
-    names = set(known.fieldNames())
-    merged = T.StructType(known.fields + [f for f in seen.fields if f.name not in names])
-    files.write_text(
-        spark,
-        state_path,
-        files.to_json({"schema": merged.jsonValue(), "scanned_at": scan_time.isoformat()}),
-    )
-    return merged
+
+def add_columns(spark: SparkSession, target: str, feed: str, seen: T.StructType) -> None:
+    """Columns are added to the feed's schema, never dropped or retyped."""
+    known = stored_fields(spark, target, feed)
+    names = {f.name for f in known}
+    new = [f for f in seen.fields if f.name not in names]
+    if new:
+        merged = T.StructType(known + new)
+        text = files.to_json({"schema": merged.jsonValue()})
+        files.write_text(spark, schema_path(target, feed), text)
 
 
 def ingest_files(
@@ -88,35 +70,57 @@ def ingest_files(
 ) -> int:
     """Process every file not seen before and stop; returns the rows this run added.
 
-    Each feed of a table has its own folder and checkpoint, so several sources can fill one
-    table. The checkpoint knows the files taken and the sink's log the files committed, so a
-    restarted run neither skips nor repeats rows.
+    The stream hands over file names alone. Schema and rows of a batch are read from that same
+    list, so a file's columns are never missed, however old or late the file is. Each batch is
+    complete in a side folder before it is moved to `_ingest_date=.../_batch=...`; a repeated
+    batch has the same number and takes the place of its first try. Each feed of a table has its
+    own folder and checkpoint, so several sources can fill one table.
     """
-    schema = current_schema(spark, source, schema_path(target, feed), pattern, ctx.run_ts)
-    # Folder names say where a file came from and are not data.
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    root, date = f"{target}/{feed}", ctx.run_ts.strftime("%Y-%m-%d")
+    added: list[int] = []
+
+    def take(batch: DataFrame, number: int) -> None:
+        paths = sorted(r["path"] for r in batch.select("path").collect())  # names of new files only
+        if not paths:
+            return
+        # Folder names say where a file came from and are not data.
+        reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+        rows = reader.parquet(*paths)
+        add_columns(spark, target, feed, rows.schema)
+        side = f"{target}/_{feed}.batch={number}"
+        with_ingest_columns(rows, ctx).drop("_ingest_date").write.mode("overwrite").parquet(side)
+        added.append(spark.read.parquet(side).count())
+        for earlier in files.matching(spark, f"{root}/*/_batch={number}"):
+            files.delete(spark, earlier)
+        files.rename(spark, side, f"{root}/_ingest_date={date}/_batch={number}")
+
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true")
+    # By default the stream passes over files a week older than the newest, such as copies that
+    # keep their times.
+    reader = reader.option("maxFileAge", "36500d")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
-        with_ingest_columns(reader.parquet(source), ctx)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        reader.load(source)
+        .select("path")
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", f"{checkpoint}/{feed}")
         .trigger(availableNow=True)
-        .start(f"{target}/{feed}")
+        .start()
     )
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(f"ingest of {source} failed") from query.exception()
-    return rows_of_run(spark, target, ctx.run_id, [feed])
+    return sum(added)
 
 
 def ingest_all(
     spark: SparkSession, landing: str, raw: str, checkpoint: str, ctx: RunContext
 ) -> dict[str, int]:
-    """Take in the new files of every feed that has landed any; rows added by raw table."""
+    """Take in the new files of every feed that has landed any, check the lineage of what was
+    added, and return the rows added by raw table."""
     added: dict[str, int] = {}
     for table, feeds in RAW_FEEDS.items():
         for feed in feeds:
@@ -124,6 +128,10 @@ def ingest_all(
             if files.exists(spark, source):
                 rows = ingest_files(spark, source, f"{raw}/{table}", checkpoint, ctx, feed)
                 added[table] = added.get(table, 0) + rows
+                if rows:
+                    today = F.col("_ingest_date") == ctx.run_ts.strftime("%Y-%m-%d")
+                    batch = read_raw_table(spark, f"{raw}/{table}", [feed]).filter(today)
+                    validate_batch(batch, ctx.run_id)
     return added
 
 
@@ -135,33 +143,21 @@ def raw_tables(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
 def read_raw_table(
     spark: SparkSession, target: str, feeds: Sequence[str] = ("main",)
 ) -> DataFrame:
-    """The raw table over its feeds; columns a file lacked are NULL. The schema is the stored
-    one, so no file needs to be opened to find it."""
+    """The raw table over its feeds, partitioned by ingest date; columns a file lacked are NULL.
+    The schema is the stored one, so no file needs to be opened to find it."""
     table = None
     for feed in feeds:
-        if not files.exists(spark, f"{target}/{feed}/_spark_metadata/0"):
+        if not files.exists(spark, f"{target}/{feed}"):
             continue
-        state = files.from_json(files.read_text(spark, schema_path(target, feed)))
-        fields = T.StructType.fromJson(state["schema"]).fields
-        schema = T.StructType(fields + T.StructType.fromDDL(INGEST_SCHEMA).fields)
-        part = spark.read.schema(schema).parquet(f"{target}/{feed}")
+        lineage = T.StructType.fromDDL(INGEST_SCHEMA).fields
+        schema = T.StructType(stored_fields(spark, target, feed) + lineage + [T.StructField("_batch", T.LongType())])
+        part = spark.read.schema(schema).parquet(f"{target}/{feed}").drop("_batch")
         table = part if table is None else table.unionByName(part, allowMissingColumns=True)
     if table is None:
         raise ValueError(f"no rows were ever ingested into {target}")
     return table
 
 
-def rows_of_run(
-    spark: SparkSession, target: str, run_id: str, feeds: Sequence[str] = ("main",)
-) -> int:
-    """Rows a run added, counted from the table: exact for runs of any length."""
-    try:
-        table = read_raw_table(spark, target, feeds)
-    except ValueError:
-        return 0
-    return table.filter(F.col("_job_run_id") == run_id).count()
-
-
 def validate_batch(table: DataFrame, run_id: str | None = None) -> int:
     """Lineage columns present and filled for the run's rows; returns their number."""
     missing = [c for c in INGEST_COLUMNS if c not in table.columns]
