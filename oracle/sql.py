@@ -655,6 +655,11 @@ QUERIES = {
         WHERE a.valid_from <= TIMESTAMP '2000-02-10' AND (a.valid_to IS NULL OR a.valid_to > TIMESTAMP '2000-02-10')
           AND b.valid_from <= TIMESTAMP '2001-07-10' AND (b.valid_to IS NULL OR b.valid_to > TIMESTAMP '2001-07-10')
         GROUP BY ALL""",
+    "stream_added_column": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+        CASE WHEN o_orderkey % 2 = 0 AND o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
+        CASE WHEN o_orderkey % 2 = 1 THEN 'r0' WHEN o_orderstatus = 'F' THEN 'r1' ELSE 'r2' END AS _job_run_id FROM orders""",
+    "extract_resumed": """SELECT CAST(l_shipdate AS VARCHAR) AS issuance_date, CAST(l_orderkey AS VARCHAR) AS job__,
+        CAST(l_linenumber AS VARCHAR) AS permit_sequence__ FROM lineitem""",
     "stream_ingest": "SELECT event_type, 'first' AS _job_run_id, count(*) AS rows, count(DISTINCT event_id) AS hashes FROM events GROUP BY event_type",
     "dq_results": " UNION ALL ".join(
         [

@@ -34,7 +34,7 @@ from wardline.operators import dedup, history, joins, quality, spatial, spine, u
 from wardline.operators.ranking import top_ranked
 from wardline.plans import analysis, dims, kpi, monthly, serving, staging
 from wardline.plans.star import CELL, Star, published_exports, stored_star
-from wardline.sources import extract
+from wardline.sources import extract, files
 from wardline.sources.extract import Cursor, all_strings
 from wardline.streaming import ingest_files, read_raw_table, validate_batch
 
@@ -333,7 +333,7 @@ def monthly_inspections(spark, folder):
 
 @query
 def complaint_permit_left(spark, folder):
-    return Star(spark, folder).pairs
+    return stored_star(spark, folder).pairs
 
 
 # --- dimensions, fact, marts ------------------------------------------------------------
@@ -377,12 +377,12 @@ def mart_pulse_wide(spark, folder):
 
 @query
 def mart_safety_full_outer(spark, folder):
-    return Star(spark, folder).safety
+    return stored_star(spark, folder).safety
 
 
 @query
 def mart_food_full_outer(spark, folder):
-    return Star(spark, folder).food
+    return stored_star(spark, folder).food
 
 
 @query
@@ -405,12 +405,12 @@ def kpi_borough_trends(spark, folder):
 
 @query
 def kpi_log_scale(spark, folder):
-    return kpi.safety_infrastructure_corr(Star(spark, folder).safety)
+    return kpi.safety_infrastructure_corr(stored_star(spark, folder).safety)
 
 
 @query
 def kpi_food(spark, folder):
-    return kpi.food_compliance_overview(Star(spark, folder).food)
+    return kpi.food_compliance_overview(stored_star(spark, folder).food)
 
 
 @query
@@ -434,7 +434,7 @@ def log_scaled_values(spark, folder):
 
 @query
 def lag_join(spark, folder):
-    return Star(spark, folder).lags
+    return stored_star(spark, folder).lags
 
 
 @query
@@ -445,7 +445,7 @@ def lag_join_dense(spark, folder):
 
 @query
 def lag_correlation(spark, folder):
-    return analysis.lag_correlation(Star(spark, folder).lags)
+    return analysis.lag_correlation(stored_star(spark, folder).lags)
 
 
 @query
@@ -574,6 +574,46 @@ def stream_ingest(spark, folder):
     )
 
 
+@query
+def stream_added_column(spark, folder):
+    """Two feeds of one table; the second run's files bring a column the first ones lacked."""
+    base = f"{shared_folder(spark)}/ingest/{uuid.uuid4().hex}"
+    orders = all_strings(Star(spark, folder).table("orders")).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    odd = F.col("o_orderkey").cast("bigint") % 2 == 1
+    batches = (
+        ("historic", orders.filter(odd).drop("o_orderpriority")),
+        ("current", orders.filter(~odd).filter("o_orderstatus = 'F'").drop("o_orderpriority")),
+        ("current", orders.filter(~odd).filter("o_orderstatus <> 'F'")),
+    )
+    for run, (feed, rows) in enumerate(batches):
+        rows.write.parquet(f"{base}/landing/{feed}/run={run}")
+        ingest_files(
+            spark, f"{base}/landing/{feed}", f"{base}/table", f"{base}/checkpoint", RunContext(run_id=f"r{run}"), feed
+        )
+    table = read_raw_table(spark, f"{base}/table", ("historic", "current"))
+    validate_batch(table)
+    return table.select("o_orderkey", "o_orderstatus", "o_orderpriority", "_job_run_id")
+
+
+@query
+def extract_resumed(spark, folder):
+    """Line items landed in three runs: two pages in cursor order, then all the rest at once."""
+    base = f"{shared_folder(spark)}/extract/{uuid.uuid4().hex}"
+    lines = Star(spark, folder).table("lineitem").select(
+        F.col("l_shipdate").cast("string").alias("issuance_date"),
+        F.col("l_orderkey").alias("job__"),
+        F.col("l_linenumber").alias("permit_sequence__"),
+    )
+    files.write_text(spark, f"{base}/cursor.json", Cursor("1900-01-01").to_text())
+    for run, size in enumerate((1000, 500, None)):
+        extract.extract_new_rows(
+            spark, lines, "permits", f"{base}/landing", f"{base}/cursor.json",
+            RunContext(run_id=f"r{run}"), page_rows=size,
+        )
+    landed = spark.read.parquet(f"{base}/landing")
+    return landed.select("issuance_date", "job__", "permit_sequence__")
+
+
 # --- data quality -----------------------------------------------------------------------
 
 

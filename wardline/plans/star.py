@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from wardline.context import RunContext, shared_folder
 from wardline.operators.spatial import polygon_table
 from wardline.operators.spine import months_between
 from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
+from wardline.sources import files
 from wardline.sources.exports import load_exports, publish
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -315,11 +316,13 @@ class Star:
         folder: str,
         ctx: RunContext = CONTEXT,
         staged_at: str | None = None,
+        stored: Sequence[str] = (),
     ):
         self.spark = spark
         self.folder = folder
         self.ctx = ctx
         self.staged_at = staged_at
+        self.stored = frozenset(stored)
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -328,8 +331,8 @@ class Star:
         return self._tables[name]
 
     def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """The staged table: read back where it is stored, else worked out from raw."""
-        if self.staged_at is None:
+        """The table: read back where it is stored, else worked out from the layer below."""
+        if name not in self.stored:
             return build()
         return self.spark.read.parquet(f"{self.staged_at}/{name}")
 
@@ -388,19 +391,27 @@ class Star:
 
     @cached_property
     def monthly_complaints(self) -> DataFrame:
-        return monthly.monthly_complaints(self.complaints)
+        return self._staged(
+            "monthly_complaints", lambda: monthly.monthly_complaints(self.complaints)
+        )
 
     @cached_property
     def monthly_arrests(self) -> DataFrame:
-        return monthly.monthly_arrests(self.arrests)
+        return self._staged(
+            "monthly_arrests", lambda: monthly.monthly_arrests(self.arrests)
+        )
 
     @cached_property
     def monthly_permits(self) -> DataFrame:
-        return monthly.monthly_permits(self.permits)
+        return self._staged(
+            "monthly_permits", lambda: monthly.monthly_permits(self.permits)
+        )
 
     @cached_property
     def monthly_inspections(self) -> DataFrame:
-        return monthly.monthly_inspections(self.inspections)
+        return self._staged(
+            "monthly_inspections", lambda: monthly.monthly_inspections(self.inspections)
+        )
 
     @cached_property
     def zip_seed(self) -> DataFrame:
@@ -420,17 +431,23 @@ class Star:
 
     @cached_property
     def zips(self) -> DataFrame:
-        return dims.dim_zip_codes(self.zip_seed, self.staged)
+        return self._staged("zips", lambda: dims.dim_zip_codes(self.zip_seed, self.staged))
 
     @cached_property
     def dates(self) -> DataFrame:
         """Months from the first order to the run date."""
+        return self._staged("dates", self._dates)
+
+    def _dates(self) -> DataFrame:
         bounds = self.table("orders").agg(F.to_date(F.min("o_orderdate")).alias("low"))
         months = months_between(bounds, F.col("low"), F.lit(self.ctx.as_of))
         return dims.date_attributes(months, self.ctx.as_of)
 
     @cached_property
     def fact(self) -> DataFrame:
+        return self._staged("fact", self._fact)
+
+    def _fact(self) -> DataFrame:
         return fact.fact_neighborhood_monthly(
             self.zips,
             self.dates,
@@ -469,13 +486,19 @@ class Star:
         return kpi.all_exports(self.pulse, self.safety, self.food, self.top_types)
 
 
-STAGED = ("complaints", "permits", "inspections", "arrests")
-_stored: dict[tuple[str, str, str], str] = {}
+# Tables that are stored once, each layer worked out from those before it.
+LAYERS = (
+    ("complaints", "permits", "inspections", "arrests"),
+    ("monthly_complaints", "monthly_permits", "monthly_inspections", "monthly_arrests", "zips", "dates"),
+    ("fact",),
+)
+_stored: dict[tuple[str, str, str, str], str] = {}
 
 
 def _once(spark: SparkSession, kind: str, folder: str, build: Callable[[str], None]) -> str:
-    """A place in the shared folder, filled by `build` once per application and input folder."""
-    key = (spark.sparkContext.applicationId, kind, folder)
+    """A place in the shared folder, filled by `build` once per application and state of the input."""
+    state = files.fingerprint(spark, [f"{folder}/{t}.parquet" for t in TABLES])
+    key = (spark.sparkContext.applicationId, kind, folder, state)
     if key not in _stored:
         base = f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}"
         build(base)
@@ -484,15 +507,19 @@ def _once(spark: SparkSession, kind: str, folder: str, build: Callable[[str], No
 
 
 def stored_star(spark: SparkSession, folder: str) -> Star:
-    """The star with its staged tables written once and read back. Models that need a staged
-    table more than once build on this, so raw rows are deduplicated and placed only once."""
+    """The star with its staged and monthly tables, dimensions and fact written once and read
+    back, so raw rows are deduplicated, placed and counted only once for all marts."""
 
     def build(base: str) -> None:
-        lazy = Star(spark, folder)
-        for name in STAGED:
-            getattr(lazy, name).write.parquet(f"{base}/{name}")
-
-    return Star(spark, folder, staged_at=_once(spark, "staged", folder, build))
+        done: list[str] = []
+        for layer in LAYERS:
+            star = Star(spark, folder, staged_at=base, stored=done)
+            for name in layer:
+                getattr(star, name).write.parquet(f"{base}/{name}")
+            done += layer
+
+    names = [n for layer in LAYERS for n in layer]
+    return Star(spark, folder, staged_at=_once(spark, "staged", folder, build), stored=names)
 
 
 def published_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

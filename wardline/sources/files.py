@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import SparkSession
@@ -29,6 +30,18 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(handle).getLength()
 
 
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Names, sizes and times of all files below `paths`, as one hash; missing paths count as empty."""
+    seen = []
+    for path in paths:
+        fs, handle = _path(spark, path)
+        found = fs.listFiles(handle, True) if fs.exists(handle) else None
+        while found is not None and found.hasNext():
+            s = found.next()
+            seen.append((str(s.getPath()), s.getLen(), s.getModificationTime()))
+    return hashlib.md5(repr(sorted(seen)).encode()).hexdigest()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that a glob pattern finds."""
     fs, handle = _path(spark, pattern)
