@@ -819,6 +819,82 @@ QUERIES = {
         {tier('neighborhood_pulse_score', 70, 50, 30)} AS city_tier, count(*) AS n FROM summary GROUP BY ALL""",
 }
 
+# Columns that no row may lack, by table and source.
+FILLED = {
+    ("complaints", "complaints"): "complaint_id created_date zip_code",
+    ("arrests", "arrests"): "arrest_id arrest_date borough zip_code",
+    ("permits", "permits"): "permit_key job_number permit_sequence_number borough issuance_date",
+    ("inspections", "inspections"): "inspection_record_key restaurant_id inspection_date",
+    ("monthly_complaints", "m_complaints"): "zip_code year_month total_complaints",
+    ("monthly_arrests", "m_arrests"): "zip_code year_month total_arrests",
+    ("monthly_permits", "m_permits"): "zip_code year_month total_permits_issued",
+    ("monthly_inspections", "m_inspections"): "zip_code year_month total_inspections",
+    ("complaints_with_permits", "pairs"): "zip_code year_month",
+    ("zip_codes", "zips"): "zip_code borough",
+    ("complaint_types", f"({QUERIES['dim_complaint_types']})"): "complaint_type_key complaint_type",
+    ("permit_types", f"({QUERIES['dim_permit_types']})"): "permit_type_key permit_type",
+    ("dates", "dates"): "year_month year month quarter month_name is_current_month is_complete_month",
+    ("fact", "fact"): "zip_code year_month borough total_complaints total_arrests total_permits_issued "
+    "total_inspections neighborhood_pulse_score",
+    ("pulse", "pulse"): "zip_code year_month borough neighborhood_pulse_score",
+    ("safety", "safety"): "zip_code year_month",
+    ("food", "food"): "zip_code year_month",
+    ("top_types", "top_types"): "borough year_month complaint_type borough_rank",
+}
+KEYS = {
+    "complaints": ["complaint_id"],
+    "arrests": ["arrest_id"],
+    "permits": ["permit_key"],
+    "inspections": ["inspection_record_key"],
+    "zip_codes": ["zip_code"],
+    "complaint_types": ["complaint_type_key", "complaint_type"],
+    "permit_types": ["permit_type_key", "permit_type"],
+    "dates": ["year_month"],
+    "fact": ["zip_code,year_month"],
+}
+QUERIES["dq_all_layers"] = " UNION ALL ".join(
+    [
+        check(f"{table}.not_null:{column}", source, f"{column} IS NULL")
+        for (table, source), columns in FILLED.items()
+        for column in columns.split()
+    ]
+    + [
+        check_rows(f"{table}.unique:{key}", f"SELECT {key} FROM {source} GROUP BY ALL HAVING count(*) > 1")
+        for table, source in FILLED
+        for key in KEYS.get(table, [])
+    ]
+    + [
+        check(
+            "complaints.not_null:borough",
+            "complaints",
+            "trim(borough_raw) IS NOT NULL AND trim(borough_raw) NOT IN ('', 'Unspecified') AND borough IS NULL",
+        ),
+        check(
+            "complaints.accepted_values:complaint_status",
+            "complaints",
+            "complaint_status NOT IN ('Open', 'Closed', 'Pending', 'Started', 'Assigned', 'In Progress', 'Draft', 'Unspecified')",
+        ),
+        check("complaints.not_after:created_date", "complaints", f"CAST(created_date AS DATE) > {AS_OF}"),
+        check("arrests.accepted_values:law_category", "arrests", "law_category NOT IN ('F', 'M', 'V', '9', 'I')"),
+        check("arrests.accepted_values:zip_code_source", "arrests", "zip_code_source NOT IN ('spatial', 'borough_fallback')"),
+        check("arrests.not_after:arrest_date", "arrests", f"arrest_date > {AS_OF}"),
+        check("permits.not_null:zip_code", "permits", "zip_code IS NULL", "warn"),
+        check("permits.not_after:issuance_date", "permits", f"issuance_date > {AS_OF}"),
+        check("inspections.not_null:zip_code", "inspections", "zip_code IS NULL", "warn"),
+        check("inspections.not_null:borough", "inspections", "borough_raw <> '0' AND borough IS NULL"),
+        check(
+            "inspections.accepted_values:is_critical_violation",
+            "inspections",
+            "is_critical_violation NOT IN ('Critical', 'Not Critical', 'Not Applicable')",
+        ),
+        check("inspections.accepted_values:inspection_grade", "inspections", "inspection_grade NOT IN ('A', 'B', 'C', 'Z', 'P', 'N')"),
+        check("inspections.not_after:inspection_date", "inspections", f"inspection_date > {AS_OF}"),
+        check("fact.in_range:neighborhood_pulse_score", "fact", "neighborhood_pulse_score NOT BETWEEN 0 AND 100"),
+        check_rows("fact.relationship:zip_code", "SELECT 1 FROM fact WHERE zip_code NOT IN (SELECT zip_code FROM zips)"),
+        check_rows("fact.relationship:year_month", "SELECT 1 FROM fact WHERE year_month NOT IN (SELECT year_month FROM dates)"),
+    ]
+)
+
 _WORDS = re.compile(r"\b[a-z_][a-z_0-9]*\b")
 
 

@@ -24,7 +24,7 @@ from wardline import fixed_values as fv
 from wardline.context import RunContext, utc
 from wardline.functions import lookback_floor, with_gold_audit
 from wardline.operators import history, quality, upsert
-from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
+from wardline.plans import analysis, contract, dims, fact, kpi, marts, monthly, staging
 from wardline.sources import files
 from wardline.sources.exports import publish
 
@@ -36,6 +36,9 @@ KEYS = {
 }
 
 
+GOLD = ("zip_codes", "complaint_types", "permit_types", "dates", "fact")
+
+
 @dataclass
 class Pipeline:
     """One city's tables under `root`, updated by `run`."""
@@ -47,6 +50,9 @@ class Pipeline:
     zip_seed: DataFrame
     cell: float = 0.01
     first_month: str = fv.FIRST_MONTH
+    # Reference files of the types; without them the types come from the data.
+    complaint_types: DataFrame | None = None
+    permit_types: DataFrame | None = None
 
     def run(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict:
         """Bring every layer up to date with `raw` (source name -> raw table). The first run
@@ -128,13 +134,13 @@ class Pipeline:
         silver = self.silver()
         self._put_dim("zip_codes", dims.dim_zip_codes(self.zip_seed, silver.values()))
         self._put_dim("dates", dims.dim_date(self.spark, self.ctx.as_of, self.first_month))
-        self._put_dim(
-            "complaint_types",
-            dims.dim_complaint_types(analysis.complaint_type_seed(silver["complaints"])),
-        )
-        self._put_dim(
-            "permit_types", dims.dim_permit_types(analysis.permit_type_seed(silver["permits"]))
-        )
+        complaints, permits = self.complaint_types, self.permit_types
+        if complaints is None:
+            complaints = analysis.complaint_type_seed(silver["complaints"])
+        if permits is None:
+            permits = analysis.permit_type_seed(silver["permits"])
+        self._put_dim("complaint_types", dims.dim_complaint_types(complaints))
+        self._put_dim("permit_types", dims.dim_permit_types(permits))
 
     def combine(self, incremental: bool) -> None:
         """Fact and marts. Those fed by arrests use the longer lookback of the arrests."""
@@ -201,73 +207,12 @@ class Pipeline:
 
     def check(self) -> DataFrame:
         """All data-quality checks over the stored tables, one row each."""
-        silver = self.silver()
-        rows = self.read("gold", "fact")
-        parts = [
-            quality.run_checks(df, name, [quality.not_null(key) for key in KEYS[name]])
-            for name, df in silver.items()
-        ]
-        parts += [quality.unique_check(df, name, KEYS[name]) for name, df in silver.items()]
-        parts += [
-            quality.run_checks(
-                silver["complaints"],
-                "complaints",
-                [
-                    quality.accepted_values(
-                        "complaint_status", [*fv.STATUS_CODES, fv.STATUS_DEFAULT]
-                    ),
-                    quality.not_after("created_date", self.ctx.as_of, quality.WARN),
-                ],
-            ),
-            quality.run_checks(
-                silver["arrests"],
-                "arrests",
-                [
-                    quality.accepted_values("law_category", fv.LAW_CATEGORIES, quality.WARN),
-                    quality.accepted_values(
-                        "zip_code_source", [fv.ZIP_FROM_POLYGON, fv.ZIP_FALLBACK]
-                    ),
-                    quality.not_after("arrest_date", self.ctx.as_of, quality.WARN),
-                ],
-            ),
-            quality.run_checks(
-                silver["permits"],
-                "permits",
-                [
-                    quality.not_null("zip_code", quality.WARN),
-                    quality.not_after("issuance_date", self.ctx.as_of, quality.WARN),
-                ],
-            ),
-            quality.run_checks(
-                silver["inspections"],
-                "inspections",
-                [
-                    quality.accepted_values("inspection_grade", fv.GRADE_VALUES),
-                    quality.accepted_values("is_critical_violation", fv.CRITICAL_FLAGS),
-                    quality.not_after("inspection_date", self.ctx.as_of, quality.WARN),
-                ],
-            ),
-            quality.run_checks(
-                rows,
-                "fact",
-                [
-                    quality.not_null("zip_code"),
-                    quality.not_null("neighborhood_pulse_score"),
-                    quality.in_range("neighborhood_pulse_score", 0, 100),
-                ],
-            ),
-            quality.unique_check(rows, "fact", monthly.GRAIN),
-            quality.relationship_check(
-                rows, "fact", self.read("gold", "zip_codes"), {"zip_code": "zip_code"}
-            ),
-            quality.relationship_check(
-                rows, "fact", self.read("gold", "dates"), {"year_month": "year_month"}
-            ),
-        ]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-        return result
+        tables = self.silver()
+        tables |= {f"monthly_{n}": self.read("monthly", n) for n in KEYS}
+        tables["complaints_with_permits"] = self.read("monthly", "complaint_permit")
+        tables |= {n: self.read("gold", n) for n in GOLD}
+        tables |= {n: self.read("marts", n) for n in ("pulse", "safety", "food", "top_types")}
+        return contract.check_tables(tables, self.ctx.as_of)
 
     # --- helpers ------------------------------------------------------------------------
 

@@ -32,7 +32,7 @@ from wardline.functions import (
 )
 from wardline.operators import dedup, history, joins, quality, spatial, spine, upsert
 from wardline.operators.ranking import top_ranked
-from wardline.plans import analysis, dims, kpi, monthly, serving, staging
+from wardline.plans import analysis, contract, dims, kpi, monthly, serving, staging
 from wardline.plans.star import CELL, Star, published_exports, stored_star
 from wardline.sources import extract, files
 from wardline.sources.extract import Cursor, all_strings
@@ -682,6 +682,33 @@ def dq_results(spark, folder):
     return result
 
 
+@query
+def dq_all_layers(spark, folder):
+    """The whole contract over every layer, one row per check."""
+    star = stored_star(spark, folder)
+    tables = {
+        "complaints": star.complaints,
+        "arrests": star.arrests,
+        "permits": star.permits,
+        "inspections": star.inspections,
+        "monthly_complaints": star.monthly_complaints,
+        "monthly_arrests": star.monthly_arrests,
+        "monthly_permits": star.monthly_permits,
+        "monthly_inspections": star.monthly_inspections,
+        "complaints_with_permits": star.pairs,
+        "zip_codes": star.zips,
+        "complaint_types": dim_complaint_types(spark, folder),
+        "permit_types": dim_permit_types(spark, folder),
+        "dates": star.dates,
+        "fact": star.fact,
+        "pulse": star.pulse,
+        "safety": star.safety,
+        "food": star.food,
+        "top_types": star.top_types,
+    }
+    return contract.check_tables(tables, star.ctx.as_of)
+
+
 @query
 def dq_fact(spark, folder):
     """Score present and in range, key present and unique, zip known to the dimension."""
