@@ -1,13 +1,14 @@
 """N-gram Jaccard join by token-combination prefixes.
 
 A document's tokens are the 64-bit hashes of its distinct word shingles. All documents order their
-tokens alike: by how many documents hold them, as a table of counts over the whole corpus
-tells, then by hash. The order decides how much work there is, never what is found. Two sets that reach the threshold share their first common token
-within a prefix of each; and if k of their tokens agree, the k-th within a prefix extended by
-k - 1. So rare prefix tokens are keys by themselves. For frequent ones, of which many documents
-share the first, combinations of two are keys, from the prefix extended by one. Sets with more
-than `SMALL` tokens, whose combinations would be too many, keep single keys for frequent tokens
-as well; sizes near that bound have both, as partners may lie on its other side.
+tokens alike: by how many documents hold them, as a table of counts over the whole corpus tells,
+then by hash. The order decides how much work there is, never what is found. Two sets that reach
+the threshold share their first common token within a prefix of each; and if k of their tokens
+agree, the k-th within a prefix extended by k - 1. So rare prefix tokens are keys by themselves.
+For frequent ones, of which many documents share the first, combinations of two are keys, from
+the prefix extended by one. Sets with more than `SMALL` tokens, whose combinations would be too
+many, keep single keys for frequent tokens; sizes near that bound have both, as partners may lie
+on its other side.
 
 Sets that share a key meet in blocks (see `components.block_pairs`). First only parities meet: a
 few bits per token, each the parity of the tokens that hash to it. Two parities differ in no more
