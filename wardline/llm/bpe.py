@@ -26,7 +26,7 @@ from .common import map_batches, map_groups, record, slices
 CHUNK, OVERLAP = 32_768, 512
 #: A boundary holds whatever follows once this many more code points were seen.
 SEEN = 2
-_KEPT_PIECES = 300_000
+_KEPT_PIECES = 100_000
 _coders: dict = {}
 
 

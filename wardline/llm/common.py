@@ -31,9 +31,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a batch between Spark and Python. Texts are large, so batches of Spark's usual 10,000
+#: rows would take up a Python worker's memory several times over.
+BATCH_ROWS = "500"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors, once a session, as --py-files would."""
+    """Give this package to the executors, once a session, as --py-files would, and keep batches
+    small unless the session says otherwise."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     if getattr(context, "_wardline_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
@@ -61,7 +70,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold == HELD_OUT, F.lit(False))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about `most` bytes of `column`, whole rows each; null text is ''."""
     at = batch.schema.get_field_index(column)
     text = pc.fill_null(batch.column(at), "")
