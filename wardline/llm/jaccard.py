@@ -321,6 +321,7 @@ def join_classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     )
     own = found.join(classes, ["s1", "s2"]).filter("doc_id = id").select("id", "n", "s1", "s2", "keys", "parity")
     own = stored(own, "jaccard-prefixes")
+    shared.destroy()  # what follows reads the stored prefixes
     keys = own.select(F.explode("keys").alias("key"), "id")
     weights = own.groupBy("id").agg(F.max("n").alias("weight"))
     home, pairs = block_pairs(keys, weights, BLOCK)
@@ -344,6 +345,7 @@ def join_classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     copies = sizes.filter("doc_id is not null").join(classes, ["s1", "s2"]).filter("doc_id <> id")
     edges = links.union(copies.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     grouped = components(edges)
+    wanted.destroy()  # components are stored
     return (
         sizes.join(grouped, sizes["doc_id"] == grouped["id"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

@@ -116,11 +116,13 @@ def train(docs: DataFrame, training: Column, text: str = "text", lang: str = "la
     schema = pa.schema([("lang", pa.string()), ("cell", pa.int64()), ("n", pa.int64())])
     cells = map_batches(rows, _count(schema), "lang string, cell long, n long")
     # At most languages x BUCKETS rows, whatever the input.
-    found = cells.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(found["lang"].unique())
+    found = cells.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    names = found["lang"].to_pylist()
+    languages = sorted(set(names))
     counts = np.zeros((BUCKETS, len(languages)))
     at = {name: i for i, name in enumerate(languages)}
-    counts[found["cell"].to_numpy(np.int64), found["lang"].map(at).to_numpy(np.int64)] = found["n"]
+    column = np.array([at[name] for name in names], np.int64)
+    counts[found["cell"].to_numpy(), column] = found["n"].to_numpy()
     return Model(languages, counts)
 
 

@@ -269,6 +269,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     texts = texts.join(candidates, "id", "left_semi").dropDuplicates(["id"])
     dealt = meet(home, pairs, texts).select("a", "b", "id", "second", "line")
     links = stored(map_groups(dealt, ["a", "b"], _verify, "id long, links long, root long"), "line-links")
+    wanted.destroy()  # links are stored
     grouped = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counted = links.groupBy("id").agg(F.sum("links").alias("n_links")).join(grouped, "id")
     placed = occurrences.join(counted, "id", "left").withColumn("class", F.coalesce("component", "id"))
