@@ -31,6 +31,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the files of a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows of a batch between Spark and Python. Texts are large, so batches of Spark's usual 10,000
 #: rows would take up a Python worker's memory several times over.
 BATCH_ROWS = "500"

@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, lines, pii, pivots, rules, secrets, tiling, warc
+from . import alignment, bpe, jaccard, langid, lines, nsbounds, pieces, pii, pivots, rules, secrets, tiling, warc
 from .common import held_out, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
@@ -116,6 +118,24 @@ FROM p LEFT JOIN k USING (h)
 """
 
 
+def op11_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nsbounds.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), PIECES, end=True), PIECES)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN, PIECES)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -134,6 +154,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_shares": op8_language_shares,
         "op9_secrets": op9_secrets,
         "op10_warc": op10_warc,
+        "op11_ns_bounds": op11_ns_bounds,
+        "op12_sentencepiece": op12_sentencepiece,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
         "pipeline": pipeline,
     }
 
