@@ -3,12 +3,15 @@
 import random
 import re
 import string
+import time
 
 import numpy as np
+import pyarrow as pa
 from fixtures import awkward, documents, words
 
 from wardline.llm import jaccard, lines, pivots, tiling
 from wardline.llm.components import components
+from wardline.llm.words import Words
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -202,6 +205,45 @@ def test_tiles():
         assert sum(k for k, _, _ in tiling.tiles(p, t, least)) == tiles_brute(p, t, least)
 
 
+def test_tiles_of_repetitive_text_are_bounded():
+    rnd = random.Random(7)
+    for n, stock in ((40, 1), (60, 2), (60, 3)):
+        for _ in range(15):
+            p, t = ([rnd.randint(1, stock) for _ in range(k)] for k in (n, 2 * n))
+            assert sum(k for k, _, _ in tiling.tiles(p, t, 4)) == tiles_brute(p, t, 4)
+    start = time.monotonic()
+    assert tiling.coverage([5] * 500, [5] * 50_000) == 1.0
+    assert tiling.coverage([5, 6] * 250, [6, 5] * 25_000) == 1.0
+    assert time.monotonic() - start < 6
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_linear_hashes_confuse(spark):
+    texts, items = [], []
+    for n in (1024, 2048, 4096, 8192):
+        a, b = thue_morse(n)
+        texts += [a, b, f"x {a} y z", f"x {b} y z"]
+        items.append(f"one {b} two three four")
+    rows = jaccard.join_classes(documents(spark, texts), 4, 85).collect()
+    assert all(r.component_id == r.doc_id and r.n_shingles == 1 for r in rows)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = documents(spark, [f"one {thue_morse(n)[0]} two three four" for n in (1024, 4096)] + items[:1])
+    got = {r.doc_id: r["items"] for r in tiling.leaks(docs, benchmark).collect()}
+    assert got == {0: [], 1: [], 2: [0]}
+
+
+def test_long_words_hash_by_content():
+    base = "".join(random.Random(n).choice("abc") for n in range(400))
+    made = {base[:n] for n in range(1, 400)} | {base[:n] + "z" + base[n + 1 :] for n in range(400)}
+    assert len(set(Words(pa.array(sorted(made))).hash.tolist())) == len(made)
+
+
 def test_leaks(spark):
     rnd = random.Random(12)
     items = [words(rnd, n, 300) for n in (1, 3, 4, 9, 20, 35, 60)] + [None, "", "..."]
@@ -230,6 +272,14 @@ def test_leaks(spark):
     assert tiling.leaks(documents(spark, []), benchmark).count() == 0
 
 
+def test_near_vectors_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 2), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 2), (None, [1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((str(r.vec_id), r.n_links, r.component_id) for r in pivots.near_vectors(df).collect())
+    assert got == [("1", 1, 1), ("1", 1, 1), ("2", 1, 1), ("3", 1, 1), ("None", 0, None)]
+    assert pivots.near_vectors(df.filter("false")).count() == 0
+
+
 def test_near_vectors(spark, monkeypatch):
     monkeypatch.setattr(pivots, "BLOCK", 40)
     rnd = np.random.default_rng(5)

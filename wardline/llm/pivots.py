@@ -9,7 +9,7 @@ decides. A pair is looked at in the list of its first common point alone. Lists
 Equal vectors of a label are one class from the start, with a weight. A vector that is null, zero,
 or holds a null or non-finite component, and one with a null label, links with nothing; so does a
 row with a null vec_id, whose component is null. Vectors of different length are not compared.
-Repeated rows count as further vectors.
+Repeated rows count as further vectors, and so do different rows with one vec_id.
 """
 
 from __future__ import annotations
@@ -81,10 +81,11 @@ def _verify(threshold: float, shared: int):
         earlier = held[:, names < point]
         first = (earlier[left] @ earlier[right].T) == 0
         i, j = np.nonzero((common >= shared) & first)
-        near = np.einsum("ij,ij->i", x[left[i]], x[right[j]]) >= threshold if len(i) < 20_000 else None
-        if near is None:
-            near = (x[left] @ x[right].T)[i, j] >= threshold
-        i, j = left[i[near]], right[j[near]]
+        i, j = left[i], right[j]
+        near = np.empty(len(i), bool)
+        for at in range(0, len(i), 8192):  # one way to add up, whatever the list
+            near[at : at + 8192] = np.einsum("ij,ij->i", x[i[at : at + 8192]], x[j[at : at + 8192]]) >= threshold
+        i, j = i[near], j[near]
         if low == high:
             i, j = i[i < j], j[i < j]
         links = np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
@@ -111,15 +112,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     )
     classes = stored(
         rows.filter("good").groupBy("label", "h1", "h2").agg(
-            F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("vector").alias("vector")
-        ),
+            F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("vector").alias("vector")
+        ).withColumn("id", F.monotonically_increasing_id()),
         "pivot-classes",
     )
     sized = classes.groupBy(F.size("vector").alias("size")).count().collect()  # one row per vector length
     points = {}
     for s in sized:
         wanted = min(MOST_POINTS, max(LEAST_POINTS, int(POINTS * s["count"] ** 0.5)))
-        sample = classes.filter(F.size("vector") == s["size"]).orderBy(F.xxhash64("id"), "label").limit(wanted)
+        sample = classes.filter(F.size("vector") == s["size"]).orderBy(F.xxhash64("least"), "label", "h1").limit(wanted)
         p = np.array([r["vector"] for r in sample.select("vector").collect()], float)
         p /= np.abs(p).max(1, keepdims=True)
         points[s["size"]] = p / np.linalg.norm(p, axis=1, keepdims=True)
@@ -140,10 +141,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     grouped = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    # Classes have numbers of their own, as rows of one vec_id may lie in several; a component is
+    # named by the smallest vec_id in it.
+    members = classes.select("id", "label", "h1", "h2", "least", "weight").join(grouped, "id", "left")
+    members = members.withColumn("component", F.coalesce("component", "id"))
+    names = members.groupBy("component").agg(F.min("least").alias("component_id"))
     known = (
-        classes.join(links, "id", "left")
-        .join(grouped, "id", "left")
-        .select("label", "h1", "h2", F.col("weight") - 1 + F.coalesce("links", F.lit(0)), F.coalesce("component", "id"))
+        members.join(names, "component")
+        .join(links, "id", "left")
+        .select("label", "h1", "h2", F.col("weight") - 1 + F.coalesce("links", F.lit(0)), "component_id")
         .toDF("label", "h1", "h2", "n_links", "component_id")
     )
     own = rows.filter("good").select("vec_id", "label", "h1", "h2").join(known, ["label", "h1", "h2"])

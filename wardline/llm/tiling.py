@@ -16,7 +16,7 @@ count once; items with a null id count and are listed as null. Other columns are
 
 from __future__ import annotations
 
-from collections import defaultdict
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,57 +32,98 @@ COVERAGE = 0.8
 _MOD, _RADIX = (1 << 61) - 1, 1_000_003
 
 
-def _scan(pattern: list[int], text: list[int], p_mark: list[bool], t_mark: list[bool], size: int):
-    """Maximal common unmarked runs of `size` or more, as (length, p, t); Karp-Rabin over both."""
+class _Side:
+    """One token sequence with the running hash of its prefixes and its marks."""
+
+    def __init__(self, tokens: list[int]):
+        self.tokens, self.marks = tokens, bytearray(len(tokens))
+        self.hash, self.power = [0], [1]
+        for x in tokens:
+            self.hash.append((self.hash[-1] * _RADIX + x) % _MOD)
+            self.power.append(self.power[-1] * _RADIX % _MOD)
+
+    def run(self, at: int, size: int) -> int:
+        return (self.hash[at + size] - self.hash[at] * self.power[size]) % _MOD
+
+    def free(self, at: int) -> int:
+        """The first unmarked place from `at` on."""
+        found = self.marks.find(0, at)
+        return len(self.marks) if found < 0 else found
+
+    def marked(self, at: int) -> int:
+        found = self.marks.find(1, at)
+        return len(self.marks) if found < 0 else found
+
+    def windows(self, size: int) -> Iterator[tuple[int, int | None]]:
+        """(start, token before it if that is unmarked) of every unmarked run of `size`."""
+        at = self.free(0)
+        while at < len(self.tokens):
+            end = self.marked(at)
+            for i in range(at, end - size + 1):
+                yield i, self.tokens[i - 1] if i > at else None
+            at = self.free(end)
+
+
+def _extent(a: _Side, b: _Side, p: int, t: int) -> int:
+    """How far the unmarked runs from p and t agree: doubling steps, then halving ones."""
+    most, k, step, growing = min(a.marked(p) - p, b.marked(t) - t), 0, 1, True
+    while step and k < most:
+        n = min(step, most - k)
+        if a.run(p + k, n) == b.run(t + k, n):
+            k, step = k + n, step * 2 if growing else step // 2
+        else:
+            growing, step = False, (1 << (n - 1).bit_length()) // 2 if n > 1 else 0
+    return k
 
-    def windows(seq: list[int], mark: list[bool]) -> Iterator[tuple[int, int]]:
-        top, value, run = pow(_RADIX, size - 1, _MOD), 0, 0
-        for i, x in enumerate(seq):
-            if mark[i]:
-                value, run = 0, 0
-                continue
-            if run == size:
-                value, run = (value - seq[i - size] % _MOD * top) % _MOD, run - 1
-            value, run = (value * _RADIX + x) % _MOD, run + 1
-            if run == size:
-                yield i - size + 1, value
-
-    table = defaultdict(list)
-    for at, value in windows(text, t_mark):
-        table[value].append(at)
-    for p, value in windows(pattern, p_mark):
-        for t in table.get(value, ()):
-            k = 0
-            while (
-                p + k < len(pattern) and t + k < len(text) and pattern[p + k] == text[t + k]
-                and not p_mark[p + k] and not t_mark[t + k]
-            ):
-                k += 1
-            if k >= size:
-                yield k, p, t
+
+def _matches(a: _Side, b: _Side, size: int) -> Iterator[tuple[int, int, int]]:
+    """Common unmarked runs of `size` or more that cannot grow to the left, as (-length, p, t).
+
+    Places of a window are kept by the token before them, so runs that could grow are not listed:
+    two texts that repeat one word have as many matches as tokens, not as pairs of tokens.
+    """
+    table: dict[int, dict] = {}
+    for t, before in b.windows(size):
+        table.setdefault(b.run(t, size), {}).setdefault(before, []).append(t)
+    for p, before in a.windows(size):
+        for other, places in table.get(a.run(p, size), {}).items():
+            if before is None or other != before:
+                for t in places:
+                    k = _extent(a, b, p, t)
+                    if k >= size:
+                        yield -k, p, t
 
 
 def tiles(pattern: list[int], text: list[int], least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (length, p, t): the longest first, then the earliest in pattern and text."""
-    p_mark, t_mark, out = [False] * len(pattern), [False] * len(text), []
+    """Greedy tiles (length, p, t): the longest first, then the earliest in pattern and text.
+
+    Matches wait in a queue by length. One that meets marks by its turn goes back as the runs that
+    are left of it, so nothing is scanned again for each tile.
+    """
+    a, b, out = _Side(pattern), _Side(text), []
     size = max(least, 16)
     while True:
-        found = sorted(set(_scan(pattern, text, p_mark, t_mark, size)), key=lambda m: (-m[0], m[1], m[2]))
-        marked = False
-        if found:
-            longest = found[0][0]
-            for k, p, t in found:
-                if k < longest:
-                    break
-                if any(p_mark[p : p + k]) or any(t_mark[t : t + k]):
-                    continue
-                p_mark[p : p + k] = t_mark[t : t + k] = [True] * k
+        queue = list(_matches(a, b, size))
+        heapq.heapify(queue)
+        while queue and a.free(0) < len(pattern):
+            k, p, t = heapq.heappop(queue)
+            k, i = -k, 0
+            if a.marked(p) >= p + k and b.marked(t) >= t + k:
+                a.marks[p : p + k] = b.marks[t : t + k] = b"\1" * k
                 out.append((k, p, t))
-                marked = True
-        if not marked:
-            if size == least:
-                return out
-            size = max(least, size // 2)
+                continue
+            while i < k:
+                begin = max(a.free(p + i) - p, b.free(t + i) - t)
+                if begin > i:
+                    i = begin
+                    continue
+                end = min(k, a.marked(p + i) - p, b.marked(t + i) - t)
+                if end - i >= size:
+                    heapq.heappush(queue, (i - end, p + i, t + i))
+                i = end
+        if size == least:
+            return out
+        size = max(least, size // 2)
 
 
 def coverage(item: list[int], text: list[int]) -> float:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0xD6E8FEB86659FD93
-_SPAN = 1 << 19
+#: Words of more bytes are hashed one by one.
+_LONG = 128
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -16,12 +17,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _table(seed: int) -> np.ndarray:
-    return _mix(np.arange(1, 257, dtype=np.uint64) * _ODD + np.uint64(seed))
-
-
-_BYTES = _table(11)
-_PLACES = _table(23)
+_PLACES = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD + np.uint64(23))
 #: Bytes between words: space and the five controls 9 to 13.
 _GAPS = np.zeros(256, bool)
 _GAPS[[9, 10, 11, 12, 13, 32]] = True
@@ -31,12 +27,6 @@ _LOWER[65:91] += 32
 _MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 class Words:
     """Words of a text column: `hash` and `row` per word; `first` and `count` per row.
 
@@ -69,18 +59,21 @@ class Words:
 
     @staticmethod
     def _hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        out = np.empty(len(begin), np.uint64)
+        """Eight bytes at a time are mixed into all words at once; nothing about it is linear."""
+        size = end - begin
+        out = _mix(size.astype(np.uint64) + _ODD)
+        padded = np.concatenate((data, np.zeros(8, np.uint8)))
+        eight = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
+        left = np.flatnonzero(size <= _LONG)
         at = 0
-        while at < len(begin):
-            upto = max(at + 1, int(np.searchsorted(end, begin[at] + _SPAN, side="right")))
-            lo, hi = int(begin[at]), int(end[upto - 1])
-            powers = _powers(_BASE, hi - lo + 1)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(_BYTES[data[lo:hi]] * powers[:-1], out=sums[1:])
-            inverse = _powers(pow(_BASE, -1, 1 << 64), hi - lo + 1)
-            b, e = begin[at:upto] - lo, end[at:upto] - lo
-            out[at:upto] = _mix((sums[e] - sums[b]) * inverse[b] + (e - b).astype(np.uint64) * _ODD)
-            at = upto
+        while len(left):
+            rest = np.minimum(size[left] - at, 8).astype(np.uint64)
+            part = eight[begin[left] + at] & (~np.uint64(0) >> (np.uint64(64) - rest * np.uint64(8)))
+            out[left] = _mix((out[left] ^ part) * _ODD + np.uint64(at + 1))
+            at += 8
+            left = left[size[left] > at]
+        for i in np.flatnonzero(size > _LONG):
+            out[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]])
         return out
 
     def runs(self, length: int) -> np.ndarray:
