@@ -1,14 +1,15 @@
-"""Type-2 history: one row per key and validity interval."""
+"""Type-2 history: one row per key and validity interval, run by run or replayed at once."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.context import utc
+from wardline.sources.versions import Version, VersionedTable, values_of
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -37,13 +38,20 @@ def apply_snapshot(
     over only when a row opens. One shuffle: the open rows meet the current rows once and
     each pair yields its one or two result rows; closed rows pass through untouched.
     """
+    layout = [*current.columns, VALID_FROM, VALID_TO]
+    closed = history.filter(F.col(VALID_TO).isNotNull()).select(*layout)
+    opened = history.filter(F.col(VALID_TO).isNull())
+    return meet_snapshot(opened, current, key, check, run_ts).unionByName(closed)
+
+
+def meet_snapshot(
+    opened: DataFrame, current: DataFrame, key: str, check: Sequence[str], run_ts: dt.datetime | Column
+) -> DataFrame:
+    """What one more run makes of the open rows: rows still open, newly open and just closed."""
     columns = current.columns
     layout = [*columns, VALID_FROM, VALID_TO]
     moment = utc(run_ts)
-    closed = history.filter(F.col(VALID_TO).isNotNull()).select(*layout)
-    before = history.filter(F.col(VALID_TO).isNull()).select(
-        F.col(key).alias("_key"), F.struct(*layout).alias("_old")
-    )
+    before = opened.select(F.col(key).alias("_key"), F.struct(*layout).alias("_old"))
     after = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
     pairs = before.join(after, "_key", "full_outer")
 
@@ -66,7 +74,94 @@ def apply_snapshot(
         .when(same, F.array(old_row))
         .otherwise(F.array(old_closed, new_row))
     )
-    return pairs.select(F.explode(outcome).alias("_row")).select("_row.*").unionByName(closed)
+    return pairs.select(F.explode(outcome).alias("_row")).select("_row.*")
+
+
+PART = "part"
+OPEN, CLOSED = "open", "closed"
+
+
+def history_table(spark: SparkSession, root: str) -> VersionedTable:
+    return VersionedTable(spark, root, (PART,))
+
+
+def add_run(
+    spark: SparkSession, root: str, current: DataFrame, key: str, check: Sequence[str], run_ts: dt.datetime, run_id: str = ""
+) -> Version:
+    """Add a run to the stored history at `root`: only open rows are read and written.
+
+    Closed rows are appended once and never read again by a run, so its cost follows the open
+    rows, however long the history is. Runs go forward in time. A run repeated under its id
+    changes nothing.
+    """
+    table = history_table(spark, root)
+    before, number = table.next_number()
+    if before is None:
+        rows = start_history(current, run_ts)
+    elif run_id and before.facts["run_id"] == run_id:
+        return before
+    elif run_ts <= dt.datetime.fromisoformat(before.facts["run_ts"]):
+        raise ValueError(f"run of {run_ts} is not later than the last, {before.facts['run_ts']}")
+    else:
+        opened = table.read(before, lambda v: v[PART] == OPEN).drop(PART)
+        rows = meet_snapshot(opened, current, key, check, run_ts)
+    rows = rows.withColumn(PART, F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(CLOSED))
+    kept = [f for f in before.folders if values_of(f)[PART] == CLOSED] if before else []
+    folders = table.write(rows, number)
+    return table.commit(before, [*kept, *folders], rows.schema, run_ts=run_ts.isoformat(), run_id=run_id)
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """All intervals of the stored history."""
+    return history_table(spark, root).read().drop(PART)
+
+
+def replay(
+    rows: DataFrame, key: str, check: Sequence[str], day: str, newest: Sequence[Column], runs: Sequence[dt.datetime], gone_days: int
+) -> DataFrame:
+    """The history that runs at these moments would have made, from dated rows in one pass.
+
+    A run's snapshot is the newest row per key up to its day, unless that is older than
+    `gone_days`. Rows are cut down to the newest per key between two runs before the shuffle's
+    result is kept, so a key holds no more rows than there are runs; its intervals are then
+    worked out within the row.
+    """
+    columns = rows.columns
+    runs = sorted(runs)
+    days = F.array(*[F.lit(r.date()) for r in runs])
+    turn = F.size(F.filter(days, lambda d: d < F.col(day)))
+    dated = rows.withColumn("_turn", turn).filter((F.col("_turn") < len(runs)) & F.col(day).isNotNull())
+    order = Window.partitionBy(key, "_turn").orderBy(*newest)
+    firsts = dated.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
+    held = firsts.groupBy(key).agg(F.collect_list(F.struct("_turn", F.struct(*columns).alias("row"))).alias("held"))
+
+    def state(i: int, moment: dt.datetime) -> Column:
+        known = F.filter("held", lambda h: h["_turn"] <= i)
+        last = F.array_max(F.transform(known, lambda h: h["_turn"]))
+        row = F.get(F.filter(known, lambda h: h["_turn"] == last), F.lit(0))["row"]
+        since = F.lit(moment.date() - dt.timedelta(days=gone_days))
+        return F.when(row[day] >= since, row)
+
+    states = held.select(F.array(*[state(i, r) for i, r in enumerate(runs)]).alias("s"))
+    changed = []
+    for i in range(len(runs)):
+        now = F.col("s")[i]
+        if not i:
+            changed.append(now.isNotNull())
+            continue
+        before = F.col("s")[i - 1]
+        same = now.isNotNull() & before.isNotNull()
+        for c in check:
+            same = same & now[c].eqNullSafe(before[c])
+        changed.append(~same & (now.isNotNull() | before.isNotNull()))
+    moments = [utc(r) for r in runs]
+    intervals = []
+    for i in range(len(runs)):
+        end = F.coalesce(*[F.when(changed[j], moments[j]) for j in range(i + 1, len(runs))], F.lit(None).cast("timestamp"))
+        opens = changed[i] & F.col("s")[i].isNotNull()
+        intervals.append(F.when(opens, F.struct(F.col("s")[i].alias("row"), moments[i].alias(VALID_FROM), end.alias(VALID_TO))))
+    found = states.select(F.explode(F.array_compact(F.array(*intervals))).alias("_i"))
+    return found.select("_i.row.*", f"_i.{VALID_FROM}", f"_i.{VALID_TO}")
 
 
 def as_of(history: DataFrame, moment: dt.datetime | Column) -> DataFrame:

@@ -1,13 +1,20 @@
-"""Keyed upsert: as a DataFrame, and onto month partitions."""
+"""Keyed upsert and month replacement, as DataFrames and onto stored versions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.sources import files
+from wardline.sources.versions import Version, VersionedTable, values_of
+
+MONTH, BUCKET = "year_month", "bucket"
+#: Buckets of a keyed table. A month's rows are cut into so many, so pick a number that keeps one
+#: of a large month within a few hundred MB; it is fixed when the table is first written.
+BUCKETS = 16
 
 
 def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -20,80 +27,96 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Da
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def by_month(df: DataFrame, month: str = "year_month") -> DataFrame:
-    """Rows gathered by month for writing. Rebalancing splits a month that is too large for
-    one task and merges small ones, so neither hot months nor many tiny files arise."""
-    return df.hint("rebalance", month)
-
-
-def overwrite_months(df: DataFrame, path: str, month: str = "year_month") -> None:
-    """Replace exactly the months present in `df`; all other months stay as they are."""
-    (
-        by_month(df, month)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(month)
-        .parquet(path)
-    )
-
-
-def upsert_months(
-    spark: SparkSession,
-    path: str,
-    updates: DataFrame,
-    keys: Sequence[str],
-    scratch: str,
-    month: str = "year_month",
-    evolving: bool = False,
-) -> None:
-    """Upsert into a parquet table laid out by month, rewriting only the months it touches.
-
-    Touched are the months of the updates and the months in which their keys sit now, so a
-    key may move. The merged months are first written whole to `scratch` and only then put
-    in place: if the job dies, `finish_upsert` with the same scratch folder completes it.
-    With `evolving` updates may bring new columns; finding all columns opens every file.
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key, by its text, so that it does not depend on the key's type."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def keyed_table(spark: SparkSession, root: str) -> VersionedTable:
+    """A table laid out by month and, within it, by bucket of the key."""
+    return VersionedTable(spark, root, (MONTH, BUCKET))
+
+
+def merged_schema(known: T.StructType, seen: T.StructType) -> T.StructType:
+    """Columns are added, never dropped; one that changes its type is refused."""
+    held = {f.name: f for f in known}
+    for f in seen:
+        if f.name in held and held[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {held[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    return T.StructType([*known, *(f for f in seen if f.name not in held)])
+
+
+def upsert(
+    spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str], buckets: int = BUCKETS
+) -> Version:
+    """Upsert into the keyed table at `root`; `updates` holds one row per key.
+
+    Keys are looked up in the buckets of the updates alone, over their key columns. Rewritten, and
+    written once, are only the parts (month and bucket) in which such a key sits now or will sit,
+    so a late row costs one bucket of its month, and a key may move to another month. All parts
+    change in one commit: readers see the table before or after it, and a job that dies before
+    the commit has changed nothing.
+    """
+    table = keyed_table(spark, root)
+    before, number = table.next_number()
+    if before is None:
+        return rewrite(spark, root, updates, keys, buckets)
+    if before.facts["keys"] != list(keys):
+        raise ValueError(f"{root} is keyed by {before.facts['keys']}, not {list(keys)}")
+    rows = updates.withColumn(BUCKET, bucket_of(keys, before.facts["buckets"]))
+    schema = merged_schema(before.schema, rows.schema)
+    # Stored once: the updates are needed for the buckets, the key scan and the merge.
+    side = f"{root}/updates"
+    rows.write.mode("overwrite").parquet(side)
+    rows = spark.read.schema(rows.schema).parquet(side)
+
+    def name(row) -> tuple[str | None, str]:
+        return row[MONTH], str(row[BUCKET])
+
+    places = [F.col(MONTH).cast("string").alias(MONTH), BUCKET]
+    parts = {name(r) for r in rows.select(*places).distinct().collect()}  # no more than parts
+    used = {bucket for _, bucket in parts}
+    known = table.read(before, lambda v: v[BUCKET] in used).select(*{*keys, MONTH, BUCKET})
+    held = known.join(rows.select(*keys), list(keys), "left_semi").select(*places).distinct()
+    parts |= {name(r) for r in held.collect()}
+
+    def touched(values: dict) -> bool:
+        return (values[MONTH], values[BUCKET]) in parts
+
+    merged = merge_rows(table.read(before, touched), rows, keys)
+    folders = table.write(merged.select(*schema.names), number)
+    kept = [f for f in before.folders if not touched(values_of(f))]
+    done = table.commit(before, [*kept, *folders], schema, **before.facts)
+    files.delete(spark, side)
+    return done
+
+
+def rewrite(
+    spark: SparkSession, root: str, rows: DataFrame, keys: Sequence[str], buckets: int = BUCKETS
+) -> Version:
+    """Make `rows` the whole keyed table; one row per key."""
+    table = keyed_table(spark, root)
+    before, number = table.next_number()
+    rows = rows.withColumn(BUCKET, bucket_of(keys, buckets))
+    folders = table.write(rows, number)
+    return table.commit(before, folders, rows.schema, keys=list(keys), buckets=buckets)
+
+
+def replace_months(spark: SparkSession, root: str, rows: DataFrame, since: str | None = None) -> Version:
+    """Make `rows` the table's months from `since` on, or the whole table; in one commit.
+
+    A month of that range that `rows` lacks is gone afterwards, so an incremental run that empties
+    a month leaves what a full one would. Earlier months, and rows without one, stay.
     """
-    if not files.exists(spark, path):
-        by_month(updates, month).write.mode("overwrite").partitionBy(month).parquet(path)
-        return
-    # Stored once: the updates are needed for the key scan, the months and the merge.
-    by_month(updates, month).write.mode("overwrite").parquet(f"{scratch}/updates")
-    updates = spark.read.parquet(f"{scratch}/updates")
-    target = spark.read.option("mergeSchema", evolving).parquet(path)
-    target = target.withColumn(month, F.col(month).cast("string"))
-    # Column-pruned key scan: bounded output, one row per month of the table.
-    held = target.select(*{*keys, month}).join(updates.select(*keys), list(keys), "left_semi")
-    touched = [
-        row[0]
-        for row in held.select(month).union(updates.select(month)).distinct().collect()
-    ]
-    in_touched = F.col(month).isin([m for m in touched if m is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(month).isNull()
-    merged = merge_rows(target.filter(in_touched), updates, keys)
-    by_month(merged, month).write.mode("overwrite").partitionBy(month).parquet(f"{scratch}/rows")
-    files.write_text(spark, f"{scratch}/months.json", files.to_json(touched))
-    finish_upsert(spark, path, scratch, month)
-
-
-def finish_upsert(
-    spark: SparkSession, path: str, scratch: str, month: str = "year_month"
-) -> bool:
-    """Put staged months in place; safe to repeat. False when nothing is staged."""
-    touched = files.from_json(files.read_text(spark, f"{scratch}/months.json"))
-    if touched is None:
-        return False
-    staged = spark.read.parquet(f"{scratch}/rows")
-    staged = staged.withColumn(month, F.col(month).cast("string"))
-    filled = {row[0] for row in staged.select(month).distinct().collect()}
-    (
-        by_month(staged, month)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(month)
-        .parquet(path)
-    )
-    for emptied in set(touched) - filled:
-        name = "__HIVE_DEFAULT_PARTITION__" if emptied is None else emptied
-        files.delete(spark, f"{path}/{month}={name}")
-    return True
+    table = VersionedTable(spark, root, (MONTH,))
+    before, number = table.next_number()
+
+    def stays(folder: str) -> bool:
+        month = values_of(folder)[MONTH]
+        return month is None or month < since
+
+    kept = [f for f in before.folders if stays(f)] if before and since else []
+    if since is not None:
+        rows = rows.filter(F.col(MONTH) >= since)
+    schema = merged_schema(before.schema, rows.schema) if kept else rows.schema
+    return table.commit(before, [*kept, *table.write(rows, number)], schema)

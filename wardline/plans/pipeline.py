@@ -2,13 +2,16 @@
 exports and checks. Order is the order of the calls; each layer is written and read back, so
 no plan reaches further back than the layer below it.
 
-    root/silver/<source>        staged rows by month
+    root/silver/<source>        staged rows by month and bucket of the key
     root/monthly/<source>       measures by month
     root/gold/<dim|fact>        dimensions, fact by month
     root/marts/<mart>           marts by month
-    root/history/<run>          type-2 history, one folder per run
+    root/history                type-2 history: open and closed rows
     root/exports                published files
-    root/state                  high-water marks and the current history
+    root/state                  high-water marks
+
+All but the dimensions are versioned tables (see `sources/versions.py`): a layer changes in one
+commit, and readers keep to the version they opened.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from wardline.operators import history, quality, upsert
 from wardline.plans import analysis, contract, dims, fact, kpi, marts, monthly, staging
 from wardline.sources import files
 from wardline.sources.exports import publish
+from wardline.sources.versions import VersionedTable
 
 KEYS = {
     "complaints": ("complaint_id",),
@@ -57,7 +61,7 @@ class Pipeline:
     def run(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict:
         """Bring every layer up to date with `raw` (source name -> raw table). The first run
         and a full refresh rebuild all months, later runs those within the lookback."""
-        incremental = not full_refresh and files.exists(self.spark, f"{self.root}/gold/fact")
+        incremental = not full_refresh and bool(files.matching(self.spark, f"{self.root}/gold/fact/versions/*.json"))
         for name in KEYS:
             self.stage(name, raw[name], full_refresh)
         self.measure(incremental)
@@ -69,10 +73,12 @@ class Pipeline:
         return {"incremental": incremental, "warnings": warnings, "manifest": manifest}
 
     def read(self, layer: str, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{layer}/{name}")
-        if "year_month" in df.columns:
-            df = df.withColumn("year_month", F.col("year_month").cast("string"))
-        return df
+        path = f"{self.root}/{layer}/{name}"
+        if layer == "gold" and name != "fact":
+            return self.spark.read.parquet(path)
+        if layer == "silver":
+            return upsert.keyed_table(self.spark, path).read().drop(upsert.BUCKET)
+        return VersionedTable(self.spark, path, (upsert.MONTH,)).read()
 
     def silver(self) -> dict[str, DataFrame]:
         return {name: self.read("silver", name) for name in KEYS}
@@ -88,10 +94,6 @@ class Pipeline:
             "inspections": lambda r: staging.stage_inspections(r, self.ctx),
         }
         path, state = f"{self.root}/silver/{name}", f"{self.root}/state/{name}.json"
-        scratch = f"{self.root}/state/merge-{name}"
-        # A merge that died after its rows were complete is put in place first.
-        if upsert.finish_upsert(self.spark, path, scratch):
-            files.delete(self.spark, scratch)
         mark = None
         if not full_refresh:
             stored = files.from_json(files.read_text(self.spark, state))
@@ -106,13 +108,11 @@ class Pipeline:
         # Rows that arrive while this runs belong to the next run.
         rows = build[name](new.filter(F.col("_ingested_at") <= utc(newest)))
         if mark is None:
-            _write_all(rows, path)
+            upsert.rewrite(self.spark, path, rows, KEYS[name])
         else:
-            upsert.upsert_months(self.spark, path, rows, KEYS[name], scratch)
-            files.delete(self.spark, scratch)
-        files.write_text(
-            self.spark, state, files.to_json({"high_water": newest.isoformat()})
-        )
+            upsert.upsert(self.spark, path, rows, KEYS[name])
+        # A run that dies before this line merges the same rows again, which changes nothing.
+        files.write_text(self.spark, state, files.to_json({"high_water": newest.isoformat()}))
 
     def measure(self, incremental: bool) -> None:
         silver = self.silver()
@@ -124,11 +124,11 @@ class Pipeline:
             "inspections": monthly.monthly_inspections(silver["inspections"], near),
         }
         for name, df in tables.items():
-            self._put("monthly", name, df, incremental)
+            self._put("monthly", name, df, far if name == "arrests" else near)
         pairs = monthly.complaints_with_permits(
             self.read("monthly", "complaints"), self.read("monthly", "permits"), near
         )
-        self._put("monthly", "complaint_permit", pairs, incremental)
+        self._put("monthly", "complaint_permit", pairs, near)
 
     def dimensions(self) -> None:
         silver = self.silver()
@@ -156,49 +156,33 @@ class Pipeline:
             month["inspections"],
             far,
         )
-        self._put("gold", "fact", with_gold_audit(rows, "fact", self.ctx), incremental)
+        self._put("gold", "fact", with_gold_audit(rows, "fact", self.ctx), far)
         plain = {
-            "pulse": marts.mart_neighborhood_pulse(
+            # Month flags move with the run date, so all months are written again.
+            "pulse": (None, marts.mart_neighborhood_pulse(
                 self.read("gold", "fact").drop(*fv.GOLD_AUDIT_COLUMNS),
                 zips.drop(*fv.GOLD_AUDIT_COLUMNS),
                 dates.drop(*fv.GOLD_AUDIT_COLUMNS),
-                # Month flags move with the run date, so all months are written again.
                 None,
-            ),
-            "safety": marts.mart_safety_infrastructure(month["arrests"], month["permits"], far),
-            "food": marts.mart_food_compliance(month["inspections"], month["complaints"], near),
-            "top_types": marts.mart_top_complaints(self.read("silver", "complaints"), near),
+            )),
+            "safety": (far, marts.mart_safety_infrastructure(month["arrests"], month["permits"], far)),
+            "food": (near, marts.mart_food_compliance(month["inspections"], month["complaints"], near)),
+            "top_types": (near, marts.mart_top_complaints(self.read("silver", "complaints"), near)),
         }
-        for name, df in plain.items():
-            self._put("marts", name, with_gold_audit(df, name, self.ctx), incremental)
+        for name, (since, df) in plain.items():
+            self._put("marts", name, with_gold_audit(df, name, self.ctx), since)
 
     def keep_history(self) -> None:
-        """Add this run to the restaurant history. Runs go forward in time; a repeated run
-        starts from the history before it."""
-        state_path = f"{self.root}/state/history.json"
-        state = files.from_json(files.read_text(self.spark, state_path))
-        now = self.ctx.run_ts
+        """Add this run to the restaurant history. Runs go forward in time; a repeated one
+        changes nothing."""
         current = analysis.current_restaurants(self.read("silver", "inspections"))
-        path = f"{self.root}/history/{self.ctx.run_id}"
-        if state is None:
-            rows = history.start_history(current, now)
-        else:
-            if state["path"] == path:
-                return
-            if now <= dt.datetime.fromisoformat(state["run_ts"]):
-                raise ValueError(f"run of {now} is not later than the last, {state['run_ts']}")
-            before = self.spark.read.parquet(state["path"])
-            rows = history.apply_snapshot(
-                before, current, "restaurant_id", analysis.RESTAURANT_CHECKED, now
-            )
-        rows.write.mode("overwrite").parquet(path)
-        files.write_text(
-            self.spark, state_path, files.to_json({"path": path, "run_ts": now.isoformat()})
+        history.add_run(
+            self.spark, f"{self.root}/history", current, "restaurant_id", analysis.RESTAURANT_CHECKED,
+            self.ctx.run_ts, self.ctx.run_id,
         )
 
     def restaurant_history(self) -> DataFrame:
-        state = files.from_json(files.read_text(self.spark, f"{self.root}/state/history.json"))
-        return self.spark.read.parquet(state["path"])
+        return history.read_history(self.spark, f"{self.root}/history")
 
     def exports(self) -> dict[str, DataFrame]:
         return kpi.all_exports(
@@ -225,24 +209,11 @@ class Pipeline:
             lookback_floor(self.ctx.as_of, fv.ARREST_LOOKBACK_DAYS),
         )
 
-    def _put(self, layer: str, name: str, df: DataFrame, incremental: bool) -> None:
-        path = f"{self.root}/{layer}/{name}"
-        if incremental:
-            upsert.overwrite_months(df, path)
-        else:
-            _write_all(df, path)
+    def _put(self, layer: str, name: str, df: DataFrame, since: str | None) -> None:
+        upsert.replace_months(self.spark, f"{self.root}/{layer}/{name}", df, since)
 
     def _put_dim(self, name: str, df: DataFrame) -> None:
         with_gold_audit(df, f"dim_{name}", self.ctx).write.mode("overwrite").parquet(
             f"{self.root}/gold/{name}"
         )
 
-
-def _write_all(df: DataFrame, path: str) -> None:
-    (
-        upsert.by_month(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("year_month")
-        .parquet(path)
-    )

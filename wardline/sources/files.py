@@ -103,6 +103,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not write {path}")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file, complete from the moment it can be seen; fails if it is there already."""
+    fs, handle = _path(spark, path)
+    _, draft = _path(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(handle) or not fs.rename(draft, handle):
+        raise FileExistsError(f"{path} was written by someone else")
+
+
 def to_json(value: object) -> str:
     return json.dumps(value, indent=2, default=str)
 
