@@ -28,10 +28,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    classes = jaccard.join_classes(docs, SHINGLE, PERCENT)
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near-duplicates one row stays, one with the smallest doc_id.
+
+    Rows are told apart by their place in the stored input, so ids may repeat or be null.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    classes = jaccard.join_classes(rows.select(F.col("_row").alias("doc_id"), "text"), SHINGLE, PERCENT)
+    several = classes.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1")
+    grouped = stored(classes.join(several, "component_id").select(F.col("doc_id").alias("_row"), "component_id"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    kept = grouped.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first["_row"].alias("_row"))
+    gone = grouped.join(kept, ["component_id", "_row"], "left_anti").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
