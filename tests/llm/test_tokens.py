@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-from array import array
 
 import numpy as np
 import public_tokenizers
@@ -100,26 +99,37 @@ def test_piece_query(spark, library):
 
 
 def test_stretches_of_equal_ends():
-    for n in range(0, 70):
-        a = array("q", range(1, 71))
-        b = array("q", [x if x <= n else x + 1000 for x in range(1, 71)])
-        assert alignment.matching(a, b, 0, 0) == n
+    a = np.arange(1, 71)
+    for n in range(1, 71):
+        b = np.where(a <= n, a, a + 1000)
+        assert alignment.matching(a.tobytes(), b.tobytes(), 0, 0, 70) == n
+        assert alignment.matching(a.tobytes(), a[70 - n :].tobytes(), 70 - n, 0, n) == n
+
+
+def test_lookup():
+    rnd = np.random.default_rng(3)
+    keys = np.unique(rnd.integers(0, 1 << 40, 5000))
+    look = pieces.Lookup(keys)
+    assert (look(keys) == np.arange(len(keys))).all()
+    other = np.setdiff1d(rnd.integers(0, 1 << 40, 5000), keys)
+    assert (look(other) == -1).all() and (pieces.Lookup(keys[:0])(keys) == -1).all()
 
 
 def test_alignment_equals_brute_force():
     rnd = random.Random(4)
     for _ in range(300):
         last = rnd.randint(1, 120)
-        a, b = (array("q", sorted({*rnd.choices(range(1, last + 1), k=rnd.randint(0, last)), last})) for _ in range(2))
-        runs, left, right = alignment.align(a, b)
+        a, b = (np.array(sorted({*rnd.choices(range(1, last + 1), k=rnd.randint(0, last)), last})) for _ in range(2))
+        runs, *irregular = alignment.align(a, b)
         starts = [(0, *s[:-1]) for s in (a, b)]
         links = {
             (i, j) for i in range(len(a)) for j in range(len(b))
             if max(starts[0][i], starts[1][j]) < min(a[i], b[j])
         }
-        assert sorted(links) == list(zip(left, right))
-        groups = sum(m if n < 0 else 1 for _, _, n, m in runs)
-        assert groups == len(set(a) & set(b))
+        left, right = alignment.linked(runs, *irregular)
+        assert len(left) == len(links) and set(zip(left.tolist(), right.tolist())) == links
+        n_a, n_b = alignment.groups(runs)
+        assert len(n_a) == len(set(a) & set(b)) and (n_a.sum(), n_b.sum()) == (len(a), len(b))
 
 
 def brute(texts, byte_level, library):
@@ -170,7 +180,9 @@ def values(r):
 
 
 @pytest.mark.parametrize("shard", [1, 300, alignment.SHARD])
-def test_aligned_documents(spark, byte_level, library, shard):
+def test_aligned_documents(spark, byte_level, library, monkeypatch, shard):
+    monkeypatch.setattr(alignment, "_DIRECT", 100)
+    monkeypatch.setattr(alignment, "_PARTS", 7)
     texts = [*awkward()[:-2], "x" * 500, *STRANGE, *noise(random.Random(6), 60)]
     docs = documents(spark, texts).withColumn("pair", F.lit("clash")).withColumn("shard", F.lit("clash"))
     rows = alignment.aligned(docs, BYTE_BPE, public_tokenizers.PATTERN, PIECES, shard).collect()

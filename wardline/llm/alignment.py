@@ -23,7 +23,6 @@ import base64
 import hashlib
 import json
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +34,10 @@ from . import bpe, pieces
 from .common import map_batches, record, ship, slices, stored
 
 SHARD = 4 << 20
-#: Groups that are put into the digest at a time.
-_PARTS = 20_000
+#: Tokens that are written as text at a time.
+_PARTS = 1 << 16
+#: Code points up to which the byte-level library splits and encodes a text by itself.
+_DIRECT = 100_000
 _SCHEMA = pa.schema(
     [("shard", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
      ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()),
@@ -68,67 +69,105 @@ def ranks_of(path: str) -> bytes:
     return b"\n".join(b"%s %d" % (base64.b64encode(t), i) for t, i in tokens)
 
 
-def matching(a: array, b: array, i: int, j: int) -> int:
-    """How many entries from a[i] and b[j] on agree, by doubling steps and then halving ones."""
-    most, run, step, growing = min(len(a) - i, len(b) - j), 0, 1, True
-    while step and run < most:
-        k = min(step, most - run)
-        if a[i + run : i + run + k] == b[j + run : j + run + k]:
-            run += k
-            step = step * 2 if growing else step // 2
-        else:
-            growing, step = False, (1 << (k - 1).bit_length()) // 2 if k > 1 else 0
-    return run
-
-
-def align(a: array, b: array) -> tuple[list[tuple[int, int, int, int]], list[int], list[int]]:
-    """Runs and links of two ascending arrays of ends with the same last one.
+def matching(a: bytes, b: bytes, i: int, j: int, most: int) -> int:
+    """How many of `most` packed entries from i in `a` and j in `b` on agree, the first one given.
 
-    A run (i, j, n, m) is one group of n by m tokens from a[i] and b[j] on, or with n = -m a stretch
-    of m one-to-one groups. Links are the two lists of indices.
+    Steps double until a stretch differs, and then halve down to the difference.
     """
-    runs, left, right, i, j = [], [], [], 0, 0
-    while i < len(a):
-        if a[i] == b[j]:
-            n = matching(a, b, i, j)
-            runs.append((i, j, -n, n))
-            left.extend(range(i, i + n))
-            right.extend(range(j, j + n))
-            i, j = i + n, j + n
+    run, step = 1, 2
+    while run < most:
+        x, y = 8 * (i + run), 8 * (j + run)
+        if a[x : x + 8 * step] != b[y : y + 8 * step]:
+            break
+        run += step
+        step *= 2
+    else:
+        return most
+    while step > 1:
+        step //= 2
+        x, y = 8 * (i + run), 8 * (j + run)
+        if a[x : x + 8 * step] == b[y : y + 8 * step]:
+            run += step
+    return min(run, most)
+
+
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+    """Runs of two ascending arrays of ends with the same last one, and the links of irregular groups.
+
+    A run (i, j, n, m) is one group of n by m tokens from a[i] and b[j] on, or with n = 0 a stretch
+    of m one-to-one groups. The links of a stretch are its tokens side by side.
+    """
+    a, b = ends_a.tolist(), ends_b.tolist()
+    packed_a, packed_b = ends_a.tobytes(), ends_b.tobytes()
+    runs, left, right, i, j, n_a, n_b = [], [], [], 0, 0, len(a), len(b)
+    while i < n_a:
+        x, y = a[i], b[j]
+        if x == y:
+            m = matching(packed_a, packed_b, i, j, min(n_a - i, n_b - j))
+            runs += (i, j, 0, m)
+            i += m
+            j += m
             continue
         first, other = i, j
         while True:
             left.append(i)
             right.append(j)
-            x, y = a[i], b[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
+            if x < y:
+                i += 1
+                x = a[i]
+            elif y < x:
+                j += 1
+                y = b[j]
+            else:
+                i += 1
+                j += 1
                 break
-        runs.append((first, other, i - first, j - other))
-    return runs, left, right
-
-
-def written(runs, ids_a: list[str], ids_b: list[str]) -> tuple[int, str]:
-    """Number of groups and the digest of `a1,a2|b1;a3|b2,b3`."""
-    digest, parts, count = hashlib.sha256(), [], 0
-
-    def flush() -> None:
-        nonlocal count
-        digest.update((";" * (count > 0) + ";".join(parts)).encode())
-        count += len(parts)
-        parts.clear()
-
-    for i, j, n, m in runs:
-        if n < 0:
-            parts.extend(map("|".join, zip(ids_a[i : i + m], ids_b[j : j + m])))
-        else:
-            parts.append(f"{','.join(ids_a[i : i + n])}|{','.join(ids_b[j : j + m])}")
-        if len(parts) > _PARTS:
-            flush()
-    if parts:
-        flush()
-    return count, digest.hexdigest()
+        runs += (first, other, i - first, j - other)
+    return np.array(runs, np.int64).reshape(-1, 4), left, right
+
+
+def linked(runs: np.ndarray, left: list[int], right: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of all linked tokens, stretches included."""
+    i, j, n, m = runs[runs[:, 2] == 0].T
+    within = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+    one, other = np.repeat(i, m) + within, np.repeat(j, m) + within
+    return np.concatenate((one, np.array(left, np.int64))), np.concatenate((other, np.array(right, np.int64)))
+
+
+def groups(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of A and of B in each group, in order."""
+    _, _, n, m = runs.T
+    one = n == 0
+    times = np.where(one, m, 1)
+    return np.repeat(np.where(one, 1, n), times), np.repeat(np.where(one, 1, m), times)
+
+
+class Decimals:
+    """Ids as decimal text, with room for a separator."""
+
+    def __init__(self, size: int):
+        names = [str(i) for i in range(size)]
+        self.width = len(names[-1]) + 1
+        self.size = np.array(list(map(len, names)))
+        self.text = np.frombuffer("".join(n.ljust(self.width) for n in names).encode(), np.uint8).reshape(size, -1)
+
+
+def written(ids_a: np.ndarray, ids_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, decimals: Decimals) -> bytes:
+    """`a1,a2|b1;a3|b2,b3`: tokens of n_a and n_b per group, A's before B's."""
+    before_a, before_b = np.cumsum(n_a), np.cumsum(n_b)
+    place_a = np.arange(len(ids_a)) + np.repeat(before_b - n_b, n_a)
+    place_b = np.arange(len(ids_b)) + np.repeat(before_a, n_b)
+    ids = np.empty(len(ids_a) + len(ids_b), np.int64)
+    ids[place_a], ids[place_b] = ids_a, ids_b
+    marks = np.full(len(ids), ord(","), np.uint8)
+    marks[place_a[before_a - 1]], marks[place_b[before_b - 1]] = ord("|"), ord(";")
+    out = []
+    for at in range(0, len(ids), _PARTS):
+        some = ids[at : at + _PARTS]
+        text, size = decimals.text[some], decimals.size[some]
+        text[np.arange(len(some)), size] = marks[at : at + _PARTS]
+        out.append(text[np.arange(decimals.width) <= size[:, None]].tobytes())
+    return b"".join(out)[:-1]
 
 
 class Aligner:
@@ -141,28 +180,32 @@ class Aligner:
         for i, raw in self.raw_a.items():
             self.size_a[i] = len(raw)
         self.size_b = np.array([len(r) for r in self.raw_b])
-        self.name_a, self.name_b = list(map(str, range(len(self.size_a)))), list(map(str, range(len(self.size_b))))
+        self.decimals = Decimals(max(len(self.size_a), len(self.size_b)))
+
+    def ids_a(self, text: str) -> list[int] | np.ndarray:
+        if len(text) < _DIRECT:
+            return self.a.encoding.encode_ordinary(text)
+        # The library's own splitting may not survive very long runs of white space.
+        return np.frombuffer(self.a.encode(self.a.split.findall(text)), "<i4")
 
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """Per text (n_a, n_b, n_groups, n_links, digest, distinct pairs, links of each)."""
         none = np.empty(0, np.int64)
         for text, packed in zip(texts, self.b.encode(texts, False)):
-            if text:
-                whole = (" " + text).encode()
-                ids_b = np.frombuffer(packed, "<i4")
-                ids_a = np.frombuffer(self.a.encode(self.a.split.findall(" " + text)), "<i4")
-                list_a, list_b = ids_a.tolist(), ids_b.tolist()
-                same = b"".join(map(self.raw_b.__getitem__, list_b)) == whole
-            if not text or not same or b"".join(map(self.raw_a.__getitem__, list_a)) != whole:
+            size = len(text.encode()) + 1
+            ids_b = np.frombuffer(packed, "<i4")
+            ends_b = np.cumsum(self.size_b[ids_b])
+            # Both lose nothing but marks, which come back as one byte: bytes differ where sizes do.
+            if not text or ends_b[-1] != size:
                 yield 0, 0, 0, 0, "", none, none
                 continue
-            ends_a = array("q", np.cumsum(self.size_a[ids_a]).tobytes())
-            ends_b = array("q", np.cumsum(self.size_b[ids_b]).tobytes())
-            runs, left, right = align(ends_a, ends_b)
-            names = list(map(self.name_a.__getitem__, list_a)), list(map(self.name_b.__getitem__, list_b))
-            groups, digest = written(runs, *names)
-            pairs = ids_a[left].astype(np.int64) << 32 | ids_b[right]
-            yield len(ids_a), len(ids_b), groups, len(left), digest, *np.unique(pairs, return_counts=True)
+            ids_a = np.asarray(self.ids_a(" " + text), np.int64)
+            runs, left, right = align(np.cumsum(self.size_a[ids_a]), ends_b)
+            n_a, n_b = groups(runs)
+            digest = hashlib.sha256(written(ids_a, ids_b, n_a, n_b, self.decimals)).hexdigest()
+            one, other = linked(runs, left, right)
+            pairs = ids_a[one] << 32 | ids_b[other]
+            yield len(ids_a), len(ids_b), len(n_a), len(one), digest, *np.unique(pairs, return_counts=True)
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:

@@ -33,16 +33,42 @@ MARK = "▁"
 _NONE = np.iinfo(np.int32).max
 #: Symbols that one round of merges holds at most, unless one word alone is longer.
 _FLAT = 1 << 20
-_KEPT_WORDS, _LONG_WORD = 100_000, 40
+_KEPT_WORDS, _LONG_WORD = 300_000, 40
 _models: dict = {}
 
 
-def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted key among the sorted keys, -1 where it is missing."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+class Lookup:
+    """Places of 64-bit keys, many at a time: open addressing in flat arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys, self.at = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int32)
+        left, cell = np.arange(len(keys)), self._cells(keys)
+        while len(left):
+            free = self.keys[cell] < 0
+            taken = np.flatnonzero(free)
+            self.keys[cell[taken]] = keys[left[taken]]  # of several in one cell one stays
+            placed = self.keys[cell] == keys[left]
+            self.at[cell[placed]] = left[placed]
+            left, cell = left[~placed], (cell[~placed] + 1) & ((1 << self.bits) - 1)
+
+    def _cells(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is missing."""
+        cell = self._cells(wanted)
+        seen = self.keys[cell]
+        out = np.where(seen == wanted, self.at[cell], -1)
+        rest = np.flatnonzero((seen != wanted) & (seen >= 0))
+        while len(rest):
+            cell[rest] = (cell[rest] + 1) & ((1 << self.bits) - 1)
+            seen = self.keys[cell[rest]]
+            hit = seen == wanted[rest]
+            out[rest[hit]] = self.at[cell[rest[hit]]]
+            rest = rest[~hit & (seen >= 0)]
+        return out
 
 
 class Pieces:
@@ -86,11 +112,11 @@ class Pieces:
                 left, right = symbol(p[:cut]), symbol(p[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = (rank[i], i)
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        made = [pairs[k] for k in self.pair_keys.tolist()]
+        self.pair_at = Lookup(np.array(list(pairs), np.int64))
+        made = pairs.values()
         self.pair_rank = np.array([r for r, _ in made], np.int32)
         self.pair_makes = np.array([i for _, i in made], np.int64)
-        self.beside_keys = np.array(sorted(a << 32 | b for a, b in beside), np.int64)
+        self.beside_at = Lookup(np.array([a << 32 | b for a, b in beside], np.int64))
         self.of_char = np.arange(0x110000, dtype=np.int64) + size
         for p, i in plain.items():
             if len(p) == 1:
@@ -102,7 +128,7 @@ class Pieces:
         self.known: dict[str, bytes] = {}
 
     def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = _found(self.pair_keys, left << 32 | right)
+        at = self.pair_at(left << 32 | right)
         return np.where(at >= 0, self.pair_rank[at], _NONE), np.where(at >= 0, self.pair_makes[at], -1)
 
     def merge(self, text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +137,7 @@ class Pieces:
         begins = np.zeros(len(symbol), bool)
         begins[np.concatenate(([0], np.cumsum(lengths)[:-1]))] = True
         word = np.cumsum(begins) - 1
-        begins[1:] |= _found(self.beside_keys, symbol[:-1] << 32 | symbol[1:]) < 0
+        begins[1:] |= self.beside_at(symbol[:-1] << 32 | symbol[1:]) < 0
         first = np.flatnonzero(begins)
         live = np.ones(len(symbol), bool)
         at = 0
@@ -183,7 +209,9 @@ class Pieces:
         made = makes[at]
         right, _ = self._look(made, symbol[at + 2])
         before = np.maximum(at - 1, 0)
-        joined = np.isin(at - 2, take)  # its left neighbour is a merged pair by then
+        taken = np.zeros(len(symbol), bool)
+        taken[take] = True
+        joined = (at > 1) & taken[at - 2]  # its left neighbour is a merged pair by then
         left, _ = self._look(np.where(joined, makes[np.maximum(at - 2, 0)], symbol[before]), made)
         left = np.where((at > 0) & (part[before] == part[at]), left, _NONE)
         return part[at[np.minimum(left, right) <= lowest[at]]]
@@ -237,7 +265,7 @@ class Pieces:
         """Per text its ids as little-endian 32-bit integers."""
         known = self.known
         split = [self.words(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = [w for w in dict.fromkeys(w for ws in split for w in ws) if w not in known]
+        new = list(set().union(*split).difference(known))
         if new:
             ids, n = self.merge("".join(new), np.array(list(map(len, new))))
             packed, at = ids.tobytes(), 0
