@@ -274,6 +274,10 @@ RESTAURANT = (
 )
 
 
+# Every permit of one month loaded again with a date in the next.
+MOVED_PERMITS = """(SELECT * FROM raw_permits UNION ALL SELECT * REPLACE ('2001-11-05T00:00:00.000' AS issuance_date, TIMESTAMP '2001-11-20' AS _ingested_at, '2001-11-20' AS _ingest_date) FROM raw_permits WHERE issuance_date LIKE '2001-10-%')"""
+
+
 def restaurants(where: str) -> str:
     return f"""SELECT {RESTAURANT} FROM inspections WHERE {where}
         QUALIFY row_number() OVER (PARTITION BY restaurant_id ORDER BY inspection_date DESC NULLS LAST,
@@ -644,10 +648,13 @@ QUERIES = {
         WHERE (l_shipdate, l_orderkey, l_linenumber, l_partkey) > ('1998-03-10 00:00:00', '5', '3', '0')
         ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey LIMIT 1000""",
     "upsert_merge": "SELECT * FROM permits",
+    "upsert_stored": "SELECT * FROM permits",
+    "incremental_equals_full": monthly_permits(stage_permits(latest(MOVED_PERMITS, "job__, permit_sequence__"))),
     "lookback_recompute": f"""SELECT * FROM ({monthly_permits(stage_permits(latest("(SELECT * FROM raw_permits WHERE _ingested_at <= TIMESTAMP '2001-10-01 00:00:00')", "job__, permit_sequence__")))}) old
         WHERE NOT EXISTS (SELECT 1 FROM m_permits m WHERE m.year_month >= '2001-09' AND m.zip_code = old.zip_code AND m.year_month = old.year_month)
         UNION ALL SELECT * FROM m_permits WHERE year_month >= '2001-09'""",
     "scd2_history": "SELECT * FROM h5",
+    "scd2_stored": "SELECT * FROM h5",
     "scd2_point_in_time": """SELECT * FROM h5 WHERE valid_from <= TIMESTAMP '2000-06-10'
         AND (valid_to IS NULL OR valid_to > TIMESTAMP '2000-06-10')""",
     "scd2_transitions": """SELECT a.inspection_grade AS inspection_grade_then, b.inspection_grade AS inspection_grade_now, count(*) AS keys

@@ -52,7 +52,7 @@ def build(spark, raw, folder):
 
     def make(name, day):
         return Pipeline(
-            spark, f"{folder}/{name}", context(day, f"{name}-{day}"), polygons, seed, 1.0, "2023-06"
+            spark, f"{folder}/{name}", context(day, f"{name}-{day}"), polygons, seed, 1.0, 2, "2023-06"
         )
 
     return make

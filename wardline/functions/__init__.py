@@ -11,12 +11,13 @@ from wardline.functions.codes import (
     tier,
     work_category,
 )
-from wardline.functions.dates import hours_between, lookback_floor, shift_month, year_month
+from wardline.functions.dates import Months, hours_between, lookback_floor, shift_month, year_month
 from wardline.functions.keys import row_hash, surrogate_key, with_gold_audit, with_staging_audit
 from wardline.functions.numbers import clamp_score, log_scaled, safe_divide, share
 from wardline.functions.text import blank_to_null, clean_text, tolerant
 
 __all__ = [
+    "Months",
     "blank_to_null",
     "category_of",
     "clamp_score",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.functions.dates import Months
 from wardline.sources import files
 from wardline.sources.versions import Version, VersionedTable, values_of
 
@@ -102,21 +103,26 @@ def rewrite(
     return table.commit(before, folders, rows.schema, keys=list(keys), buckets=buckets)
 
 
-def replace_months(spark: SparkSession, root: str, rows: DataFrame, since: str | None = None) -> Version:
+def changed_months(before: Iterable[str], after: Iterable[str]) -> frozenset[str]:
+    """Months in which two versions of a keyed table, given by their folders, may differ."""
+    months = {values_of(f)[MONTH] for f in set(before) ^ set(after)}
+    return frozenset(m for m in months if m is not None)
+
+
+def replace_months(
+    spark: SparkSession, root: str, rows: DataFrame, since: str | Months | None = None
+) -> Version:
     """Make `rows` the table's months from `since` on, or the whole table; in one commit.
 
     A month of that range that `rows` lacks is gone afterwards, so an incremental run that empties
-    a month leaves what a full one would. Earlier months, and rows without one, stay.
+    a month leaves what a full one would. Other months, and rows without one, stay.
     """
     table = VersionedTable(spark, root, (MONTH,))
     before, number = table.next_number()
-
-    def stays(folder: str) -> bool:
-        month = values_of(folder)[MONTH]
-        return month is None or month < since
-
-    kept = [f for f in before.folders if stays(f)] if before and since else []
-    if since is not None:
-        rows = rows.filter(F.col(MONTH) >= since)
+    months = Months(since) if isinstance(since, str) else since
+    kept = []
+    if months is not None:
+        kept = [f for f in before.folders if not months.hold(values_of(f)[MONTH])] if before else []
+        rows = rows.filter(months.column(MONTH))
     schema = merged_schema(before.schema, rows.schema) if kept else rows.schema
     return table.commit(before, [*kept, *table.write(rows, number)], schema)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import category_of, shift_month, work_category
+from wardline.operators import history
 from wardline.operators.dedup import first_per_key
 from wardline.operators.joins import zero_filled
 from wardline.operators.mode import most_frequent
@@ -149,13 +151,24 @@ RESTAURANT_CHECKED = (
 )
 
 
-def current_restaurants(inspections: DataFrame) -> DataFrame:
-    """Newest row per restaurant; equal dates are settled by the record key."""
-    newest = [
+def newest_first() -> list[Column]:
+    """Newest rows first; equal dates are settled by the record key."""
+    return [
         F.col("inspection_date").desc_nulls_last(),
         F.col("grade_assigned_date").desc_nulls_last(),
         F.col("inspection_record_key"),
     ]
-    return first_per_key(
-        inspections.select(*RESTAURANT_COLUMNS, "inspection_record_key"), ["restaurant_id"], newest
-    ).select(*RESTAURANT_COLUMNS)
+
+
+def current_restaurants(inspections: DataFrame) -> DataFrame:
+    """Newest row per restaurant."""
+    rows = inspections.select(*RESTAURANT_COLUMNS, "inspection_record_key")
+    return first_per_key(rows, ["restaurant_id"], newest_first()).select(*RESTAURANT_COLUMNS)
+
+
+def restaurant_history(inspections: DataFrame, runs: Sequence[dt.datetime], gone_days: int) -> DataFrame:
+    """The type-2 history that runs at these moments over the newest rows would have made."""
+    rows = inspections.select(*RESTAURANT_COLUMNS, "inspection_record_key")
+    order = newest_first()
+    found = history.replay(rows, "restaurant_id", RESTAURANT_CHECKED, "inspection_date", order, runs, gone_days)
+    return found.drop("inspection_record_key")

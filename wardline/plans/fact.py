@@ -75,7 +75,7 @@ def fact_neighborhood_monthly(
     arrests: DataFrame,
     permits: DataFrame,
     inspections: DataFrame,
-    since: str | None = None,
+    since: str | Months | None = None,
 ) -> DataFrame:
     """All zips in all months; quiet ones have counts of 0, NULL averages and a score of 70.
 

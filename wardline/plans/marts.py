@@ -13,7 +13,7 @@ from wardline.plans.monthly import GRAIN, since_month
 
 
 def mart_neighborhood_pulse(
-    fact: DataFrame, zips: DataFrame, dates: DataFrame, since: str | None = None
+    fact: DataFrame, zips: DataFrame, dates: DataFrame, since: str | Months | None = None
 ) -> DataFrame:
     """Fact rows with the attributes of their zip and month. Both dimensions are small tables
     on file or small aggregates; Spark broadcasts them by their measured size."""
@@ -27,7 +27,7 @@ def mart_neighborhood_pulse(
 
 
 def mart_safety_infrastructure(
-    arrests: DataFrame, permits: DataFrame, since: str | None = None
+    arrests: DataFrame, permits: DataFrame, since: str | Months | None = None
 ) -> DataFrame:
     left = renamed(since_month(arrests, since), ARREST_COLUMNS)
     right = renamed(since_month(permits, since), PERMIT_COLUMNS)
@@ -43,7 +43,7 @@ def mart_safety_infrastructure(
 
 
 def mart_food_compliance(
-    inspections: DataFrame, complaints: DataFrame, since: str | None = None
+    inspections: DataFrame, complaints: DataFrame, since: str | Months | None = None
 ) -> DataFrame:
     left = renamed(since_month(inspections, since), INSPECTION_COLUMNS)
     right = renamed(
@@ -61,7 +61,7 @@ def mart_food_compliance(
     )
 
 
-def mart_top_complaints(staged: DataFrame, since: str | None = None) -> DataFrame:
+def mart_top_complaints(staged: DataFrame, since: str | Months | None = None) -> DataFrame:
     """Complaint types per borough and month with rank and share. The ranking windows run over
     the counts, so a borough-month group holds one row per complaint type."""
     keys = ("borough", "year_month", "complaint_type")

@@ -8,19 +8,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
-from wardline.functions import share
+from wardline.functions import Months, share
 from wardline.operators.joins import zero_filled
 from wardline.plans.staging import is_active
 
 GRAIN = ("zip_code", "year_month")
 
 
-def since_month(df: DataFrame, since: str | None) -> DataFrame:
-    """Lookback filter; prunes partitions of tables laid out by month."""
-    return df if since is None else df.filter(F.col("year_month") >= since)
+def since_month(df: DataFrame, since: str | Months | None) -> DataFrame:
+    """Lookback filter: the months from one on, or a set of them; prunes tables laid out by month."""
+    if since is None:
+        return df
+    return df.filter(since.column("year_month") if isinstance(since, Months) else F.col("year_month") >= since)
 
 
-def _placed(df: DataFrame, since: str | None) -> DataFrame:
+def _placed(df: DataFrame, since: str | Months | None) -> DataFrame:
     return since_month(
         df.filter(F.col("zip_code").isNotNull() & F.col("year_month").isNotNull()), since
     )
@@ -33,7 +35,7 @@ def _mentions(column: str, *words: str) -> Column:
     return found
 
 
-def monthly_complaints(staged: DataFrame, since: str | None = None) -> DataFrame:
+def monthly_complaints(staged: DataFrame, since: str | Months | None = None) -> DataFrame:
     return (
         _placed(staged, since)
         .groupBy(*GRAIN)
@@ -51,7 +53,7 @@ def monthly_complaints(staged: DataFrame, since: str | None = None) -> DataFrame
     )
 
 
-def monthly_arrests(staged: DataFrame, since: str | None = None) -> DataFrame:
+def monthly_arrests(staged: DataFrame, since: str | Months | None = None) -> DataFrame:
     def of(code: str) -> Column:
         return F.count_if(F.col("law_category") == code)
 
@@ -68,7 +70,7 @@ def monthly_arrests(staged: DataFrame, since: str | None = None) -> DataFrame:
 
 
 def monthly_permits(
-    staged: DataFrame, since: str | None = None, as_of: dt.date | None = None
+    staged: DataFrame, since: str | Months | None = None, as_of: dt.date | None = None
 ) -> DataFrame:
     """With `as_of` the active flag is worked out anew, so rows staged long ago do not go stale."""
     active = (
@@ -87,7 +89,7 @@ def monthly_permits(
     )
 
 
-def monthly_inspections(staged: DataFrame, since: str | None = None) -> DataFrame:
+def monthly_inspections(staged: DataFrame, since: str | Months | None = None) -> DataFrame:
     """Visit measures (score, grade) and violation-row measures from one pass.
 
     A visit is a restaurant and a day, represented by its lowest violation code and type. The
@@ -141,7 +143,7 @@ PERMIT_COUNTS = (
 
 
 def complaints_with_permits(
-    complaints: DataFrame, permits: DataFrame, since: str | None = None
+    complaints: DataFrame, permits: DataFrame, since: str | Months | None = None
 ) -> DataFrame:
     """Monthly complaints with the permits of the same zip and month, 0 where none."""
     left = since_month(complaints, since)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
 from wardline.context import RunContext, utc
-from wardline.functions import lookback_floor, with_gold_audit
+from wardline.functions import Months, lookback_floor, with_gold_audit
 from wardline.operators import history, quality, upsert
 from wardline.plans import analysis, contract, dims, fact, kpi, marts, monthly, staging
 from wardline.sources import files
@@ -53,6 +53,8 @@ class Pipeline:
     polygons: DataFrame | None
     zip_seed: DataFrame
     cell: float = 0.01
+    # Buckets of each month of the staged tables, fixed by the first run (see `upsert.BUCKETS`).
+    buckets: int = upsert.BUCKETS
     first_month: str = fv.FIRST_MONTH
     # Reference files of the types; without them the types come from the data.
     complaint_types: DataFrame | None = None
@@ -67,6 +69,8 @@ class Pipeline:
         self.measure(incremental)
         self.dimensions()
         self.combine(incremental)
+        measured = files.to_json(self._staged_folders())
+        files.write_text(self.spark, f"{self.root}/state/measured.json", measured)
         self.keep_history()
         warnings = quality.enforce(self.check())
         manifest = publish(self.spark, self.exports(), f"{self.root}/exports", self.ctx)
@@ -108,9 +112,9 @@ class Pipeline:
         # Rows that arrive while this runs belong to the next run.
         rows = build[name](new.filter(F.col("_ingested_at") <= utc(newest)))
         if mark is None:
-            upsert.rewrite(self.spark, path, rows, KEYS[name])
+            upsert.rewrite(self.spark, path, rows, KEYS[name], self.buckets)
         else:
-            upsert.upsert(self.spark, path, rows, KEYS[name])
+            upsert.upsert(self.spark, path, rows, KEYS[name], self.buckets)
         # A run that dies before this line merges the same rows again, which changes nothing.
         files.write_text(self.spark, state, files.to_json({"high_water": newest.isoformat()}))
 
@@ -200,16 +204,30 @@ class Pipeline:
 
     # --- helpers ------------------------------------------------------------------------
 
-    def floors(self, incremental: bool) -> tuple[str | None, str | None]:
-        """First month to work out anew: for most tables, and for those fed by arrests."""
+    def floors(self, incremental: bool) -> tuple[Months | None, Months | None]:
+        """Months to work out anew: for most tables, and for those fed by arrests.
+
+        Those of the lookback, and any earlier one in which staged rows came, changed or left
+        since the measures were last complete.
+        """
         if not incremental:
             return None, None
+        known = files.from_json(files.read_text(self.spark, f"{self.root}/state/measured.json"))
+        if known is None:
+            return None, None
+        also: frozenset[str] = frozenset()
+        for name, folders in self._staged_folders().items():
+            also |= upsert.changed_months(known.get(name, ()), folders)
         return (
-            lookback_floor(self.ctx.as_of, fv.LOOKBACK_DAYS),
-            lookback_floor(self.ctx.as_of, fv.ARREST_LOOKBACK_DAYS),
+            Months(lookback_floor(self.ctx.as_of, fv.LOOKBACK_DAYS), also),
+            Months(lookback_floor(self.ctx.as_of, fv.ARREST_LOOKBACK_DAYS), also),
         )
 
-    def _put(self, layer: str, name: str, df: DataFrame, since: str | None) -> None:
+    def _staged_folders(self) -> dict[str, list[str]]:
+        tables = {n: upsert.keyed_table(self.spark, f"{self.root}/silver/{n}").version() for n in KEYS}
+        return {n: list(v.folders) for n, v in tables.items()}
+
+    def _put(self, layer: str, name: str, df: DataFrame, since: str | Months | None) -> None:
         upsert.replace_months(self.spark, f"{self.root}/{layer}/{name}", df, since)
 
     def _put_dim(self, name: str, df: DataFrame) -> None:

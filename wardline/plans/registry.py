@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wardline import fixed_values as fv
 from wardline.context import RunContext, shared_folder, utc
 from wardline.functions import (
+    Months,
     blank_to_null,
     category_of,
     clean_text,
@@ -33,9 +34,10 @@ from wardline.functions import (
 from wardline.operators import dedup, history, joins, quality, spatial, spine, upsert
 from wardline.operators.ranking import top_ranked
 from wardline.plans import analysis, contract, dims, kpi, monthly, serving, staging
-from wardline.plans.star import CELL, Star, published_exports, stored_star
+from wardline.plans.star import CELL, Star, published_exports, stored_history, stored_star
 from wardline.sources import extract, files
 from wardline.sources.extract import Cursor, all_strings
+from wardline.sources.versions import VersionedTable
 from wardline.streaming import ingest_files, read_raw_table, validate_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -515,38 +517,78 @@ def lookback_recompute(spark, folder):
     return upsert.merge_rows(old, fresh, monthly.GRAIN)
 
 
-def _restaurant_history(star: Star) -> DataFrame:
+@query
+def upsert_stored(spark, folder):
+    """Permits loaded in two runs into the bucketed table, the second merged into the first."""
+    star = Star(spark, folder)
+    raw, root = star.raw_permits, f"{shared_folder(spark)}/upsert/{uuid.uuid4().hex}"
+    for part in (raw.filter(F.col("_ingested_at") <= utc(SINCE)), staging.new_rows(raw, SINCE)):
+        upsert.upsert(spark, root, staging.stage_permits(part, star.ctx), ["permit_key"], buckets=2)
+    return plain(upsert.keyed_table(spark, root).read().drop(upsert.BUCKET))
+
+
+@query
+def incremental_equals_full(spark, folder):
+    """Monthly permits after a first load and an incremental one that moves every permit of a
+    lookback month to the next: that month is gone, and months outside the lookback that late
+    rows touch are worked out again, so the table is that of a full run."""
+    star = Star(spark, folder)
+    raw, root = star.raw_permits, f"{shared_folder(spark)}/incremental/{uuid.uuid4().hex}"
+    first = dt.datetime(2001, 10, 20)
+    moved = raw.filter(F.col("issuance_date").like("2001-10-%")).withColumns(
+        {
+            "issuance_date": F.lit("2001-11-05T00:00:00.000"),
+            "_ingested_at": utc(dt.datetime(2001, 11, 20)),
+            "_ingest_date": F.lit("2001-11-20"),
+        }
+    )
+    floor, before = None, None
+    for part in (raw.filter(F.col("_ingested_at") <= utc(first)), staging.new_rows(raw, first).unionByName(moved)):
+        staged = staging.stage_permits(part, star.ctx)
+        after = upsert.upsert(spark, f"{root}/silver", staged, ["permit_key"], buckets=2)
+        if before is not None:
+            also = upsert.changed_months(before.folders, after.folders)
+            floor = Months(lookback_floor(star.ctx.as_of, fv.LOOKBACK_DAYS), also)
+        before = after
+        silver = upsert.keyed_table(spark, f"{root}/silver").read(after)
+        upsert.replace_months(spark, f"{root}/monthly", monthly.monthly_permits(silver, floor, star.ctx.as_of), floor)
+    return VersionedTable(spark, f"{root}/monthly", (upsert.MONTH,)).read()
+
+
+def _snapshots(star: Star) -> list[tuple[dt.datetime, DataFrame]]:
     """Runs that each take the newest row per restaurant over all inspections up to then."""
-    result = None
+    out = []
     for moment in RUNS:
         until = star.inspections.filter(F.col("inspection_date") <= F.lit(moment.date()))
         lately = F.col("inspection_date") >= F.lit(moment.date() - dt.timedelta(days=GONE_DAYS))
-        current = analysis.current_restaurants(until).filter(lately)
-        if result is None:
-            result = history.start_history(current, moment)
-        else:
-            result = history.apply_snapshot(
-                result, current, "restaurant_id", analysis.RESTAURANT_CHECKED, moment
-            )
-    return result
+        out.append((moment, analysis.current_restaurants(until).filter(lately)))
+    return out
 
 
 @query
 def scd2_history(spark, folder):
-    return plain(_restaurant_history(stored_star(spark, folder)))
+    """The history replayed from all inspections in one pass."""
+    rows = stored_star(spark, folder).inspections
+    return plain(analysis.restaurant_history(rows, RUNS, GONE_DAYS))
+
+
+@query
+def scd2_stored(spark, folder):
+    """The history as five runs stored it, open and closed rows apart."""
+    return plain(stored_history(spark, folder, _snapshots))
 
 
 @query
 def scd2_point_in_time(spark, folder):
     return plain(
-        history.as_of(_restaurant_history(stored_star(spark, folder)), dt.datetime(2000, 6, 10))
+        history.as_of(stored_history(spark, folder, _snapshots), dt.datetime(2000, 6, 10))
     )
 
 
 @query
 def scd2_transitions(spark, folder):
     return history.transitions(
-        _restaurant_history(stored_star(spark, folder)),
+        stored_history(spark, folder, _snapshots),
         "restaurant_id",
         "inspection_grade",
         dt.datetime(2000, 2, 10),

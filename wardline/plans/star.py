@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
 from wardline.context import RunContext, shared_folder
+from wardline.operators import history
 from wardline.operators.spatial import polygon_table
 from wardline.operators.spine import months_between
 from wardline.plans import analysis, dims, fact, kpi, marts, monthly, staging
@@ -26,6 +27,7 @@ from wardline.sources import files
 from wardline.sources.exports import load_exports, publish
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+FACTS = ("orders", "lineitem", "events")
 CONTEXT = RunContext(
     as_of=dt.date(2001, 11, 30), run_ts=dt.datetime(2001, 11, 30, 12), run_id="star", job_path="star"
 )
@@ -337,7 +339,10 @@ class Star:
         return self.spark.read.parquet(f"{self.staged_at}/{name}")
 
     def _raw(self, sql: str) -> DataFrame:
+        """Raw rows. The fact tables' files may hold one row group each, which one task would turn
+        into text alone, so their few narrow columns are spread first."""
         used = {n: self.table(n) for n in TABLES if "{" + n + "}" in sql}
+        used |= {n: used[n].hint("rebalance") for n in FACTS if n in used}
         return self.spark.sql(sql, **used)
 
     @cached_property
@@ -522,6 +527,16 @@ def stored_star(spark: SparkSession, folder: str) -> Star:
     return Star(spark, folder, staged_at=_once(spark, "staged", folder, build), stored=names)
 
 
+def stored_history(spark: SparkSession, folder: str, snapshots: Callable[[Star], list]) -> DataFrame:
+    """The history as its runs stored it, each adding its snapshot (moment, rows) to the one before."""
+
+    def build(base: str) -> None:
+        for moment, rows in snapshots(stored_star(spark, folder)):
+            history.add_run(spark, base, rows, "restaurant_id", analysis.RESTAURANT_CHECKED, moment, str(moment))
+
+    return history.read_history(spark, _once(spark, "history", folder, build))
+
+
 def published_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The exports, published once; serving queries then read the small files, as a dashboard
     does, and not the raw tables."""
