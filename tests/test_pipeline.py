@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from conftest import rows
 
+from wardline import fixed_values as fv
 from wardline.context import RunContext
 from wardline.operators.spatial import polygon_table
 from wardline.plans.pipeline import Pipeline
@@ -50,9 +51,10 @@ def build(spark, raw, folder):
         "zip_code string, borough string, neighborhood_name string, nta_code string",
     )
 
-    def make(name, day):
+    def make(name, day, strict=False):
         return Pipeline(
-            spark, f"{folder}/{name}", context(day, f"{name}-{day}"), polygons, seed, 1.0, 2, "2023-06"
+            spark, f"{folder}/{name}", context(day, f"{name}-{day}"), polygons, seed, 1.0, 2, "2023-06",
+            fresh_hours={} if strict else {s: (10**6, 10**6) for s in fv.FRESHNESS_HOURS},
         )
 
     return make
@@ -105,6 +107,33 @@ def test_run_without_new_rows_changes_nothing(raw, build):
     assert gold(again) == before
 
 
+def test_stale_sources_stop_the_publish(spark, raw, build):
+    pipeline = build("stale", DAY1, strict=True)
+    with pytest.raises(ValueError, match="freshness:permits"):
+        pipeline.run(sources(raw, FIRST))
+    with pytest.raises(ValueError, match="nothing was published"):
+        load_exports(spark, f"{pipeline.root}/exports")
+    states = {r.source: r.status for r in pipeline.freshness(sources(raw, FIRST)).collect()}
+    assert states == {"service_requests": "ERROR", "arrests": "PASS", "permits": "ERROR", "inspections": "ERROR"}
+
+
+def test_emptied_and_early_months(raw, build):
+    """A row leaves the only month it was in, and one from before the lookback moves: as in a full run."""
+    first = {**FIRST, "permits": [{"job__": "1", "issuance_date": "2024-02-10"}, {"job__": "2", "issuance_date": "2023-07-01"}]}
+    later = {**SECOND, "permits": [
+        {"job__": "1", "issuance_date": "2024-03-10", "_ingested_at": LATER},
+        {"job__": "2", "issuance_date": "2023-08-01", "_ingested_at": LATER},
+    ]}
+    build("move", DAY1).run(sources(raw, first))
+    step = build("move", DAY2)
+    step.run(sources(raw, first, later))
+    whole = build("moved", DAY2)
+    whole.run(sources(raw, first, later))
+    assert gold(step) == gold(whole)
+    months = lambda p: rows(p.read("monthly", "permits"), "year_month")
+    assert months(step) == months(whole) == [("2023-08",), ("2024-03",)]
+
+
 def test_from_source_rows_to_exports(spark, raw, build, folder):
     """Extract pages, ingest the landed files, run the flow; a second round adds its rows."""
     feeds = {

@@ -104,10 +104,54 @@ def test_publish_and_manifest(spark, folder):
     assert exports.load_exports(spark, folder)["food_compliance_overview"].count() == 2
 
 
-def test_large_exports_become_several_files(spark, folder):
-    with pytest.warns(UserWarning, match="several files"):
+def test_large_exports_are_refused_or_become_several_files(spark, folder):
+    exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r0"))
+    with pytest.raises(ValueError, match="limit 10"):
         exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r1"), limit=10)
+    assert json.loads(files.read_text(spark, f"{folder}/latest/manifest.json"))["run_id"] == "r0"
+    with pytest.warns(UserWarning, match="several files"):
+        exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r1"), limit=10, allow_parts=True)
     assert exports.load_exports(spark, folder)["complaint_type_rankings"].count() == 2
+    assert not exports.export_states(spark, folder).filter("within_limit").count()
+
+
+def test_readers_see_one_run(spark, folder, monkeypatch):
+    """At whatever step a publish stands or dies, all exports come from one run."""
+    exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r1"))
+    held = exports.load_exports(spark, folder)
+    wide = {n: df.union(df) for n, df in export_frames(spark).items()}
+    seen = []
+
+    def counts():
+        return {df.count() for df in exports.load_exports(spark, folder).values()}
+
+    for step in ("rename", "delete", "size_of", "write_text"):
+        real = getattr(files, step)
+        monkeypatch.setattr(files, step, lambda *a, real=real: (seen.append(counts()), real(*a))[1])
+    exports.publish(spark, wide, folder, RunContext(run_id="r2"))
+    monkeypatch.undo()
+    assert len(seen) > 10 and all(s in ({2}, {4}) for s in seen) and counts() == {4}
+    assert {df.count() for df in held.values()} == {2}  # those who opened the run before still read it
+    monkeypatch.setattr(files, "write_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r3"))
+    monkeypatch.undo()
+    assert counts() == {4}
+    exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r4"))
+    assert counts() == {2} and len(files.matching(spark, f"{folder}/runs/*")) == 2
+
+
+def test_export_states_notice_changed_files(spark, folder):
+    exports.publish(spark, export_frames(spark), folder, RunContext(run_id="r1"))
+    assert exports.export_states(spark, folder).filter("size(problems) > 0").count() == 0
+    entries = json.loads(files.read_text(spark, f"{folder}/latest/manifest.json"))["exports"]
+    files.delete(spark, entries["borough_monthly_trends"]["path"])
+    name = "food_compliance_overview"
+    export_frames(spark)[name].limit(1).write.mode("overwrite").parquet(entries[name]["path"])
+    bad = exports.export_states(spark, folder).filter("size(problems) > 0").collect()
+    assert {r.export for r in bad} == {"borough_monthly_trends", name}
+    with pytest.raises(ValueError, match="nothing was published"):
+        exports.load_exports(spark, f"{folder}/none")
 
 
 def test_bad_exports_are_not_promoted(spark, folder):

@@ -63,6 +63,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Temporary folders by application: a running session's spark.checkpoint.dir cannot be set.
+_made: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for cut lineage; a temporary one only on a single machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -71,6 +75,7 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not re.fullmatch(r"local(\[.*\])?", master):
         raise ValueError(f"spark.checkpoint.dir names no shared folder, and {master} has executors of its own")
-    made = tempfile.mkdtemp(prefix="wardline-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _made:
+        _made[application] = tempfile.mkdtemp(prefix="wardline-")
+    return _made[application]

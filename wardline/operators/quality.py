@@ -124,6 +124,26 @@ def freshness(
     )
 
 
+def newest_day(df: DataFrame, day: str = "_ingest_date") -> DataFrame:
+    """The rows of the newest day of a table laid out by ingest day, where the newest load lies.
+
+    The day itself is a partition value: finding it opens no column, and what follows reads one
+    day's files. Rows without a day are kept.
+    """
+    newest = df.agg(F.max(day)).first()[0]
+    return df if newest is None else df.filter(F.col(day).isNull() | (F.col(day) >= newest))
+
+
+def freshness_checks(status: DataFrame) -> DataFrame:
+    """Freshness rows as checks: ERROR stops a publish, WARN is reported."""
+    severity = F.when(F.col("status") == "WARN", WARN).otherwise(ERROR)
+    return status.select(
+        F.concat(F.lit("freshness:"), "source").alias("check_name"),
+        severity.alias("severity"),
+        (F.col("status") != "PASS").cast("long").alias("failures"),
+    )
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row count and NULL count of each column, in one pass."""
     return df.agg(

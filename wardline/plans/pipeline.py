@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ KEYS = {
 }
 
 
+#: Raw tables and the sources whose freshness bounds they have.
+FRESH_SOURCES = {"complaints": "service_requests", "arrests": "arrests", "permits": "permits", "inspections": "inspections"}
 GOLD = ("zip_codes", "complaint_types", "permit_types", "dates", "fact")
 
 
@@ -59,6 +62,10 @@ class Pipeline:
     # Reference files of the types; without them the types come from the data.
     complaint_types: DataFrame | None = None
     permit_types: DataFrame | None = None
+    # Hours until a source counts as late and as stale, where they differ from the fixed ones.
+    fresh_hours: Mapping[str, tuple[int, int]] = field(default_factory=dict)
+    # Exports above the size limit stop a publish unless they may be several files.
+    allow_parts: bool = False
 
     def run(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict:
         """Bring every layer up to date with `raw` (source name -> raw table). The first run
@@ -72,8 +79,8 @@ class Pipeline:
         measured = files.to_json(self._staged_folders())
         files.write_text(self.spark, f"{self.root}/state/measured.json", measured)
         self.keep_history()
-        warnings = quality.enforce(self.check())
-        manifest = publish(self.spark, self.exports(), f"{self.root}/exports", self.ctx)
+        warnings = quality.enforce(self.check(raw))
+        manifest = publish(self.spark, self.exports(), f"{self.root}/exports", self.ctx, allow_parts=self.allow_parts)
         return {"incremental": incremental, "warnings": warnings, "manifest": manifest}
 
     def read(self, layer: str, name: str) -> DataFrame:
@@ -193,14 +200,27 @@ class Pipeline:
             *[self.read("marts", n) for n in ("pulse", "safety", "food", "top_types")]
         )
 
-    def check(self) -> DataFrame:
-        """All data-quality checks over the stored tables, one row each."""
+    def check(self, raw: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        """All data-quality checks over the stored tables, one row each; with `raw` also how fresh
+        its sources are."""
         tables = self.silver()
         tables |= {f"monthly_{n}": self.read("monthly", n) for n in KEYS}
         tables["complaints_with_permits"] = self.read("monthly", "complaint_permit")
         tables |= {n: self.read("gold", n) for n in GOLD}
         tables |= {n: self.read("marts", n) for n in ("pulse", "safety", "food", "top_types")}
-        return contract.check_tables(tables, self.ctx.as_of)
+        checks = contract.check_tables(tables, self.ctx.as_of)
+        if raw is not None:
+            checks = checks.unionByName(quality.freshness_checks(self.freshness(raw)))
+        return checks
+
+    def freshness(self, raw: Mapping[str, DataFrame]) -> DataFrame:
+        """The newest load of each source against its own bounds, from its newest day alone."""
+
+        def one(name: str, source: str) -> DataFrame:
+            hours = self.fresh_hours.get(source, fv.FRESHNESS_HOURS[source])
+            return quality.freshness(quality.newest_day(raw[name]), source, self.ctx.run_ts, *hours)
+
+        return reduce(DataFrame.unionByName, [one(n, s) for n, s in FRESH_SOURCES.items()])
 
     # --- helpers ------------------------------------------------------------------------
 

@@ -34,8 +34,8 @@ from wardline.functions import (
 from wardline.operators import dedup, history, joins, quality, spatial, spine, upsert
 from wardline.operators.ranking import top_ranked
 from wardline.plans import analysis, contract, dims, kpi, monthly, serving, staging
-from wardline.plans.star import CELL, Star, published_exports, stored_history, stored_star
-from wardline.sources import extract, files
+from wardline.plans.star import CELL, Star, published_at, published_exports, stored_history, stored_star
+from wardline.sources import exports, extract, files
 from wardline.sources.extract import Cursor, all_strings
 from wardline.sources.versions import VersionedTable
 from wardline.streaming import ingest_files, read_raw_table, validate_batch
@@ -893,6 +893,13 @@ serve("q23_export_rows", lambda s, f: serving.export_rows(published_exports(s, f
 serve("q23_boroughs", lambda s, f: serving.boroughs(_summary(s, f)))
 serve("q23_year_months", lambda s, f: serving.year_months(_summary(s, f)))
 serve("q23_zip_codes", lambda s, f: serving.zip_codes(_summary(s, f), BOROUGH))
+@query
+def export_contract(spark, folder):
+    """The state of each published export, checked again against its manifest."""
+    states = exports.export_states(spark, published_at(spark, folder))
+    return states.select("export", "rows", "within_limit", F.size("problems").alias("problems"))
+
+
 serve("q24_domain_totals", lambda s, f: serving.domain_totals(_summary(s, f)))
 
 

@@ -537,11 +537,15 @@ def stored_history(spark: SparkSession, folder: str, snapshots: Callable[[Star],
     return history.read_history(spark, _once(spark, "history", folder, build))
 
 
-def published_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The exports, published once; serving queries then read the small files, as a dashboard
-    does, and not the raw tables."""
+def published_at(spark: SparkSession, folder: str) -> str:
+    """Where the exports lie, published once; serving queries then read the small files, as a
+    dashboard does, and not the raw tables."""
 
     def build(base: str) -> None:
         publish(spark, stored_star(spark, folder).lazy_exports, base, CONTEXT)
 
-    return load_exports(spark, _once(spark, "exports", folder, build))
+    return _once(spark, "exports", folder, build)
+
+
+def published_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return load_exports(spark, published_at(spark, folder))
