@@ -665,6 +665,9 @@ QUERIES = {
     "stream_added_column": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
         CASE WHEN o_orderkey % 2 = 0 AND o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
         CASE WHEN o_orderkey % 2 = 1 THEN 'r0' WHEN o_orderstatus = 'F' THEN 'r1' ELSE 'r2' END AS _job_run_id FROM orders""",
+    "stream_changed_type": """SELECT CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
+        CASE WHEN o_orderkey % 3 = 1 THEN CASE WHEN o_orderkey % 7 = 0 THEN 'no. ' ELSE '' END || CAST(o_orderkey AS VARCHAR) END AS o_orderkey__text,
+        o_orderstatus, 'r' || CAST(o_orderkey % 3 AS VARCHAR) AS _job_run_id FROM orders""",
     "extract_resumed": """SELECT CAST(l_shipdate AS VARCHAR) AS issuance_date, CAST(l_orderkey AS VARCHAR) AS job__,
         CAST(l_linenumber AS VARCHAR) AS permit_sequence__ FROM lineitem""",
     "stream_ingest": "SELECT event_type, 'first' AS _job_run_id, count(*) AS rows, count(DISTINCT event_id) AS hashes FROM events GROUP BY event_type",

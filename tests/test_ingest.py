@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline.context import RunContext
 from wardline.plans.staging import new_rows
 from wardline.sources import extract, files, tables
-from wardline.streaming import ingest_files, read_raw_table, validate_batch
+from wardline.streaming import ingest, ingest_files, read_raw_table, validate_batch
 
 
 def run(n):
@@ -59,6 +59,42 @@ def test_columns_of_files_with_old_times_are_kept(spark, folder):
     assert rows(read_raw_table(spark, f"{folder}/table"), "id", "extra") == [("1", None), ("2", "kept")]
 
 
+def test_columns_that_change_their_type(spark, folder):
+    def ingest(n, **kw):
+        return ingest_files(spark, f"{folder}/raw/*", f"{folder}/table", f"{folder}/cp", run(n), **kw)
+
+    land(spark, folder, "a", [(1, 1, 1.5, "s")], "id int, v int, w float, t string")
+    assert ingest(1) == 1
+    # Wider numbers, a text where a number was, and a number where a text was; with the old form
+    # again in the same batch, and a type that no text column can hold as it is.
+    land(spark, folder, "b", [(2**40, "7", 2.5, 5), (2, "seven", 0.1, 6)], "id long, v string, w double, t int")
+    land(spark, folder, "c", [(3, 3, 3.5, "u")], "id int, v int, w float, t string")
+    land(spark, folder, "d", [(4, [1, 2])], "id int, v array<int>")
+    assert ingest(2) == 4
+    land(spark, folder, "e", [(5, 9, 0.5, "z")], "id int, v int, w float, t string")
+    assert ingest(3) == 1
+    table = read_raw_table(spark, f"{folder}/table")
+    assert dict(table.dtypes)["id"] == "bigint" and dict(table.dtypes)["w"] == "double"
+    assert rows(table, "id", "v", "v__text", "t") == sorted(
+        [
+            (1, 1, None, "s"), (2**40, 7, "7", "5"), (2, None, "seven", "6"), (3, 3, None, "u"),
+            (4, None, '{"v":[1,2]}', None), (5, 9, None, "z"),
+        ],
+        key=repr,
+    )
+    assert sorted(r.w for r in table.filter("w is not null").collect()) == [0.1, 0.5, 1.5, 2.5, 3.5]
+
+
+def test_many_files_come_in_bounded_batches(spark, folder, monkeypatch):
+    spark.range(60).selectExpr("cast(id as string) id").repartition(30).write.parquet(f"{folder}/raw/a")
+    sizes = []
+    real = ingest.same_schema_groups
+    monkeypatch.setattr(ingest, "same_schema_groups", lambda s, p: (sizes.append(len(p)), real(s, p))[1])
+    assert ingest_files(spark, f"{folder}/raw", f"{folder}/t", f"{folder}/cp", run(1), max_files=8) == 60
+    assert max(sizes) == 8 and sum(sizes) == 30
+    assert read_raw_table(spark, f"{folder}/t").select("id").distinct().count() == 60
+
+
 def test_new_rows_skip_older_days(spark, folder):
     land(spark, folder, "a", [("1",)], "id string")
     ingest_files(spark, f"{folder}/raw/*", f"{folder}/table", f"{folder}/cp", run(1))

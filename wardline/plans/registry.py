@@ -637,6 +637,20 @@ def stream_added_column(spark, folder):
     return table.select("o_orderkey", "o_orderstatus", "o_orderpriority", "_job_run_id")
 
 
+@query
+def stream_changed_type(spark, folder):
+    """Orders whose key was a number, then a text, then a wider number: each load taken in whole."""
+    base = f"{shared_folder(spark)}/ingest/{uuid.uuid4().hex}"
+    orders = Star(spark, folder).table("orders")
+    key = F.col("o_orderkey")
+    spelled = F.when(key % 7 == 0, F.concat(F.lit("no. "), key.cast("string"))).otherwise(key.cast("string"))
+    for turn, form in enumerate((key.cast("int"), spelled, key.cast("long"))):
+        part = orders.filter(key % 3 == turn).select(form.alias("o_orderkey"), "o_orderstatus")
+        part.write.parquet(f"{base}/landing/{turn}")
+        ingest_files(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", RunContext(run_id=f"r{turn}"))
+    return read_raw_table(spark, f"{base}/table").select("o_orderkey", "o_orderkey__text", "o_orderstatus", "_job_run_id")
+
+
 @query
 def extract_resumed(spark, folder):
     """Line items landed in three runs: two pages in cursor order, then all the rest at once."""

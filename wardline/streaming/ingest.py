@@ -1,10 +1,14 @@
-"""Append new raw files to a table, exactly once, with lineage columns and added columns."""
+"""Append new raw files to a table, exactly once, with lineage columns; columns may be added and
+may change their type."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +22,8 @@ INGEST_SCHEMA = (
     "_row_hash string, _ingested_at timestamp, _source_file string, _ingest_date string, "
     "_job_run_id string, _notebook_path string, _source_system string"
 )
+#: Files of a batch, whose names pass through the driver.
+MAX_FILES = 1000
 # What the file stream needs to know of a file: where it is. Its content is read per batch.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -47,15 +53,73 @@ def stored_fields(spark: SparkSession, target: str, feed: str) -> list[T.StructF
     return T.StructType.fromJson(state["schema"]).fields if state else []
 
 
-def add_columns(spark: SparkSession, target: str, feed: str, seen: T.StructType) -> None:
-    """Columns are added to the feed's schema, never dropped or retyped."""
-    known = stored_fields(spark, target, feed)
-    names = {f.name for f in known}
-    new = [f for f in seen.fields if f.name not in names]
-    if new:
-        merged = T.StructType(known + new)
-        text = files.to_json({"schema": merged.jsonValue()})
-        files.write_text(spark, schema_path(target, feed), text)
+#: Types by which a column may grow where files are read with the wider one.
+_WIDER = {
+    "tinyint": ("smallint", "int", "bigint"),
+    "smallint": ("int", "bigint"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+    "date": ("timestamp_ntz",),
+}
+#: Ending of the column that keeps the text of values their column's type cannot hold.
+ASIDE = "__text"
+
+
+def wider(known: T.DataType, seen: T.DataType) -> T.DataType | None:
+    """The type that holds values of both, if one does and stored files can be read with it."""
+    a, b = known.simpleString(), seen.simpleString()
+    if a == b or a in _WIDER.get(b, ()) or (known == T.StringType() and isinstance(seen, T.AtomicType)):
+        return known
+    return seen if b in _WIDER.get(a, ()) else None
+
+
+def grown_schema(known: list[T.StructField], seen: T.StructType) -> list[T.StructField]:
+    """The feed's columns once rows of schema `seen` are in: none dropped, new ones added, some
+    wider. A column whose new type does not go with the old one gets a text column beside it."""
+    fields = {f.name: f for f in known}
+    for f in seen.fields:
+        if f.name not in fields:
+            fields[f.name] = T.StructField(f.name, f.dataType)
+            continue
+        kind = wider(fields[f.name].dataType, f.dataType)
+        if kind is None:
+            fields.setdefault(f.name + ASIDE, T.StructField(f.name + ASIDE, T.StringType()))
+        else:
+            fields[f.name] = T.StructField(f.name, kind)
+    return list(fields.values())
+
+
+def fitted(df: DataFrame, seen: T.StructType, fields: list[T.StructField]) -> DataFrame:
+    """Rows of schema `seen` in the feed's types. What a type cannot hold is NULL there and kept as
+    text beside it, so no value is lost."""
+    kinds, columns = {f.name: f.dataType for f in fields}, {}
+    for f in seen.fields:
+        kind = kinds[f.name]
+        if f.dataType == kind:
+            continue
+        if wider(kind, f.dataType) == kind:
+            columns[f.name] = F.col(f.name).cast(kind)
+            continue
+        simple = isinstance(f.dataType, T.AtomicType)
+        text = F.col(f.name).cast("string") if simple else F.to_json(F.struct(f.name))
+        columns[f.name + ASIDE] = text
+        reads = simple and isinstance(kind, T.AtomicType)
+        columns[f.name] = text.try_cast(kind) if reads else F.lit(None).cast(kind)
+    return df.withColumns(columns)
+
+
+def same_schema_groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Readers over the paths, as few as their columns' types allow: paths whose types clash are
+    split in halves until they do not."""
+    # Folder names say where a file came from and are not data.
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    try:
+        return [reader.parquet(*paths)]
+    except (PySparkException, Py4JJavaError) as clash:
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(clash):
+            raise
+    half = len(paths) // 2
+    return same_schema_groups(spark, paths[:half]) + same_schema_groups(spark, paths[half:])
 
 
 def ingest_files(
@@ -66,11 +130,12 @@ def ingest_files(
     ctx: RunContext,
     feed: str = "main",
     pattern: str | None = None,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> int:
     """Process every file not seen before and stop; returns the rows this run added.
 
-    The stream hands over file names alone. Schema and rows of a batch are read from that same
+    The stream hands over file names alone, `max_files` at a time, so a first run over very many
+    files never holds more names than that. Schema and rows of a batch are read from that same
     list, so a file's columns are never missed, however old or late the file is. Each batch is
     complete in a side folder before it is moved to `_ingest_date=.../_batch=...`; a repeated
     batch has the same number and takes the place of its first try. Each feed of a table has its
@@ -80,16 +145,22 @@ def ingest_files(
     added: list[int] = []
 
     def take(batch: DataFrame, number: int) -> None:
-        paths = sorted(r["path"] for r in batch.select("path").collect())  # names of new files only
+        paths = sorted(r["path"] for r in batch.select("path").collect())  # at most max_files names
         if not paths:
             return
-        # Folder names say where a file came from and are not data.
-        reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-        rows = reader.parquet(*paths)
-        add_columns(spark, target, feed, rows.schema)
-        side = f"{target}/_{feed}.batch={number}"
-        with_ingest_columns(rows, ctx).drop("_ingest_date").write.mode("overwrite").parquet(side)
-        added.append(spark.read.parquet(side).count())
+        groups = same_schema_groups(spark, paths)
+        known = fields = stored_fields(spark, target, feed)
+        for rows in groups:
+            fields = grown_schema(fields, rows.schema)
+        if fields != known:
+            text = files.to_json({"schema": T.StructType(fields).jsonValue()})
+            files.write_text(spark, schema_path(target, feed), text)
+        parts = [fitted(with_ingest_columns(rows, ctx), rows.schema, fields) for rows in groups]
+        whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        side, seen = f"{target}/_{feed}.batch={number}", Observation()
+        counted = whole.drop("_ingest_date").observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(side)
+        added.append(seen.get["rows"])
         for earlier in files.matching(spark, f"{root}/*/_batch={number}"):
             files.delete(spark, earlier)
         files.rename(spark, side, f"{root}/_ingest_date={date}/_batch={number}")
@@ -100,8 +171,7 @@ def ingest_files(
     reader = reader.option("maxFileAge", "36500d")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
         reader.load(source)
         .select("path")
