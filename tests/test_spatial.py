@@ -139,3 +139,37 @@ def test_polygon_table_is_loaded_once(spark, folder):
 def test_no_polygon_table(spark):
     points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, longitude double, latitude double")
     assert one(spatial.assign_zip(points, None), "zip_code") == ("UNKNOWN",)
+
+
+def test_cover_follows_the_border(spark):
+    """A large polygon with a hole: rows grow with its border, and points fall as by brute force."""
+    ring = lambda a, b: [[a, a], [b, a], [b + 0.3, (a + b) / 2], [b, b], [a, b], [a, a]]
+    shape = json.dumps({"type": "Polygon", "coordinates": [ring(0.2, 9.7), ring(3.1, 5.2)]})
+    other = json.dumps({"type": "Polygon", "coordinates": [[[1, 1], [2.5, 1.2], [2, 2.4], [1, 1]]]})
+    polygons = spatial.polygon_table(
+        spark.createDataFrame([("b", shape), ("a", other)], "z string, g string"), "z", "g"
+    ).cache()
+    sizes = {}
+    for cell in (0.02, 0.01):
+        cover = spatial.cell_cover(polygons, cell)
+        sizes[cell] = cover.count()
+        assert cover.filter("whole AND edges IS NOT NULL").count() == 0
+        area = int(9.5 / cell) ** 2
+        assert sizes[cell] < area / 4
+    assert sizes[0.01] < 2.6 * sizes[0.02]
+    rnd = random.Random(4)
+    data = [(i, rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for i in range(3000)]
+    data += [(3000 + i, round(rnd.uniform(0, 10) / 0.16) * 0.16, rnd.choice([0.2, 1.6, 3.1, 9.7])) for i in range(200)]
+    points = spark.createDataFrame(data, "id int, longitude double, latitude double")
+    edges = {r.zip_code: r.edges for r in polygons.collect()}
+
+    def within(e, x, y):
+        crossed = [a for a in e if a.y1 != a.y2 and (a.y1 > y) != (a.y2 > y) and x < (a.x2 - a.x1) * (y - a.y1) / (a.y2 - a.y1) + a.x1]
+        return len(crossed) % 2 == 1
+
+    for limit in (spatial.BROADCAST_LIMIT_BYTES, 0):
+        got = {r.id: r.zip_code for r in spatial.assign_zip(points, polygons, cell=0.02, broadcast_limit=limit).collect()}
+        assert len(got) == len(data)
+        for i, x, y in data:
+            hits = [z for z, e in edges.items() if within(e, x, y)]
+            assert got[i] == (min(hits) if hits else "UNKNOWN"), (i, x, y)

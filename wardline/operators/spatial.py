@@ -1,8 +1,10 @@
 """Point-in-polygon assignment from built-in expressions only.
 
-Polygons become edge lists, the edge lists are cut by grid cells, and each point looks up
-the one row of its cell. Inside the cell's candidates an even-odd count of crossed edges
-decides; counting over all rings at once takes care of holes and of several parts.
+Polygons become edge lists, and the edge lists are cut by grid cells of two sizes: wide cells
+without any border lie inside as a whole and need no edges; only those the border passes are cut
+into small ones. Each point looks up the row of its cell. Inside the cell's candidates an even-odd
+count of crossed edges decides; counting over all rings at once takes care of holes and of several
+parts.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from wardline.fixed_values import ZIP_FALLBACK, ZIP_FROM_POLYGON, ZIP_UNKNOWN
 # Spark holds a broadcast side in every executor; beyond this the cells are shuffled instead.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 BYTES_PER_EDGE = 64
+# A wide cell is so many small cells wide and high.
+WIDE = 8
 BYTES_PER_CANDIDATE = 128
 
 POLYGON = "array<array<array<double>>>"
@@ -24,7 +28,7 @@ MULTI_POLYGON = "array<array<array<array<double>>>>"
 def geojson_edges(geometry: Column) -> Column:
     """Edges of a GeoJSON Polygon or MultiPolygon text; NULL for anything else.
 
-    Level edges never cross a horizontal ray and would divide by zero, so they are left out.
+    Level edges never cross a horizontal ray, but they are border all the same.
     """
     kind = F.get_json_object(geometry, "$.type")
     body = F.get_json_object(geometry, "$.coordinates")
@@ -43,7 +47,7 @@ def geojson_edges(geometry: Column) -> Column:
         )
 
     edges = F.flatten(F.transform(rings, ring_edges))
-    return F.filter(edges, lambda e: e.y1 != e.y2)
+    return F.filter(edges, lambda e: (e.x1 != e.x2) | (e.y1 != e.y2))
 
 
 def polygon_table(features: DataFrame, zip_code: str, geometry: str) -> DataFrame:
@@ -53,52 +57,75 @@ def polygon_table(features: DataFrame, zip_code: str, geometry: str) -> DataFram
     ).filter(F.col("zip_code") != "")
 
 
-def cell_cover(polygons: DataFrame, cell: float) -> DataFrame:
-    """One row per polygon and grid cell it may touch, with only the edges that matter there.
+def cell_cover(polygons: DataFrame, cell: float, wide: int = WIDE) -> DataFrame:
+    """(zip_code, is_wide, cell_x, cell_y, whole, edges): the cells a polygon may hold points of.
 
-    A ray runs toward larger x, so an edge counts for a cell when its y-range meets the
-    cell's and it does not lie wholly to the left. The slack keeps edges on a cell border.
+    The bounding box is laid out in wide cells of `wide` x `wide` small ones. A wide cell that no
+    edge comes near is inside or outside as a whole, as its middle tells; the others are cut into
+    small cells, and so are these judged. So rows follow the length of the border and not the
+    area, but for one row per wide cell. Cells on the border keep only the edges that matter: a
+    ray runs toward larger x, so those whose y-range meets the cell's and that do not lie wholly
+    to the left. The slack keeps edges on a cell border.
     """
     slack = cell * 1e-6
 
     def low(*names: str) -> Column:
-        return F.array_min(
-            F.transform("edges", lambda e: F.least(*[e[n] for n in names]))
-        )
+        return F.array_min(F.transform("edges", lambda e: F.least(*[e[n] for n in names])))
 
     def high(*names: str) -> Column:
-        return F.array_max(
-            F.transform("edges", lambda e: F.greatest(*[e[n] for n in names]))
-        )
+        return F.array_max(F.transform("edges", lambda e: F.greatest(*[e[n] for n in names])))
+
+    def span(a: Column, b: Column) -> Column:
+        size = cell * wide
+        return F.sequence(F.floor(a / size), F.floor(b / size))
+
+    def judged(cells: DataFrame, width: int) -> DataFrame:
+        left, bottom = F.col("cell_x") * width * cell, F.col("cell_y") * width * cell
+        right, top = left + width * cell, bottom + width * cell
+
+        def matters(e: Column) -> Column:
+            meets = (F.greatest(e.y1, e.y2) >= bottom - slack) & (F.least(e.y1, e.y2) <= top + slack)
+            return meets & (F.greatest(e.x1, e.x2) >= left - slack)
+
+        cut = cells.withColumn("edges", F.filter("edges", matters)).filter(F.size("edges") > 0)
+        x, y, half = (left + right) / 2, (bottom + top) / 2, width * cell / 2 + slack
+
+        def passes(e: Column) -> Column:
+            """The edge meets the cell: their boxes do, and the cell is not all on one side of it."""
+            dx, dy = e.x2 - e.x1, e.y2 - e.y1
+            near = F.abs(dx * (y - e.y1) - dy * (x - e.x1)) <= (F.abs(dx) + F.abs(dy)) * half
+            return (F.least(e.x1, e.x2) <= right + slack) & near
 
-    def cells(a: Column, b: Column) -> Column:
-        return F.sequence(F.floor(a / cell), F.floor(b / cell))
+        border = F.exists("edges", passes)
+        middle = inside(F.col("edges"), x, y)
+        cut = cut.withColumn("border", border)
+        return cut.withColumn("whole", ~F.col("border") & middle).filter("border OR whole")
 
-    spread = (
+    box = (
         polygons.filter(F.size("edges") > 0)
         .select(
-            "zip_code",
-            "edges",
-            F.explode(cells(low("x1", "x2"), high("x1", "x2"))).alias("cell_x"),
-            low("y1", "y2").alias("_y0"),
-            high("y1", "y2").alias("_y1"),
-        )
-        .select(
-            "zip_code", "edges", "cell_x", F.explode(cells(F.col("_y0"), F.col("_y1"))).alias("cell_y")
+            "zip_code", "edges",
+            F.explode(span(low("x1", "x2"), high("x1", "x2"))).alias("cell_x"),
+            low("y1", "y2").alias("_y0"), high("y1", "y2").alias("_y1"),
         )
+        .select("zip_code", "edges", "cell_x", F.explode(span(F.col("_y0"), F.col("_y1"))).alias("cell_y"))
     )
-    left = F.col("cell_x") * cell - slack
-    bottom = F.col("cell_y") * cell - slack
-    top = (F.col("cell_y") + 1) * cell + slack
-    kept = F.filter(
-        "edges",
-        lambda e: (F.greatest(e.y1, e.y2) >= bottom)
-        & (F.least(e.y1, e.y2) <= top)
-        & (F.greatest(e.x1, e.x2) >= left),
-    )
-    return spread.select("zip_code", "cell_x", "cell_y", kept.alias("edges")).filter(
-        F.size("edges") > 0
+    coarse = judged(box, wide)
+
+    def within(name: str) -> Column:
+        return F.explode(F.sequence(F.col(name) * wide, F.col(name) * wide + wide - 1)).alias(name)
+
+    small = (
+        coarse.filter("border")
+        .select("zip_code", "edges", within("cell_x"), "cell_y")
+        .select("zip_code", "edges", "cell_x", within("cell_y"))
     )
+    needed = F.when(~F.col("whole"), F.filter("edges", lambda e: e.y1 != e.y2))
+
+    def rows(cells: DataFrame, is_wide: bool) -> DataFrame:
+        return cells.select("zip_code", F.lit(is_wide).alias("is_wide"), "cell_x", "cell_y", "whole", needed.alias("edges"))
+
+    return rows(coarse.filter("whole"), True).unionByName(rows(judged(small, 1), False))
 
 
 def inside(edges: Column, x: Column, y: Column) -> Column:
@@ -106,7 +133,7 @@ def inside(edges: Column, x: Column, y: Column) -> Column:
     crossed = F.filter(
         edges,
         lambda e: ((e.y1 > y) != (e.y2 > y))
-        & (x < (e.x2 - e.x1) * (y - e.y1) / (e.y2 - e.y1) + e.x1),
+        & (x < (e.x2 - e.x1) * (y - e.y1) / F.nullif(e.y2 - e.y1, F.lit(0.0)) + e.x1),
     )
     return F.size(crossed) % 2 == 1
 
@@ -125,7 +152,8 @@ def assign_zip(
     polygons, and all points when there is no polygon table, get the fallback labels.
 
     Each cell of the cover is one row with its candidate polygons, so a point meets at most one
-    row and keys play no part: null and repeated ids keep their own zips. The cover is measured
+    row of small cells and one of wide ones, and keys play no part: null and repeated ids keep
+    their own zips. The cover is measured
     first. Small enough, it is broadcast and the points are never shuffled; otherwise both sides
     are shuffled by cell, where adaptive execution splits cells with many points. The rows are
     the same either way.
@@ -133,23 +161,29 @@ def assign_zip(
     if polygons is None:
         return _labelled(points.withColumn("_zip", F.lit(None).cast("string")))
     cover = cell_cover(polygons, cell)
-    rows, edges = cover.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.size("edges")), F.lit(0))
+    rows, edges, wide_rows = cover.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size("edges")), F.lit(0)), F.count_if("is_wide")
     ).first()
     x, y = F.col(longitude), F.col(latitude)
     placed = points.withColumns(
         {"cell_x": F.floor(_number(x) / cell), "cell_y": F.floor(_number(y) / cell)}
     )
     # Candidates per cell come from the cover only, never from points.
-    by_cell = cover.groupBy("cell_x", "cell_y").agg(
-        F.collect_list(F.struct("zip_code", "edges")).alias("_candidates")
+    by_cell = cover.filter("NOT is_wide").groupBy("cell_x", "cell_y").agg(
+        F.collect_list(F.struct("zip_code", "whole", "edges")).alias("_candidates")
     )
+    by_wide = cover.filter("is_wide").groupBy(F.col("cell_x").alias("_wide_x"), F.col("cell_y").alias("_wide_y"))
+    by_wide = by_wide.agg(F.min("zip_code").alias("_around"))
     if rows * BYTES_PER_CANDIDATE + edges * BYTES_PER_EDGE <= broadcast_limit:
-        by_cell = F.broadcast(by_cell)
-    hits = F.filter("_candidates", lambda c: inside(c.edges, x, y))
+        by_cell, by_wide = F.broadcast(by_cell), F.broadcast(by_wide)
+    hits = F.filter("_candidates", lambda c: c.whole | inside(c.edges, x, y))
     matched = placed.join(by_cell, ["cell_x", "cell_y"], "left").withColumn(
         "_zip", F.array_min(F.transform(hits, lambda c: c.zip_code))
     )
+    if wide_rows:
+        around = {"_wide_x": F.floor(F.col("cell_x") / WIDE), "_wide_y": F.floor(F.col("cell_y") / WIDE)}
+        matched = matched.drop("_candidates").withColumns(around).join(by_wide, ["_wide_x", "_wide_y"], "left")
+        matched = matched.withColumn("_zip", F.least("_zip", "_around")).drop("_wide_x", "_wide_y", "_around")
     return _labelled(matched.drop("cell_x", "cell_y", "_candidates"))
 
 
