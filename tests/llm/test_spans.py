@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+import regex
 from fixtures import awkward, documents
 
 from wardline.llm import pii, secrets
@@ -114,6 +116,43 @@ def test_secret_added_spans_and_no_python(spark):
     assert spans[300] == [("markov", hidden)] and spans[301] == []
 
 
+def test_added_tokens_touch_no_base_span(spark):
+    """With every token random enough, the added spans are the long tokens clear of base spans."""
+    rnd = random.Random(11)
+    bits = ["password=", "Token: ", "AKIA" + "Q9" * 9, "0af" * 9, "Zz9/+=aQ" * 2, "plain_name_12345_x", " ", ".", "é", "\n", "k=", "ab1"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 60))) for _ in range(200)]
+    texts.append(" ".join(f"token={'s' * 8} free_token_number_{i:05}" for i in range(300)))
+    ratios = [1.0] * (128 * 128)
+    token = regex.compile(r"[A-Za-z0-9+/_=-]{16,}")
+    for r in secrets.scan(documents(spark, texts), ratios).collect():
+        base = [(s.start, s.end) for s in r.spans if s.kind != "markov"]
+        want = [
+            (m.start(), m.end()) for m in token.finditer(texts[r.doc_id])
+            if any(c.isdigit() for c in m.group()) and not any(a < m.end() and m.start() < b for a, b in base)
+        ]
+        assert [(s.start, s.end) for s in r.spans if s.kind == "markov"] == want, texts[r.doc_id]
+
+
+def test_span_rich_texts_stay_cheap(spark):
+    texts = [
+        " ".join(f"{i:024x} name_of_thing_{i:06}" for i in range(20_000)),
+        " ".join(f"token=abcdef{i} name_of_thing_{i:06}" for i in range(20_000)),
+    ]
+    docs = documents(spark, texts)
+    start = time.monotonic()
+    model = secrets.train(docs)
+    sizes = {r.doc_id: sum(s.kind != "markov" for s in r.spans) for r in secrets.scan(docs, model).collect()}
+    assert sizes == {0: 20_000, 1: 20_000} and time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize("operator", [pii, secrets])
+def test_repeated_and_null_ids(spark, operator):
+    docs = documents(spark, ["mail a@b.cd", "mail a@b.cd", None, "token=abcdefgh"])
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") != 3, F.lit(7)))
+    rows = operator.scan(docs, operator.train(docs)).collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["7", "7", "7", "None"]
+
+
 @pytest.mark.parametrize("operator", [pii, secrets])
 def test_empty_table(spark, operator):
     docs = documents(spark, [])

@@ -38,34 +38,66 @@ _BACK = 32
 _BLOCK = 64
 
 
+def _let(body, **values: Column) -> Column:
+    """`body` of a struct of values. As a lambda's variable each value is worked out once; columns
+    of an earlier step may be put in place of their names, and then run again for every element."""
+    held = F.struct(*[v.alias(k) for k, v in values.items()])
+    return F.get(F.transform(F.array(held), body), F.lit(0))
+
+
+def _blocks(values: Column) -> Column:
+    """The array in slices of `_BLOCK`, none for an empty one."""
+    return _let(
+        lambda v: F.when(
+            F.size(v["x"]) > 0,
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size(v["x"]) - 1) / _BLOCK).cast("int")),
+                lambda i: F.slice(v["x"], i * _BLOCK + 1, F.lit(_BLOCK)),
+            ),
+        ),
+        x=values,
+    )
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda s, x: s + x)
+
+
 def _found(df: DataFrame, name: str, pattern: str, when: Column | None = None) -> DataFrame:
     """Adds `name`: array<struct<start, end, text>> of leftmost non-overlapping matches.
 
     What lies between matches and the matches themselves alternate, so their lengths add up to
     positions. Sums are taken over blocks, which keeps texts with very many matches cheap.
     """
-    regex = F.lit(pattern)
     hit = F.col("text").rlike(pattern) if when is None else when & F.col("text").rlike(pattern)
-    df = df.withColumn("_m", F.when(hit, F.regexp_extract_all("text", regex, F.lit(0))))
-    df = df.withColumn("_p", F.when(F.col("_m").isNotNull(), F.transform(F.split("text", pattern, -1), F.length)))
-    df = df.withColumn("_l", F.expr("transform(_m, (m, i) -> length(m) + _p[i])"))
-    df = df.withColumn(
-        "_b",
-        F.expr(
-            f"transform(sequence(0, size(_l) div {_BLOCK}), b -> "
-            f"aggregate(slice(_l, b * {_BLOCK} + 1, {_BLOCK}), 0, (s, x) -> s + x))"
-        ),
-    )
-    df = df.withColumn("_o", F.expr("transform(_b, (x, i) -> aggregate(slice(_b, 1, i), 0, (s, y) -> s + y))"))
-    start = (
-        f"_o[i div {_BLOCK}] + _p[i] + "
-        f"aggregate(slice(_l, (i div {_BLOCK}) * {_BLOCK} + 1, i % {_BLOCK}), 0, (s, x) -> s + x)"
+
+    def placed(v: Column) -> Column:
+        """v: matches m, lengths p of what lies before each, lengths l of both, sums o before each block."""
+
+        def span(m: Column, i: Column) -> Column:
+            block = F.floor(i / _BLOCK).cast("int")
+            within = F.slice(v["l"], block * _BLOCK + 1, i % _BLOCK)
+            start = v["o"][block] + v["p"][i] + _total(within)
+            return F.struct(start.cast("int").alias("start"), (start + F.length(m)).cast("int").alias("end"), m.alias("text"))
+
+        return F.transform(v["m"], span)
+
+    def summed(v: Column) -> Column:
+        sums = F.transform(v["s"], _total)
+        before = _let(lambda w: F.transform(w["s"], lambda x, i: _total(F.slice(w["s"], 1, i))), s=sums)
+        return _let(placed, m=v["m"], p=v["p"], l=v["l"], o=before)
+
+    def measured(v: Column) -> Column:
+        lengths = F.transform(v["m"], lambda m, i: F.length(m) + v["p"][i])
+        return _let(lambda w: _let(summed, m=w["m"], p=w["p"], l=w["l"], s=_blocks(w["l"])), m=v["m"], p=v["p"], l=lengths)
+
+    spans = _let(
+        measured,
+        m=F.regexp_extract_all("text", F.lit(pattern), F.lit(0)),
+        p=F.transform(F.split("text", pattern, -1), F.length),
     )
-    spans = F.expr(f"transform(_m, (m, i) -> named_struct('start', cast({start} as int), 'text', m))")
-    df = df.withColumn("_s", spans)
-    ends = F.expr("transform(_s, x -> named_struct('start', x.start, 'end', x.start + length(x.text), 'text', x.text))")
     empty = F.expr("cast(array() as array<struct<start: int, end: int, text: string>>)")
-    return df.withColumn(name, F.coalesce(ends, empty)).drop("_m", "_p", "_l", "_b", "_o", "_s")
+    return df.withColumn(name, F.coalesce(F.when(hit, spans), empty))
 
 
 def _may_assign() -> Column:
@@ -90,9 +122,10 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     """Log-likelihood ratios of character pairs, at 128 * first + second, over all documents."""
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("values", _values())
+    # Assignments are taken out first, so their values need not be looked for among the tokens.
+    rest = F.when(_may_assign(), F.regexp_replace("text", ASSIGN, " ")).otherwise(F.col("text"))
     ordinary = F.filter(
-        F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)),
-        lambda t: ~t.rlike(f"{ACCESS}|{HEX}|{ASSIGN}") & ~F.array_contains("values", t),
+        F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0)), lambda t: ~t.rlike(f"{ACCESS}|{HEX}")
     )
     labelled = F.concat(
         F.transform("values", lambda v: F.struct(F.lit(1).alias("random"), v.alias("t"))),
@@ -142,13 +175,27 @@ def scan(docs: DataFrame, ratios: list[float], key: str = "doc_id", text: str =
     rows = rows.withColumn("base", F.concat(spans(assign, 0), spans(F.col("access"), 1), spans(F.col("hex"), 2)))
     table = F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
     rows = rows.withColumn("table", table)
-    score = (
-        "aggregate(sequence(1, length(t.text) - 1), cast(0 as double), (s, i) -> s + "
-        f"table[ascii(substring(t.text, i, 1)) * {_CODES} + ascii(substring(t.text, i + 1, 1))]) / (length(t.text) - 1)"
-    )
-    free = "NOT exists(base, b -> b.start < t.end AND t.start < b.end)"
-    added = F.expr(f"filter(token, t -> {free} AND {score} >= {LEAST_RATIO})")
-    every = F.sort_array(F.concat("base", spans(added, 3)))
+
+    def added(v: Column) -> Column:
+        # Hex digits and access keys are token characters, so a token touches a span of theirs if
+        # and only if it holds one. Spans of assignments are looked up by blocks of neighbours.
+        def meets(a: Column, t: Column, last: Column | None = None) -> Column:
+            return (a["start"] < t["end"]) & (t["start"] < (a if last is None else last)["end"])
+
+        def touched(t: Column) -> Column:
+            inside = lambda b: meets(b[0], t, F.element_at(b, -1)) & F.exists(b, lambda a: meets(a, t))
+            return t["text"].rlike(f"{ACCESS}|{HEX}") | F.coalesce(F.exists(v["blocks"], inside), F.lit(False))
+
+        def score(t: Column) -> Column:
+            places = F.sequence(F.lit(1), F.length(t["text"]) - 1)
+            pair = lambda i: F.ascii(F.substring(t["text"], i, F.lit(1))) * _CODES + F.ascii(F.substring(t["text"], i + 1, F.lit(1)))
+            ratio = F.aggregate(places, F.lit(0.0), lambda s, i: s + v["table"][pair(i)])
+            return ratio / (F.length(t["text"]) - 1)
+
+        return F.filter(v["token"], lambda t: ~touched(t) & (score(t) >= LEAST_RATIO))
+
+    free = _let(added, token=F.col("token"), blocks=_blocks(assign), table=F.col("table"))
+    every = F.sort_array(F.concat("base", spans(free, 3)))
     return rows.select(F.col("key").alias(key), every.alias("spans"))
 
 
