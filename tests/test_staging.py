@@ -110,3 +110,19 @@ def test_high_water_mark(raw):
     df = raw("permits", {"job__": "old"}, {"job__": "new", "_ingested_at": LATER})
     assert rows(staging.new_rows(df, dt.datetime(2024, 2, 1)), "job__") == [("new",)]
     assert staging.new_rows(df, None).count() == 2
+
+
+def test_keys_are_one_by_their_typed_value(raw, ctx):
+    first, later = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
+    df = raw(
+        "complaints",
+        {"unique_key": "1", "status": "Open", "_ingested_at": first},
+        {"unique_key": " 1", "status": "Closed", "_ingested_at": later},
+        {"unique_key": "01", "status": "Pending", "_ingested_at": first},
+        {"unique_key": "x", "_ingested_at": first},
+        {"unique_key": "y", "_ingested_at": first},
+    )
+    staged = staging.stage_complaints(df, ctx)
+    assert rows(staged, "complaint_id", "complaint_status") == sorted(
+        [(1, "Closed"), (None, "Open"), (None, "Open")], key=repr
+    )

@@ -112,7 +112,7 @@ class Pipeline:
         new = staging.new_rows(raw, mark)
         # As UTC text: a datetime would come back in the driver's own zone.
         shown = F.date_format(F.max("_ingested_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        newest = new.agg(shown).first()[0]
+        newest = quality.newest_day(new).agg(shown).first()[0]
         if newest is None:
             return
         newest = dt.datetime.fromisoformat(newest)

@@ -180,8 +180,19 @@ def new_rows(raw: DataFrame, high_water: dt.datetime | None) -> DataFrame:
 
 
 def base_rows(raw: DataFrame, source: Source) -> DataFrame:
-    """Needed columns only (the others, personal data among them, stop here), latest per key."""
-    return keep_latest(raw.select(*source.raw_columns, *fv.CARRIED_COLUMNS), source.keys)
+    """Needed columns only (the others, personal data among them, stop here), latest per key.
+
+    Keys count by their typed value, so `1` and ` 1` are one; a text without one is its own key.
+    """
+    rows = raw.select(*source.raw_columns, *fv.CARRIED_COLUMNS)
+    typed = {k: source.columns[k][1] for k in source.keys if source.columns.get(k, (k, TEXT))[1] in ("bigint", "int")}
+    if not typed:
+        return keep_latest(rows, source.keys)
+    names = {k: f"_key_{k}" for k in typed}
+    keyed = rows.withColumns(
+        {names[k]: F.coalesce(tolerant(F.col(k), kind).cast("string"), F.col(k)) for k, kind in typed.items()}
+    )
+    return keep_latest(keyed, [names.get(k, k) for k in source.keys]).drop(*names.values())
 
 
 def project(
