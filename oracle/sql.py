@@ -595,6 +595,7 @@ QUERIES = {
         o_orderpriority FROM orders""",
     "point_in_polygon": f"SELECT {POINT_ID}, latitude, longitude, zip_code, zip_code_source FROM arrests",
     "point_in_polygon_shuffled": f"SELECT {POINT_ID}, latitude, longitude, zip_code, zip_code_source FROM arrests",
+    "polygon_file_loaded": f"SELECT {POINT_ID}, latitude, longitude, zip_code, zip_code_source FROM arrests",
     "point_without_polygons": f"""SELECT {POINT_ID}, latitude, longitude, 'UNKNOWN' AS zip_code,
         'borough_fallback' AS zip_code_source FROM typed_arrests""",
     "monthly_complaints": "SELECT * FROM m_complaints",
@@ -603,6 +604,7 @@ QUERIES = {
     "monthly_inspections": "SELECT * FROM m_inspections",
     "complaint_permit_left": "SELECT * FROM pairs",
     "dim_zip_codes": "SELECT * FROM zips",
+    "seed_file_zips": "SELECT * FROM zips",
     "dim_date": "SELECT * FROM dates",
     "dim_complaint_types": f"""SELECT {key('complaint_type')} AS complaint_type_key, complaint_type,
         {category('complaint_type')} AS category, complaint_descriptor AS subcategory,
@@ -665,6 +667,16 @@ QUERIES = {
     "stream_added_column": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
         CASE WHEN o_orderkey % 2 = 0 AND o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
         CASE WHEN o_orderkey % 2 = 1 THEN 'r0' WHEN o_orderstatus = 'F' THEN 'r1' ELSE 'r2' END AS _job_run_id FROM orders""",
+    "ingest_lineage": """SELECT '2001-11-30' AS _ingest_date, 'lineage' AS _job_run_id, 'jobs/events' AS _notebook_path,
+        'EVENTS' AS _source_system, TIMESTAMP '2001-11-30 12:00:00' AS _ingested_at, TRUE AS from_events,
+        count(*) AS rows, count(DISTINCT event_id) AS hashes FROM events""",
+    "audit_columns": "SELECT TIMESTAMP '2001-11-30 12:00:00' AS loaded_at, model_name, 'star' AS run_id, rows FROM (" + " UNION ALL ".join(
+        f"SELECT '{model}' AS model_name, count(*) AS rows FROM {table}"
+        for model, table in (
+            ("stg_service_requests", "complaints"), ("stg_arrests", "arrests"), ("stg_permits", "permits"),
+            ("stg_inspections", "inspections"), ("fact", "fact"),
+        )
+    ) + ")",
     "stream_changed_type": """SELECT CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
         CASE WHEN o_orderkey % 3 = 1 THEN CASE WHEN o_orderkey % 7 = 0 THEN 'no. ' ELSE '' END || CAST(o_orderkey AS VARCHAR) END AS o_orderkey__text,
         o_orderstatus, 'r' || CAST(o_orderkey % 3 AS VARCHAR) AS _job_run_id FROM orders""",

@@ -105,6 +105,10 @@ def test_run_without_new_rows_changes_nothing(raw, build):
     before = gold(again)
     again.run(sources(raw, FIRST))
     assert gold(again) == before
+    tables = again.register()
+    assert tables == again.register() and len(tables) == 4
+    assert again.spark.table("gold.zip_codes").count() == again.read("gold", "zip_codes").count()
+    again.spark.sql("DROP SCHEMA gold CASCADE")
 
 
 def test_stale_sources_stop_the_publish(spark, raw, build):

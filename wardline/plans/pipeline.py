@@ -31,6 +31,7 @@ from wardline.operators import history, quality, upsert
 from wardline.plans import analysis, contract, dims, fact, kpi, marts, monthly, staging
 from wardline.sources import files
 from wardline.sources.exports import publish
+from wardline.sources.tables import register_table, scan_nonempty, schema_for
 from wardline.sources.versions import VersionedTable
 
 KEYS = {
@@ -196,10 +197,16 @@ class Pipeline:
         return history.read_history(self.spark, f"{self.root}/history")
 
     def exports(self) -> dict[str, DataFrame]:
+        """What is published: the marts without audit columns. An empty one stops the run."""
         return kpi.all_exports(
-            *[self.read("marts", n) for n in ("pulse", "safety", "food", "top_types")]
+            *[scan_nonempty(self.read("marts", n), n) for n in ("pulse", "safety", "food", "top_types")]
         )
 
+    def register(self) -> list[str]:
+        """The dimensions as external tables of the gold schema; repeating it changes nothing."""
+        names = [n for n in GOLD if n != "fact"]
+        return [register_table(self.spark, schema_for("gold"), n, f"{self.root}/gold/{n}") for n in names]
+
     def check(self, raw: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """All data-quality checks over the stored tables, one row each; with `raw` also how fresh
         its sources are."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from wardline.functions import (
     surrogate_key,
     tier,
     tolerant,
+    with_gold_audit,
     work_category,
     year_month,
 )
@@ -35,7 +37,7 @@ from wardline.operators import dedup, history, joins, quality, spatial, spine, u
 from wardline.operators.ranking import top_ranked
 from wardline.plans import analysis, contract, dims, kpi, monthly, serving, staging
 from wardline.plans.star import CELL, Star, published_at, published_exports, stored_history, stored_star
-from wardline.sources import exports, extract, files
+from wardline.sources import exports, extract, files, tables
 from wardline.sources.extract import Cursor, all_strings
 from wardline.sources.versions import VersionedTable
 from wardline.streaming import ingest_files, read_raw_table, validate_batch
@@ -310,6 +312,20 @@ def point_without_polygons(spark, folder):
     return spatial.assign_zip(_points(star), None)
 
 
+@query
+def polygon_file_loaded(spark, folder):
+    """Polygons from a file loaded into their table; a second load finds it filled and reads nothing."""
+    star = Star(spark, folder)
+    base = f"{shared_folder(spark)}/polygons/{uuid.uuid4().hex}"
+    entry = F.concat(F.lit('{"modzcta":"'), "zip_code", F.lit('","the_geom":'), "geometry", F.lit("}"))
+    body = F.array_join(F.sort_array(F.collect_list(entry)), ",")
+    # The reference file is one JSON document.
+    star.raw_polygons.agg(F.concat(F.lit("["), body, F.lit("]")).alias("value")).write.text(f"{base}/file")
+    tables.load_polygons(spark, f"{base}/file", f"{base}/table")
+    polygons = tables.load_polygons(spark, f"{base}/no_such_file", f"{base}/table")
+    return spatial.assign_zip(_points(star), polygons, cell=CELL)
+
+
 # --- monthly ----------------------------------------------------------------------------
 
 
@@ -346,6 +362,15 @@ def dim_zip_codes(spark, folder):
     return stored_star(spark, folder).zips
 
 
+@query
+def seed_file_zips(spark, folder):
+    """The zip dimension with its seed read from a reference file."""
+    star = stored_star(spark, folder)
+    path = f"{shared_folder(spark)}/seeds/{uuid.uuid4().hex}"
+    star.zip_seed.write.option("header", True).csv(path)
+    return dims.dim_zip_codes(tables.read_seed(spark, "zip_codes", path), star.staged)
+
+
 @query
 def dim_date(spark, folder):
     return Star(spark, folder).dates
@@ -616,6 +641,38 @@ def stream_ingest(spark, folder):
     )
 
 
+@query
+def ingest_lineage(spark, folder):
+    """The lineage columns of rows taken in by the file stream."""
+    base = f"{shared_folder(spark)}/ingest/{uuid.uuid4().hex}"
+    ctx = RunContext(run_ts=dt.datetime(2001, 11, 30, 12), run_id="lineage", job_path="jobs/events", source_system="EVENTS")
+    ingest_files(spark, folder, f"{base}/table", f"{base}/checkpoint", ctx, pattern="events.parquet")
+    rows = read_raw_table(spark, f"{base}/table")
+    return rows.groupBy(
+        "_ingest_date", "_job_run_id", "_notebook_path", "_source_system",
+        F.col("_ingested_at").cast("timestamp_ntz").alias("_ingested_at"),
+        F.col("_source_file").contains("events.parquet").alias("from_events"),
+    ).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("_row_hash").alias("hashes"))
+
+
+@query
+def audit_columns(spark, folder):
+    """Who wrote staged and gold rows, when and in which run, counted by model."""
+    star = stored_star(spark, folder)
+    gold = with_gold_audit(star.fact, "fact", star.ctx)
+    layers = [
+        df.select(*[F.col(c).alias(n) for c, n in zip(names, ("loaded_at", "model_name", "run_id"))])
+        for df, names in (
+            *((df, ("_stg_loaded_at", "_stg_model_name", "_stg_run_id")) for df in star.staged),
+            (gold, fv.GOLD_AUDIT_COLUMNS),
+        )
+    ]
+    every = reduce(DataFrame.unionByName, layers)
+    return every.groupBy(F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"), "model_name", "run_id").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 @query
 def stream_added_column(spark, folder):
     """Two feeds of one table; the second run's files bring a column the first ones lacked."""

@@ -361,9 +361,13 @@ class Star:
     def raw_arrests(self) -> DataFrame:
         return self._raw(raw_arrests_sql(SparkDialect))
 
+    @cached_property
+    def raw_polygons(self) -> DataFrame:
+        return self._raw(raw_polygons_sql(SparkDialect))
+
     @cached_property
     def polygons(self) -> DataFrame:
-        return polygon_table(self._raw(raw_polygons_sql(SparkDialect)), "zip_code", "geometry")
+        return polygon_table(self.raw_polygons, "zip_code", "geometry")
 
     @cached_property
     def complaints(self) -> DataFrame:

@@ -17,6 +17,7 @@ from wardline.fixed_values import INGEST_COLUMNS, RAW_FEEDS
 from wardline.functions.keys import row_hash
 from wardline.operators.quality import null_counts
 from wardline.sources import files
+from wardline.sources.tables import clean_location
 
 INGEST_SCHEMA = (
     "_row_hash string, _ingested_at timestamp, _source_file string, _ingest_date string, "
@@ -190,7 +191,8 @@ def ingest_all(
     spark: SparkSession, landing: str, raw: str, checkpoint: str, ctx: RunContext
 ) -> dict[str, int]:
     """Take in the new files of every feed that has landed any, check the lineage of what was
-    added, and return the rows added by raw table."""
+    added, and return the rows added by raw table. Locations must be absolute."""
+    landing, raw, checkpoint = map(clean_location, (landing, raw, checkpoint))
     added: dict[str, int] = {}
     for table, feeds in RAW_FEEDS.items():
         for feed in feeds:
