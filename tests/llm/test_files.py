@@ -131,7 +131,7 @@ def test_pipeline_stages(spark):
 
 def test_every_query_of_the_list_is_registered():
     names = set(llm_queries())
-    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(llm_oracle()) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "line_dedup", "ngram_jaccard", "decontamination", "byte_bpe"
