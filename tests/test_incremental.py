@@ -223,6 +223,25 @@ def test_stored_history(spark, folder):
         history.add_run(spark, folder, snapshots[0], "id", ["grade"], T4, "other")
 
 
+def test_closed_folders_are_merged(spark, folder, monkeypatch):
+    monkeypatch.setattr(history, "FAN", 2)
+    lazy, most, tiers = None, 0, set()
+    for i in range(9):
+        moment = T1 + dt.timedelta(days=i)
+        # k0 changes in every run, k1 in every second, k2 comes and goes.
+        data = [("k0", str(i)), ("k1", str(i // 2))] + ([("k2", "x")] if i % 3 else [])
+        now = spark.createDataFrame(data, "id string, grade string")
+        lazy = history.start_history(now, moment) if lazy is None else history.apply_snapshot(lazy, now, "id", ["grade"], moment)
+        version = history.add_run(spark, folder, now, "id", ["grade"], moment, str(i))
+        closed = [f for f in version.folders if "part=closed" in f]
+        most, tiers = max(most, len(closed)), tiers | set(version.facts["tiers"].values())
+        assert set(version.facts["tiers"]) == set(closed)
+        if i % 4 == 0:
+            assert rows(history.read_history(spark, folder)) == rows(lazy)
+    # Eight runs closed rows: never more than one folder per tier is left.
+    assert most <= 3 and max(tiers) == 3
+
+
 def test_replay_equals_runs(spark):
     rnd = random.Random(3)
     data = [

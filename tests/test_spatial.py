@@ -173,3 +173,30 @@ def test_cover_follows_the_border(spark):
         for i, x, y in data:
             hits = [z for z, e in edges.items() if within(e, x, y)]
             assert got[i] == (min(hits) if hits else "UNKNOWN"), (i, x, y)
+
+
+def test_wide_cells_of_every_width(spark, polygons):
+    """A polygon of some thousand cells each way: few rows, whole cells of all widths, right zips."""
+    far = {"type": "Polygon", "coordinates": [[[0, 0], [30, 1], [29, 28], [2, 30], [0, 0]], square(10, 10, 8, 8)]}
+    features = spark.createDataFrame([("1", json.dumps(far)), ("2", json.dumps(SHAPES["10001"]))], "zip string, geo string")
+    table = spatial.polygon_table(features, "zip", "geo")
+    cover = spatial.cell_cover(table, 0.01)
+    counts = {(r.width, r.whole): r["count"] for r in cover.groupBy("width", "whole").count().collect()}
+    assert {w for w, whole in counts if whole} == set(spatial.WIDTHS) and {w for w, whole in counts if not whole} == {1}
+    # The border is about 160 wide, 16,000 small cells; the area about 7 million.
+    assert sum(counts.values()) < 120_000
+    rng = random.Random(4)
+    data = [(i, rng.uniform(-1, 31), rng.uniform(-1, 31)) for i in range(400)]
+    rings = {"1": far["coordinates"], "2": SHAPES["10001"]["coordinates"]}
+
+    def within(x, y):
+        for zip_code, parts in rings.items():
+            ends = [(a, b) for ring in parts for a, b in zip(ring, ring[1:])]
+            if sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in ends) % 2:
+                return zip_code
+        return "UNKNOWN"
+
+    points = spark.createDataFrame(data, "id int, longitude double, latitude double")
+    expected = sorted(((i, within(x, y)) for i, x, y in data), key=repr)
+    for limit in (spatial.BROADCAST_LIMIT_BYTES, 0):
+        assert rows(spatial.assign_zip(points, table, cell=0.01, broadcast_limit=limit), "id", "zip_code") == expected

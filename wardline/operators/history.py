@@ -79,6 +79,8 @@ def meet_snapshot(
 
 PART = "part"
 OPEN, CLOSED = "open", "closed"
+#: So many folders of closed rows of one tier become one of the next.
+FAN = 8
 
 
 def history_table(spark: SparkSession, root: str) -> VersionedTable:
@@ -90,9 +92,10 @@ def add_run(
 ) -> Version:
     """Add a run to the stored history at `root`: only open rows are read and written.
 
-    Closed rows are appended once and never read again by a run, so its cost follows the open
-    rows, however long the history is. Runs go forward in time. A run repeated under its id
-    changes nothing.
+    Closed rows are appended. Of every `FAN` folders of them one is made, and of every `FAN` such
+    folders again, so folders grow with the logarithm of the runs and a closed row is written
+    again once per tier. Else a run's cost follows the open rows, however long the history is.
+    Runs go forward in time. A run repeated under its id changes nothing.
     """
     table = history_table(spark, root)
     before, number = table.next_number()
@@ -107,8 +110,28 @@ def add_run(
         rows = meet_snapshot(opened, current, key, check, run_ts)
     rows = rows.withColumn(PART, F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(CLOSED))
     kept = [f for f in before.folders if values_of(f)[PART] == CLOSED] if before else []
+    tiers = {f: before.facts.get("tiers", {}).get(f, 0) for f in kept}
+    merged, tier = _due(tiers)
+    if merged:
+        numbers = {values_of(f)["_v"] for f in merged}
+        old = table.read(before, lambda v: v[PART] == CLOSED and v["_v"] in numbers)
+        rows = rows.unionByName(old.select(*rows.columns))
     folders = table.write(rows, number)
-    return table.commit(before, [*kept, *folders], rows.schema, run_ts=run_ts.isoformat(), run_id=run_id)
+    tiers = {f: t for f, t in tiers.items() if f not in merged}
+    tiers |= {f: tier for f in folders if values_of(f)[PART] == CLOSED}
+    kept = [f for f in kept if f not in merged]
+    return table.commit(
+        before, [*kept, *folders], rows.schema, run_ts=run_ts.isoformat(), run_id=run_id, tiers=tiers
+    )
+
+
+def _due(tiers: dict[str, int]) -> tuple[list[str], int]:
+    """The folders of closed rows that the next run's join, and the tier of the folder they make."""
+    merged, tier = [], 0
+    while len(same := [f for f, t in tiers.items() if t == tier]) >= FAN - 1:
+        merged += same
+        tier += 1
+    return merged, tier
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:

@@ -1,14 +1,15 @@
 """Point-in-polygon assignment from built-in expressions only.
 
-Polygons become edge lists, and the edge lists are cut by grid cells of two sizes: wide cells
-without any border lie inside as a whole and need no edges; only those the border passes are cut
-into small ones. Each point looks up the row of its cell. Inside the cell's candidates an even-odd
-count of crossed edges decides; counting over all rings at once takes care of holes and of several
-parts.
+Polygons become edge lists, and these are cut by a quadtree of grid cells: cells without any
+border lie inside as a whole and need no edges; only those the border passes are cut into smaller
+ones. Each point looks up the rows of its cells. Inside the cell's candidates an even-odd count of
+crossed edges decides; counting over all rings at once takes care of holes and of several parts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ from wardline.fixed_values import ZIP_FALLBACK, ZIP_FROM_POLYGON, ZIP_UNKNOWN
 # Spark holds a broadcast side in every executor; beyond this the cells are shuffled instead.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 BYTES_PER_EDGE = 64
-# A wide cell is so many small cells wide and high.
-WIDE = 8
+# Widths of the cover's cells in small cells, each a multiple of the next.
+WIDTHS = (512, 64, 8, 1)
 BYTES_PER_CANDIDATE = 128
 
 POLYGON = "array<array<array<double>>>"
@@ -57,17 +58,18 @@ def polygon_table(features: DataFrame, zip_code: str, geometry: str) -> DataFram
     ).filter(F.col("zip_code") != "")
 
 
-def cell_cover(polygons: DataFrame, cell: float, wide: int = WIDE) -> DataFrame:
-    """(zip_code, is_wide, cell_x, cell_y, whole, edges): the cells a polygon may hold points of.
+def cell_cover(polygons: DataFrame, cell: float, widths: Sequence[int] = WIDTHS) -> DataFrame:
+    """(zip_code, width, cell_x, cell_y, whole, edges): the cells a polygon may hold points of.
 
-    The bounding box is laid out in wide cells of `wide` x `wide` small ones. A wide cell that no
-    edge comes near is inside or outside as a whole, as its middle tells; the others are cut into
-    small cells, and so are these judged. So rows follow the length of the border and not the
-    area, but for one row per wide cell. Cells on the border keep only the edges that matter: a
-    ray runs toward larger x, so those whose y-range meets the cell's and that do not lie wholly
-    to the left. The slack keeps edges on a cell border.
+    The bounding box is laid out in the widest cells. One that no edge comes near is inside or
+    outside as a whole, as its middle tells; the others are cut into cells of the next width, and
+    so on down to width 1. So rows follow the length of the border and not the area. Whole cells
+    carry no edges. Cells on the border keep only the edges that matter: a ray runs toward larger
+    x, so those whose y-range meets the cell's and that do not lie wholly to the left. The slack
+    keeps edges on a cell border. It is one chain of narrow steps without a shuffle.
     """
     slack = cell * 1e-6
+    fresh = ~F.col("whole")
 
     def low(*names: str) -> Column:
         return F.array_min(F.transform("edges", lambda e: F.least(*[e[n] for n in names])))
@@ -75,57 +77,55 @@ def cell_cover(polygons: DataFrame, cell: float, wide: int = WIDE) -> DataFrame:
     def high(*names: str) -> Column:
         return F.array_max(F.transform("edges", lambda e: F.greatest(*[e[n] for n in names])))
 
-    def span(a: Column, b: Column) -> Column:
-        size = cell * wide
-        return F.sequence(F.floor(a / size), F.floor(b / size))
-
     def judged(cells: DataFrame, width: int) -> DataFrame:
+        """Of the cells not known to be whole those outside go; the rest are whole or on the border."""
         left, bottom = F.col("cell_x") * width * cell, F.col("cell_y") * width * cell
         right, top = left + width * cell, bottom + width * cell
+        x, y, half = (left + right) / 2, (bottom + top) / 2, width * cell / 2 + slack
 
         def matters(e: Column) -> Column:
             meets = (F.greatest(e.y1, e.y2) >= bottom - slack) & (F.least(e.y1, e.y2) <= top + slack)
             return meets & (F.greatest(e.x1, e.x2) >= left - slack)
 
-        cut = cells.withColumn("edges", F.filter("edges", matters)).filter(F.size("edges") > 0)
-        x, y, half = (left + right) / 2, (bottom + top) / 2, width * cell / 2 + slack
-
         def passes(e: Column) -> Column:
             """The edge meets the cell: their boxes do, and the cell is not all on one side of it."""
             dx, dy = e.x2 - e.x1, e.y2 - e.y1
             near = F.abs(dx * (y - e.y1) - dy * (x - e.x1)) <= (F.abs(dx) + F.abs(dy)) * half
             return (F.least(e.x1, e.x2) <= right + slack) & near
 
-        border = F.exists("edges", passes)
-        middle = inside(F.col("edges"), x, y)
-        cut = cut.withColumn("border", border)
-        return cut.withColumn("whole", ~F.col("border") & middle).filter("border OR whole")
-
-    box = (
-        polygons.filter(F.size("edges") > 0)
-        .select(
-            "zip_code", "edges",
-            F.explode(span(low("x1", "x2"), high("x1", "x2"))).alias("cell_x"),
-            low("y1", "y2").alias("_y0"), high("y1", "y2").alias("_y1"),
-        )
-        .select("zip_code", "edges", "cell_x", F.explode(span(F.col("_y0"), F.col("_y1"))).alias("cell_y"))
-    )
-    coarse = judged(box, wide)
+        cut = cells.withColumn("edges", F.when(fresh, F.filter("edges", matters)))
+        cut = cut.filter(F.col("whole") | (F.size("edges") > 0))
+        cut = cut.withColumn("_border", F.coalesce(F.when(fresh, F.exists("edges", passes)), F.lit(False)))
+        middle = F.when(fresh, inside(F.col("edges"), x, y)).otherwise(True)
+        return cut.withColumn("whole", ~F.col("_border") & middle).filter("_border OR whole").drop("_border")
 
-    def within(name: str) -> Column:
-        return F.explode(F.sequence(F.col(name) * wide, F.col(name) * wide + wide - 1)).alias(name)
+    def split(cells: DataFrame, parent: int, width: int) -> DataFrame:
+        """Cells on the border in cells of `width`, within the bounding box; whole ones as they are."""
 
-    small = (
-        coarse.filter("border")
-        .select("zip_code", "edges", within("cell_x"), "cell_y")
-        .select("zip_code", "edges", "cell_x", within("cell_y"))
-    )
-    needed = F.when(~F.col("whole"), F.filter("edges", lambda e: e.y1 != e.y2))
+        def parts(axis: str) -> Column:
+            first, times = F.col(f"cell_{axis}") * (parent // width), parent // width
+            begin = F.greatest(first, F.floor(F.col(f"_{axis}0") / (width * cell)))
+            end = F.least(first + times - 1, F.floor(F.col(f"_{axis}1") / (width * cell)))
+            return F.explode(F.when(fresh, F.sequence(begin, end)).otherwise(F.array(f"cell_{axis}")))
+
+        rest = [c for c in cells.columns if c not in ("cell_x", "cell_y")]
+        cells = cells.select(*rest, "cell_y", parts("x").alias("cell_x")).select(*rest, "cell_x", parts("y").alias("cell_y"))
+        return cells.withColumn("width", F.when(fresh, width).otherwise(F.col("width")))
 
-    def rows(cells: DataFrame, is_wide: bool) -> DataFrame:
-        return cells.select("zip_code", F.lit(is_wide).alias("is_wide"), "cell_x", "cell_y", "whole", needed.alias("edges"))
+    def span(axis: str) -> Column:
+        size = widths[0] * cell
+        return F.explode(F.sequence(F.floor(F.col(f"_{axis}0") / size), F.floor(F.col(f"_{axis}1") / size)))
 
-    return rows(coarse.filter("whole"), True).unionByName(rows(judged(small, 1), False))
+    boxed = polygons.filter(F.size("edges") > 0).select(
+        "zip_code", "edges", F.lit(False).alias("whole"), F.lit(widths[0]).alias("width"),
+        low("x1", "x2").alias("_x0"), high("x1", "x2").alias("_x1"), low("y1", "y2").alias("_y0"), high("y1", "y2").alias("_y1"),
+    )
+    cells = boxed.select("*", span("x").alias("cell_x")).select("*", span("y").alias("cell_y"))
+    cells = judged(cells, widths[0])
+    for parent, width in zip(widths, widths[1:]):
+        cells = judged(split(cells, parent, width), width)
+    needed = F.when(fresh, F.filter("edges", lambda e: e.y1 != e.y2))
+    return cells.select("zip_code", "width", "cell_x", "cell_y", "whole", needed.alias("edges"))
 
 
 def inside(edges: Column, x: Column, y: Column) -> Column:
@@ -152,39 +152,38 @@ def assign_zip(
     polygons, and all points when there is no polygon table, get the fallback labels.
 
     Each cell of the cover is one row with its candidate polygons, so a point meets at most one
-    row of small cells and one of wide ones, and keys play no part: null and repeated ids keep
-    their own zips. The cover is measured
-    first. Small enough, it is broadcast and the points are never shuffled; otherwise both sides
-    are shuffled by cell, where adaptive execution splits cells with many points. The rows are
-    the same either way.
+    row of each width, and keys play no part: null and repeated ids keep their own zips. The
+    cover is measured first, width by width. What is small enough is broadcast, and points are
+    then never shuffled; otherwise both sides are shuffled by cell, where adaptive execution
+    splits cells with many points. The rows are the same either way.
     """
     if polygons is None:
         return _labelled(points.withColumn("_zip", F.lit(None).cast("string")))
     cover = cell_cover(polygons, cell)
-    rows, edges, wide_rows = cover.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.size("edges")), F.lit(0)), F.count_if("is_wide")
-    ).first()
+    # One row per width.
+    sizes = cover.groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(F.coalesce("edges", F.array()))).alias("edges"))
+    measured = {r["width"]: r["n"] * BYTES_PER_CANDIDATE + r["edges"] * BYTES_PER_EDGE for r in sizes.collect()}
     x, y = F.col(longitude), F.col(latitude)
-    placed = points.withColumns(
-        {"cell_x": F.floor(_number(x) / cell), "cell_y": F.floor(_number(y) / cell)}
-    )
-    # Candidates per cell come from the cover only, never from points.
-    by_cell = cover.filter("NOT is_wide").groupBy("cell_x", "cell_y").agg(
-        F.collect_list(F.struct("zip_code", "whole", "edges")).alias("_candidates")
-    )
-    by_wide = cover.filter("is_wide").groupBy(F.col("cell_x").alias("_wide_x"), F.col("cell_y").alias("_wide_y"))
-    by_wide = by_wide.agg(F.min("zip_code").alias("_around"))
-    if rows * BYTES_PER_CANDIDATE + edges * BYTES_PER_EDGE <= broadcast_limit:
-        by_cell, by_wide = F.broadcast(by_cell), F.broadcast(by_wide)
-    hits = F.filter("_candidates", lambda c: c.whole | inside(c.edges, x, y))
-    matched = placed.join(by_cell, ["cell_x", "cell_y"], "left").withColumn(
-        "_zip", F.array_min(F.transform(hits, lambda c: c.zip_code))
+    matched = points.withColumns(
+        {"cell_x": F.floor(_number(x) / cell), "cell_y": F.floor(_number(y) / cell), "_zip": F.lit(None).cast("string")}
     )
-    if wide_rows:
-        around = {"_wide_x": F.floor(F.col("cell_x") / WIDE), "_wide_y": F.floor(F.col("cell_y") / WIDE)}
-        matched = matched.drop("_candidates").withColumns(around).join(by_wide, ["_wide_x", "_wide_y"], "left")
-        matched = matched.withColumn("_zip", F.least("_zip", "_around")).drop("_wide_x", "_wide_y", "_around")
-    return _labelled(matched.drop("cell_x", "cell_y", "_candidates"))
+    for width in WIDTHS:
+        if width not in measured:
+            continue
+        # Candidates per cell come from the cover only, never from points.
+        cells = cover.filter(F.col("width") == width).groupBy(F.col("cell_x").alias("_at_x"), F.col("cell_y").alias("_at_y"))
+        if width > 1:
+            cells, hit = cells.agg(F.min("zip_code").alias("_candidates")), F.col("_candidates")
+        else:
+            cells = cells.agg(F.collect_list(F.struct("zip_code", "whole", "edges")).alias("_candidates"))
+            hits = F.filter("_candidates", lambda c: c.whole | inside(c.edges, x, y))
+            hit = F.array_min(F.transform(hits, lambda c: c.zip_code))
+        if measured[width] <= broadcast_limit:
+            cells = F.broadcast(cells)
+        at = {"_at_x": F.floor(F.col("cell_x") / width), "_at_y": F.floor(F.col("cell_y") / width)}
+        matched = matched.withColumns(at).join(cells, ["_at_x", "_at_y"], "left")
+        matched = matched.withColumn("_zip", F.least("_zip", hit)).drop("_at_x", "_at_y", "_candidates")
+    return _labelled(matched.drop("cell_x", "cell_y"))
 
 
 def _number(value: Column) -> Column:
