@@ -117,6 +117,33 @@ def test_secret_added_spans_and_no_python(spark):
     assert spans[300] == [("markov", hidden)] and spans[301] == []
 
 
+def test_threshold_from_held_out_strings(spark):
+    """The chosen ratio finds planted secrets that no pattern labels, and leaves ordinary tokens."""
+    rnd = random.Random(21)
+    pick = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = "load store table column first last index value customer order region total daily report".split()
+    plain = lambda: "_".join(rnd.choice(words) for _ in range(4)) + f"_{rnd.randrange(100)}"
+    number = lambda: pick("0123456789", 16)
+    texts, planted, ordinary = [], set(), set()
+    for i in range(1500):
+        named = {plain(), number(), plain()}
+        hidden = {pick(letters, 32)} if i % 10 == 0 else set()
+        texts.append(f"token={pick(letters, 32)} in " + " and ".join(sorted(named | hidden)))
+        planted |= hidden
+        ordinary |= named
+    docs = documents(spark, texts)
+    ratios = secrets.train(docs)
+    chosen = secrets.threshold(docs, ratios)
+    assert chosen.n_random > 200 and chosen.n_ordinary > 500 and chosen.recall > 0.95
+    spans = secrets.scan(docs, ratios, least=chosen.ratio).collect()
+    found = {texts[r.doc_id][s.start : s.end] for r in spans for s in r.spans if s.kind == "markov"}
+    assert len(found & planted) >= 0.95 * len(planted) and len(found & planted) >= 0.95 * len(found)
+    # No held-out string of either kind, or none at all: the fixed ratio.
+    for few in (documents(spark, []), documents(spark, ["token=abcdefgh", None])):
+        assert secrets.threshold(few, ratios).ratio == secrets.LEAST_RATIO
+
+
 def test_added_tokens_touch_no_base_span(spark):
     """With every token random enough, the added spans are the long tokens clear of base spans."""
     rnd = random.Random(11)

@@ -91,7 +91,9 @@ def op8_language_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return span_digests(secrets.scan(docs, secrets.train(docs)), secrets.KINDS, 3)
+    ratios = secrets.train(docs)
+    least = secrets.threshold(docs, ratios).ratio
+    return span_digests(secrets.scan(docs, ratios, least=least), secrets.KINDS, 3)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

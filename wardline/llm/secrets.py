@@ -4,7 +4,10 @@ All of it is column functions. Base kinds follow fixed patterns. The added kind
 long tokens with a digit that touch no base span, and compares how likely their characters follow
 each other in random strings and in ordinary identifiers (log-likelihood ratio per character).
 Both models are first-order, counted over all documents and backed off to single characters: strings that the base
-patterns label as secret values train the one, all other long tokens the other.
+patterns label as secret values train the one, other long tokens made of words and numbers (by the
+mean length of their pieces) the other; tokens that are neither, among them secrets no pattern
+labels, train none. Nor does a fifth of the strings, by their hash: these pick the ratio from which
+a token counts as random.
 
 Null text counts as empty and has no spans. Repeated rows and null ids give a row each. Without
 any sample both models are uniform, the ratio is 0 and nothing is added. Of other columns none
@@ -14,6 +17,7 @@ is read. Offsets count code points; ends are exclusive.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +34,15 @@ LEAST_VALUE = 6
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 #: The same tokens with a digit somewhere; the first look-behind keeps long tokens linear.
 TOKEN_WITH_DIGIT = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + TOKEN
-#: Nats per character from which a token counts as random.
+#: A word, capitalised or not, or a number; in an ordinary token they have so many characters on average.
+PIECE, PIECE_CHARS = "[A-Z]?[a-z]+|[A-Z]+|[0-9]+", 4
+#: Nats per character from which a token counts as random where no held-out string says otherwise.
 LEAST_RATIO = 0.3
+#: Strings with this remainder of crc32 are held out; thresholds are tried in steps up to a limit.
+FOLDS, HELD_OUT = 5, 0
+STEP, STEPS = 0.05, 60
+#: One share of ordinary tokens taken for random weighs like so many of random strings missed.
+FALSE_WEIGHT = 10
 _CODES = 128
 #: How many observations the single-character model counts as.
 _BACK = 32
@@ -118,20 +129,33 @@ def _values() -> Column:
     )
 
 
-def train(docs: DataFrame, text: str = "text") -> list[float]:
-    """Log-likelihood ratios of character pairs, at 128 * first + second, over all documents."""
+def _strings(docs: DataFrame, text: str) -> DataFrame:
+    """(random, t, held_out): secret values as labelled by the base patterns, and ordinary tokens."""
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("values", _values())
     # Assignments are taken out first, so their values need not be looked for among the tokens.
     rest = F.when(_may_assign(), F.regexp_replace("text", ASSIGN, " ")).otherwise(F.col("text"))
+
+    def worded(t: Column) -> Column:
+        return F.regexp_count(t, F.lit(PIECE)) * PIECE_CHARS <= F.regexp_count(t, F.lit("[A-Za-z0-9]"))
+
     ordinary = F.filter(
-        F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0)), lambda t: ~t.rlike(f"{ACCESS}|{HEX}")
+        F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0)), lambda t: ~t.rlike(f"{ACCESS}|{HEX}") & worded(t)
     )
     labelled = F.concat(
         F.transform("values", lambda v: F.struct(F.lit(1).alias("random"), v.alias("t"))),
         F.transform(ordinary, lambda v: F.struct(F.lit(0).alias("random"), v.alias("t"))),
     )
-    tokens = rows.select(F.explode(labelled).alias("x")).select("x.random", "x.t").filter(F.length("t") > 1)
+    strings = rows.select(F.explode(labelled).alias("x")).select("x.random", "x.t").filter(F.length("t") > 1)
+    return strings.withColumn("held_out", F.crc32(F.encode("t", "UTF-8")) % FOLDS == HELD_OUT)
+
+
+def train(docs: DataFrame, text: str = "text") -> list[float]:
+    """Log-likelihood ratios of character pairs, at 128 * first + second, over all documents.
+
+    Held-out strings are left out.
+    """
+    tokens = _strings(docs, text).filter("NOT held_out")
     pairs = tokens.select("random", F.explode(F.expr("transform(sequence(1, length(t) - 1), i -> substring(t, i, 2))")).alias("pair"))
     # At most 2 * 128 * 128 rows, whatever the input.
     counts = pairs.groupBy("random", "pair").count().collect()
@@ -154,8 +178,64 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     return [random_log[a][b] - ordinary_log[a][b] for a in range(_CODES) for b in range(_CODES)]
 
 
-def scan(docs: DataFrame, ratios: list[float], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, spans) with spans array<struct<start, kind_no, end, kind>> in order, one row per row."""
+def _table(ratios: list[float]) -> Column:
+    return F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
+
+
+def _score(token: Column, table: Column) -> Column:
+    """Nats per character pair; the token has two characters or more, of ASCII."""
+    places = F.sequence(F.lit(1), F.length(token) - 1)
+
+    def pair(i: Column) -> Column:
+        return F.ascii(F.substring(token, i, F.lit(1))) * _CODES + F.ascii(F.substring(token, i + 1, F.lit(1)))
+
+    return F.aggregate(places, F.lit(0.0), lambda s, i: s + table[pair(i)]) / (F.length(token) - 1)
+
+
+@dataclass(frozen=True)
+class Threshold:
+    """`ratio` nats per character, and what it makes of the held-out strings (shares; None: no string)."""
+
+    ratio: float
+    recall: float | None = None
+    false_share: float | None = None
+    n_random: int = 0
+    n_ordinary: int = 0
+
+
+def threshold(docs: DataFrame, ratios: list[float], text: str = "text") -> Threshold:
+    """The ratio that does best on held-out strings a scan would judge: recall - 10 * false share.
+
+    Of equally good ratios the highest is taken, and only ratios above 0 are tried. Strings count
+    as often as they occur.
+    """
+    judged = _strings(docs, text).filter("held_out").filter(F.col("t").rlike(f"^(?=.*[0-9]){TOKEN}$"))
+    score = _let(lambda v: _score(v["t"], v["table"]), t=F.col("t"), table=_table(ratios))
+    step = F.greatest(F.lit(0), F.least(F.lit(STEPS), F.floor(score / STEP))).alias("step")
+    # At most 2 * (STEPS + 1) rows.
+    counts = judged.select("random", step).groupBy("random", "step").count().collect()
+    seen = [[0] * (STEPS + 1) for _ in range(2)]
+    for r in counts:
+        seen[r["random"]][r["step"]] += r["count"]
+    n_ordinary, n_random = map(sum, seen)
+    if not n_ordinary or not n_random:
+        return Threshold(LEAST_RATIO, n_random=n_random, n_ordinary=n_ordinary)
+    best = None
+    for i in range(1, STEPS + 1):
+        recall, false = sum(seen[1][i:]) / n_random, sum(seen[0][i:]) / n_ordinary
+        worth = recall - FALSE_WEIGHT * false
+        if best is None or worth >= best[0]:
+            best = worth, Threshold(i * STEP, recall, false, n_random, n_ordinary)
+    return best[1]
+
+
+def scan(
+    docs: DataFrame, ratios: list[float], key: str = "doc_id", text: str = "text", least: float = LEAST_RATIO
+) -> DataFrame:
+    """(key, spans) with spans array<struct<start, kind_no, end, kind>> in order, one row per row.
+
+    Tokens of `least` nats per character or more are added.
+    """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = _found(rows, "assign", ASSIGN, _may_assign())
     rows = _found(rows, "access", ACCESS)
@@ -173,8 +253,7 @@ def scan(docs: DataFrame, ratios: list[float], key: str = "doc_id", text: str =
         )
 
     rows = rows.withColumn("base", F.concat(spans(assign, 0), spans(F.col("access"), 1), spans(F.col("hex"), 2)))
-    table = F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
-    rows = rows.withColumn("table", table)
+    rows = rows.withColumn("table", _table(ratios))
 
     def added(v: Column) -> Column:
         # Hex digits and access keys are token characters, so a token touches a span of theirs if
@@ -186,13 +265,7 @@ def scan(docs: DataFrame, ratios: list[float], key: str = "doc_id", text: str =
             inside = lambda b: meets(b[0], t, F.element_at(b, -1)) & F.exists(b, lambda a: meets(a, t))
             return t["text"].rlike(f"{ACCESS}|{HEX}") | F.coalesce(F.exists(v["blocks"], inside), F.lit(False))
 
-        def score(t: Column) -> Column:
-            places = F.sequence(F.lit(1), F.length(t["text"]) - 1)
-            pair = lambda i: F.ascii(F.substring(t["text"], i, F.lit(1))) * _CODES + F.ascii(F.substring(t["text"], i + 1, F.lit(1)))
-            ratio = F.aggregate(places, F.lit(0.0), lambda s, i: s + v["table"][pair(i)])
-            return ratio / (F.length(t["text"]) - 1)
-
-        return F.filter(v["token"], lambda t: ~touched(t) & (score(t) >= LEAST_RATIO))
+        return F.filter(v["token"], lambda t: ~touched(t) & (_score(t["text"], v["table"]) >= least))
 
     free = _let(added, token=F.col("token"), blocks=_blocks(assign), table=F.col("table"))
     every = F.sort_array(F.concat("base", spans(free, 3)))
