@@ -206,8 +206,8 @@ class Threshold:
 def threshold(docs: DataFrame, ratios: list[float], text: str = "text") -> Threshold:
     """The ratio that does best on held-out strings a scan would judge: recall - 10 * false share.
 
-    Of equally good ratios the highest is taken, and only ratios above 0 are tried. Strings count
-    as often as they occur.
+    Of equally good ratios the middle one is taken, away from both kinds; only ratios above 0 are
+    tried. Strings count as often as they occur.
     """
     judged = _strings(docs, text).filter("held_out").filter(F.col("t").rlike(f"^(?=.*[0-9]){TOKEN}$"))
     score = _let(lambda v: _score(v["t"], v["table"]), t=F.col("t"), table=_table(ratios))
@@ -220,13 +220,13 @@ def threshold(docs: DataFrame, ratios: list[float], text: str = "text") -> Thres
     n_ordinary, n_random = map(sum, seen)
     if not n_ordinary or not n_random:
         return Threshold(LEAST_RATIO, n_random=n_random, n_ordinary=n_ordinary)
-    best = None
+    tried = []
     for i in range(1, STEPS + 1):
         recall, false = sum(seen[1][i:]) / n_random, sum(seen[0][i:]) / n_ordinary
-        worth = recall - FALSE_WEIGHT * false
-        if best is None or worth >= best[0]:
-            best = worth, Threshold(i * STEP, recall, false, n_random, n_ordinary)
-    return best[1]
+        tried.append((recall - FALSE_WEIGHT * false, Threshold(i * STEP, recall, false, n_random, n_ordinary)))
+    best = max(worth for worth, _ in tried)
+    equal = [t for worth, t in tried if worth == best]
+    return equal[len(equal) // 2]
 
 
 def scan(
