@@ -71,6 +71,15 @@ def test_personal_query_columns(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in want) for i in range(4)]
 
 
+def test_personal_counts_by_kind(spark):
+    """Counts follow the kind of a span, not its place among the spans of its row."""
+    texts = ["", "10.0.0.1 10.0.0.2 10.0.0.3", "+1 (555) 010-9999 and a@b.co", "a@b.co " * 3, "0" * 5000 + "1.2.3.4"]
+    docs = documents(spark, texts)
+    got = span_digests(pii.scan(docs, pii.train(docs)), pii.KINDS, pii.BASE)
+    counts = {r.doc_id: [r.n_email, r.n_ip, r.n_card, r.n_phone] for r in got.collect()}
+    assert counts == {0: [0, 0, 0, 0], 1: [0, 3, 0, 0], 2: [1, 0, 0, 1], 3: [3, 0, 0, 0], 4: [0, 1, 0, 0]}
+
+
 def test_personal_added_spans(spark):
     texts = ["my phone: 030 123 4567 call"] * 30 + ["version 300-200-1000 of it"] * 30 + ["ssn 078-05-1120 ok"] * 5
     docs = documents(spark, texts)

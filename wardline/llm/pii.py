@@ -164,7 +164,7 @@ def votes(text: str, start: int, kind: int, end: int, lists: Gazetteers = KNOWN)
         shape = span.rpartition(".")[2].isalpha()
         known = span.rpartition(".")[2].lower() in lists.ending
     elif kind == 1:
-        shape = all(p == str(int(p)) for p in span.split("."))
+        shape = all(p == (p.lstrip("0") or "0") for p in span.split("."))
         known = not span.startswith(("0.", "127.", "255."))
     elif kind == 2:
         shape = len(digits) in (15, 16) and len(set(span) - set("0123456789")) < 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import alignment, bpe, jaccard, langid, lines, nsbounds, pieces, pii, pivots, rules, secrets, tiling, warc
@@ -34,10 +34,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def span_digests(found: DataFrame, kinds: tuple[str, ...], base: int) -> DataFrame:
     """The digest columns of a span query: the first `base` kinds count and are hashed."""
     fixed = F.filter("spans", lambda s: s["kind_no"] < base)
-    counts = [
-        F.size(F.filter("spans", lambda s, i=i: s["kind_no"] == i)).cast("long").alias(f"n_{kind}")
-        for i, kind in enumerate(kinds[:base])
-    ]
+
+    def number(kind_no: int) -> Column:
+        # A lambda with a second parameter, even one with a default, gets the element's place in it.
+        return F.size(F.filter("spans", lambda s: s["kind_no"] == kind_no)).cast("long")
+
+    counts = [number(i).alias(f"n_{kind}") for i, kind in enumerate(kinds[:base])]
     return found.select(
         "doc_id",
         *counts,
