@@ -6,6 +6,7 @@ import pytest
 from conftest import TESTDATA, plan_of
 
 from wardline.plans.registry import all_queries
+from wardline.plans.star import stored_star
 
 QUERIES = all_queries()
 
@@ -50,3 +51,25 @@ def test_scans_read_needed_columns_only(spark):
 def test_filters_reach_the_scan(spark):
     text = plan(spark, "q01_zip_month")
     assert "EqualTo(zip_code,NATION_7)" in text and "EqualTo(year_month,1998-05)" in text
+
+
+@pytest.mark.parametrize("name", ["stg_permits", "stg_inspections"])
+def test_text_is_made_after_the_dedup_shuffle(spark, name):
+    """The rows that are ranked, and so sorted and shuffled, hold no raw text but the key's."""
+    text = plan(spark, name)
+    limits = re.findall(r"\(\d+\) WindowGroupLimit[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", text)
+    assert limits
+    for columns in limits:
+        assert "l_orderkey" in columns and not re.search("street|s_name|n_name|owner|violation_description", columns)
+
+
+def test_stored_star_holds_no_raw_text(spark):
+    star = stored_star(spark, TESTDATA)
+    for name, table in (("permits", star.permit_rows), ("inspections", star.inspection_rows)):
+        assert table.latest and set(table.rows.columns) <= set(star.table("lineitem").columns), name
+
+
+def test_large_files_are_not_shuffled_before_the_text(spark, monkeypatch):
+    assert "REBALANCE" in plan(spark, "stg_permits").upper()
+    monkeypatch.setattr("wardline.plans.star.ONE_GROUP_BYTES", 0)
+    assert "REBALANCE" not in plan(spark, "stg_permits").upper()
