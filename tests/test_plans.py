@@ -5,6 +5,7 @@ import re
 import pytest
 from conftest import TESTDATA, plan_of
 
+from wardline.plans import registry, staging
 from wardline.plans.registry import all_queries
 from wardline.plans.star import stored_star
 
@@ -73,3 +74,15 @@ def test_large_files_are_not_shuffled_before_the_text(spark, monkeypatch):
     assert "REBALANCE" in plan(spark, "stg_permits").upper()
     monkeypatch.setattr("wardline.plans.star.ONE_GROUP_BYTES", 0)
     assert "REBALANCE" not in plan(spark, "stg_permits").upper()
+
+
+def held_at(spark, name, operator):
+    """The columns that come into each operator of this kind."""
+    return re.findall(rf"\(\d+\) {operator}[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", plan(spark, name))
+
+
+def test_permits_are_merged_before_their_text_is_made(spark):
+    inputs = held_at(spark, "upsert_merge", "Exchange") + held_at(spark, "upsert_merge", "Sort")
+    assert any("permit_sequence" in columns for columns in inputs)
+    for columns in inputs:
+        assert not re.search("owner_business|permittee|_source_file|street_name", columns)
