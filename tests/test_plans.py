@@ -86,3 +86,25 @@ def test_permits_are_merged_before_their_text_is_made(spark):
     assert any("permit_sequence" in columns for columns in inputs)
     for columns in inputs:
         assert not re.search("owner_business|permittee|_source_file|street_name", columns)
+
+
+def stored_columns(spark, monkeypatch, name):
+    """The columns of every batch of rows that a query stores by key."""
+    seen, real = [], registry.upsert.upsert
+
+    def upsert(session, root, updates, *args, **kw):
+        seen.append(set(updates.columns))
+        return real(session, root, updates, *args, **kw)
+
+    monkeypatch.setattr(registry.upsert, "upsert", upsert)
+    QUERIES[name](spark, TESTDATA)
+    return seen
+
+
+NARROW = {*staging.PERMIT_ROW, "year_month", "moved"}
+
+
+def test_upserted_permits_hold_no_raw_text(spark, monkeypatch):
+    lines = set(spark.read.parquet(f"{TESTDATA}/lineitem.parquet").columns)
+    seen = stored_columns(spark, monkeypatch, "upsert_stored")
+    assert len(seen) == 2 and all(columns <= lines | NARROW for columns in seen)
