@@ -108,3 +108,9 @@ def test_upserted_permits_hold_no_raw_text(spark, monkeypatch):
     lines = set(spark.read.parquet(f"{TESTDATA}/lineitem.parquet").columns)
     seen = stored_columns(spark, monkeypatch, "upsert_stored")
     assert len(seen) == 2 and all(columns <= lines | NARROW for columns in seen)
+
+
+def test_incremental_permits_hold_no_raw_text(spark, monkeypatch):
+    lines = set(spark.read.parquet(f"{TESTDATA}/lineitem.parquet").columns)
+    seen = stored_columns(spark, monkeypatch, "incremental_equals_full")
+    assert len(seen) == 2 and all(columns <= lines | NARROW for columns in seen)
