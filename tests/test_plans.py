@@ -114,3 +114,8 @@ def test_incremental_permits_hold_no_raw_text(spark, monkeypatch):
     lines = set(spark.read.parquet(f"{TESTDATA}/lineitem.parquet").columns)
     seen = stored_columns(spark, monkeypatch, "incremental_equals_full")
     assert len(seen) == 2 and all(columns <= lines | NARROW for columns in seen)
+
+
+def test_lookback_ranks_narrow_rows(spark):
+    ranked = held_at(spark, "lookback_recompute", "WindowGroupLimit")
+    assert ranked and not any(re.search("job_type|permit_key|zip_code|expiration", columns) for columns in ranked)
