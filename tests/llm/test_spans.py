@@ -269,6 +269,17 @@ def test_span_rich_texts_stay_cheap(spark):
     assert sizes == {0: 20_000, 1: 20_000} and time.monotonic() - start < 60
 
 
+def test_long_tokens_stay_cheap(spark):
+    texts = ["password=Zk3vQx81Lm", "deadbeef" * 125_000, "A1b2" * 250_000, "AKIA" * 250_000, "q" * 1_000_000]
+    docs = documents(spark, texts)
+    start = time.monotonic()
+    model = secrets.train(docs)
+    least = secrets.threshold(docs, model).ratio
+    found = span_digests(secrets.scan(docs, model, least=least), secrets.KINDS, 3).orderBy("doc_id").collect()
+    assert time.monotonic() - start < 60
+    assert [(r.n_assign, r.n_access, r.n_hex) for r in found] == [(1, 0, 0), (0, 0, 1), (0, 0, 0), (0, 1, 0), (0, 0, 0)]
+
+
 @pytest.mark.parametrize("operator", [pii, secrets])
 def test_repeated_and_null_ids(spark, operator):
     docs = documents(spark, ["mail a@b.cd", "mail a@b.cd", None, "token=abcdefgh"])

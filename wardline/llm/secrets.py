@@ -36,6 +36,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 TOKEN_WITH_DIGIT = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + TOKEN
 #: A word, capitalised or not, or a number; in an ordinary token they have so many characters on average.
 PIECE, PIECE_CHARS = "[A-Z]?[a-z]+|[A-Z]+|[0-9]+", 4
+#: Up to 1025 characters, of which all but the last are passed over.
+WINDOW = "(?=(.{2,1025})).{1,1024}"
 #: Nats per character from which a token counts as random where no held-out string says otherwise.
 LEAST_RATIO = 0.3
 #: Strings with this remainder of crc32 are held out; thresholds are tried in steps up to a limit.
@@ -156,7 +158,9 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     Held-out strings are left out.
     """
     tokens = _strings(docs, text).filter("NOT held_out")
-    pairs = tokens.select("random", F.explode(F.expr("transform(sequence(1, length(t) - 1), i -> substring(t, i, 2))")).alias("pair"))
+    # Windows share a character with the next one, so each pair lies in one of them and no array gets long.
+    windows = tokens.select("random", F.explode(F.regexp_extract_all("t", F.lit(WINDOW), F.lit(1))).alias("t"))
+    pairs = windows.select("random", F.explode(F.regexp_extract_all("t", F.lit("(?=(..))"), F.lit(1))).alias("pair"))
     # At most 2 * 128 * 128 rows, whatever the input.
     counts = pairs.groupBy("random", "pair").count().collect()
     model = [[[0] * _CODES for _ in range(_CODES)] for _ in range(2)]
@@ -183,13 +187,15 @@ def _table(ratios: list[float]) -> Column:
 
 
 def _score(token: Column, table: Column) -> Column:
-    """Nats per character pair; the token has two characters or more, of ASCII."""
-    places = F.sequence(F.lit(1), F.length(token) - 1)
+    """Nats per character pair; the token has two characters or more, of ASCII. Characters are taken
+    from an array: a substring's place is looked for from the start, which long tokens cannot bear."""
 
-    def pair(i: Column) -> Column:
-        return F.ascii(F.substring(token, i, F.lit(1))) * _CODES + F.ascii(F.substring(token, i + 1, F.lit(1)))
+    def summed(v: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(v["codes"]) - 1)
+        total = F.aggregate(places, F.lit(0.0), lambda s, i: s + table[v["codes"][i - 1] * _CODES + v["codes"][i]])
+        return total / (F.size(v["codes"]) - 1)
 
-    return F.aggregate(places, F.lit(0.0), lambda s, i: s + table[pair(i)]) / (F.length(token) - 1)
+    return _let(summed, codes=F.transform(F.split(token, ""), F.ascii))
 
 
 @dataclass(frozen=True)
