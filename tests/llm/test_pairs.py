@@ -134,6 +134,17 @@ def test_banded_distance():
         assert lines.distance(a, b, k) == min(plain_distance(a, b), k + 1)
 
 
+def test_line_keys_hash_each_place_once(monkeypatch):
+    hashed, seen = lines.xxhash.xxh3_64_intdigest, []
+    monkeypatch.setattr(lines.xxhash, "xxh3_64_intdigest", lambda part, seed: seen.append((part, seed)) or hashed(part, seed))
+    for line in ["abcdefghij", "the quick brown fox jumps", "für größere Zeilen über 20 Zeichen", "a" * 40, "short"]:
+        seen.clear()
+        keys = lines.line_keys(line)
+        assert len(seen) == len(lines._probe_places(len(line))) and len(keys) == len(set(seen))
+        own = {hashed(line[a:b].encode(), len(line) * 8 + i) for i, a, b in lines._own_places(len(line))}
+        assert own <= set(keys)
+
+
 def test_line_classes(spark, monkeypatch):
     monkeypatch.setattr(lines, "BLOCK", 400)
     rnd = random.Random(6)

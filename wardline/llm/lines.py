@@ -39,6 +39,11 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+def _normal_lines(text: str) -> list[str]:
+    """`normal` of each line; no letter's lower case depends on what is beyond a line break."""
+    return [" ".join(line.split()) for line in text.lower().split("\n")]
+
+
 def edits(length: int) -> int:
     """The distance allowed where the shorter line has this length."""
     return min(MOST_EDITS, length // CHARS_PER_EDIT)
@@ -64,6 +69,7 @@ def places(n: int, length: int, most: int) -> Iterator[tuple[int, int, int]]:
 
 _own: dict[int, list] = {}
 _probes: dict[int, list] = {}
+_seeds: dict[int, list] = {}
 
 
 def _own_places(n: int) -> list[tuple[int, int, int]]:
@@ -83,12 +89,19 @@ def _probe_places(n: int) -> list[tuple[int, int, int, int]]:
     return _probes[n]
 
 
+def _probe_seeds(n: int) -> list[tuple[int, int, int]]:
+    if n not in _seeds:
+        _seeds[n] = [(a, b, m * 8 + i) for m, i, a, b in _probe_places(n)]
+    return _seeds[n]
+
+
 def line_keys(line: str) -> list[int]:
-    """64-bit keys of a line's own segments and of its probes, each once."""
-    n, hashed = len(line), xxhash.xxh3_64_intdigest
-    found = {hashed(line[a:b].encode(), n * 8 + i) for i, a, b in _own_places(n)}
-    found.update(hashed(line[a:b].encode(), m * 8 + i) for m, i, a, b in _probe_places(n))
-    return [k - (1 << 64) if k >> 63 else k for k in found]
+    """64-bit keys (unsigned) of a line's own segments and of its probes, each once. Its own segments
+    are probes too, those for lines of the same length."""
+    hashed, n, raw = xxhash.xxh3_64_intdigest, len(line), line.encode()
+    if len(raw) == n:
+        return list({hashed(raw[a:b], seed) for a, b, seed in _probe_seeds(n)})
+    return list({hashed(line[a:b].encode(), seed) for a, b, seed in _probe_seeds(n)})
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -160,36 +173,39 @@ def edit_links(lines: list[str], side: list[int] | None = None) -> Iterator[tupl
             index[n, i, line[a:b]].append(k)
 
 
+def _signed(hashes: list[int]) -> np.ndarray:
+    return np.array(hashes, np.uint64).view(np.int64)
+
+
 def _id(line: str) -> int:
-    h = xxhash.xxh3_64_intdigest(line.encode())
-    return h - (1 << 64) if h >> 63 else h
+    """Unsigned, as `_signed` takes it."""
+    return xxhash.xxh3_64_intdigest(line.encode())
 
 
 def _occurrences(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                doc, no, ids, chars = [], [], [], []
-                for k, text in enumerate(part.column("text").to_pylist()):
-                    for i, line in enumerate(text.split("\n")):
-                        line = normal(line)
-                        doc.append(k)
-                        no.append(i)
-                        ids.append(_id(line) if line else None)
-                        chars.append(len(line))
-                at = pa.array(doc, pa.int64())
-                yield record(schema, part.column(0).take(at), part.column(1).take(at), no, ids, chars)
+                found = [_normal_lines(text) for text in part.column("text").to_pylist()]
+                counts = np.array([len(f) for f in found])
+                every = [line for f in found for line in f]
+                at = pa.array(np.repeat(np.arange(len(found)), counts))
+                no = np.arange(len(every)) - np.repeat(np.cumsum(counts) - counts, counts)
+                chars = np.array([len(line) for line in every], np.int32)
+                ids = pa.array(_signed([_id(line) for line in every]), mask=chars == 0)
+                yield record(
+                    schema, part.column(0).take(at), part.column(1).take(at), no.astype(np.int32), ids, chars
+                )
 
     return run
 
 
 def _lines_of(batches: Iterator[pa.RecordBatch], seen: set) -> Iterator[tuple[int, str]]:
-    """Distinct non-blank lines of a task, up to what its memory of them holds."""
+    """Distinct non-blank lines of a task with their ids, up to what its memory of them holds."""
     for batch in batches:
         for part in slices(batch, "text"):
             for text in part.column("text").to_pylist():
-                for line in text.split("\n"):
-                    line = normal(line)
+                for line in _normal_lines(text):
                     if line and (k := _id(line)) not in seen:
                         if len(seen) > 200_000:
                             seen.clear()
@@ -199,16 +215,21 @@ def _lines_of(batches: Iterator[pa.RecordBatch], seen: set) -> Iterator[tuple[in
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
-    keys, ids = [], []
+    keys, ids, sizes = [], [], []
+
+    def packed() -> pa.RecordBatch:
+        return record(schema, _signed(keys), np.repeat(_signed(ids), sizes))
+
     for k, line in _lines_of(batches, set()):
         own = line_keys(line)
         keys += own
-        ids += [k] * len(own)
+        ids.append(k)
+        sizes.append(len(own))
         if len(keys) > 50_000:
-            yield record(schema, keys, ids)
-            keys, ids = [], []
+            yield packed()
+            keys, ids, sizes = [], [], []
     if keys:
-        yield record(schema, keys, ids)
+        yield packed()
 
 
 def _texts(wanted):
@@ -216,17 +237,18 @@ def _texts(wanted):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
-        out, size = [], 0
+        ids, lines, size = [], [], 0
         for k, line in _lines_of(batches, set()):
             cell = k % CELLS
             if bits[cell >> 3] >> (cell & 7) & 1:
-                out.append((k, line))
+                ids.append(k)
+                lines.append(line)
                 size += len(line)
                 if size > 1 << 20:
-                    yield record(schema, *zip(*out))
-                    out, size = [], 0
-        if out:
-            yield record(schema, *zip(*out))
+                    yield record(schema, _signed(ids), lines)
+                    ids, lines, size = [], [], 0
+        if ids:
+            yield record(schema, _signed(ids), lines)
 
     return run
 
