@@ -5,7 +5,8 @@ import re
 import pytest
 from conftest import TESTDATA, plan_of
 
-from wardline.plans import registry, staging
+from wardline import context
+from wardline.plans import registry, staging, star as star_plan
 from wardline.plans.registry import all_queries
 from wardline.plans.star import stored_star
 
@@ -119,3 +120,30 @@ def test_incremental_permits_hold_no_raw_text(spark, monkeypatch):
 def test_lookback_ranks_narrow_rows(spark):
     ranked = held_at(spark, "lookback_recompute", "WindowGroupLimit")
     assert ranked and not any(re.search("job_type|permit_key|zip_code|expiration", columns) for columns in ranked)
+
+
+def test_inspections_are_ranked_without_the_text_of_their_type(spark):
+    text = plan(spark, "stg_inspections")
+    ranked = re.findall(r"\(\d+\) WindowGroupLimit[^\n]*\nInput \[\d+\]: \[[^\n]*\]\nArguments: ([^\n]*)", text)
+    assert ranked and "Re-inspection" in text
+    typed = set(re.findall(r"THEN Re-inspection ELSE Initial END AS (inspection_type#\d+)", text))
+    assert typed and not any(column in arguments for column in typed for arguments in ranked)
+
+
+@pytest.mark.parametrize(("own", "seen"), [("128MB", 32 << 20), ("1g", 32 << 20), ("4m", 4 << 20), ("1000", 1000)])
+def test_stored_tables_are_built_from_bounded_splits(spark, own, seen):
+    """A task's sort holds as many rows of a large file as of a small one; the setting is handed back."""
+    before = spark.conf.get(context.MAX_SPLIT)
+    sizes = []
+
+    def build(base):
+        sizes.append(spark.conf.get(context.MAX_SPLIT))
+        raise RuntimeError("stop")
+
+    spark.conf.set(context.MAX_SPLIT, own)
+    try:
+        with pytest.raises(RuntimeError):
+            star_plan._once(spark, f"probe-{own}", TESTDATA, build)
+        assert sizes == [f"{seen}b"] and spark.conf.get(context.MAX_SPLIT) == own
+    finally:
+        spark.conf.set(context.MAX_SPLIT, before)
