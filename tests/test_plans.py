@@ -147,3 +147,8 @@ def test_stored_tables_are_built_from_bounded_splits(spark, own, seen):
         assert sizes == [f"{seen}b"] and spark.conf.get(context.MAX_SPLIT) == own
     finally:
         spark.conf.set(context.MAX_SPLIT, before)
+
+
+def test_checks_of_all_layers_read_stored_tables_only(spark):
+    text = plan(spark, "dq_all_layers")
+    assert "/permits_rows" in text and "/lineitem.parquet" not in text and "/orders.parquet" not in text

@@ -1,8 +1,9 @@
 import datetime as dt
 import json
+import re
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from wardline import fixed_values as fv
@@ -48,6 +49,26 @@ def test_unique_and_relationship(spark, table):
     assert rows(joins.orphan_rows(table, parent, {"grade": "code"}), "grade") == [("Q",)]
 
 
+def test_unique_keys_of_any_text(spark):
+    """MD5s are counted by their bytes; what only looks like one, or has those bytes, is another key."""
+    md5 = "900150983cd24fb0d6963f7d28e17f72"
+    keys = [
+        *[md5, md5, None, None, "", "", "A" * 32, "A" * 32, "é" * 16, "é" * 16],
+        *[md5.upper(), md5[:30], md5 + "00", "a" * 32, "0" * 32, "0" * 31, "g" * 32, " " + md5[1:]],
+    ]
+    table = spark.createDataFrame([(k, i % 2) for i, k in enumerate(keys)], "key string, turn int")
+    assert rows(quality.unique_check(table, "t", ["key"]), "failures") == [(5,)]
+    assert rows(quality.unique_check(table, "t", ["key", "turn"]), "failures") == [(0,)]
+    assert rows(quality.unique_check(table.union(table), "t", ["turn", "key"]), "failures") == [(len(keys),)]
+
+
+def test_md5_keys_are_shuffled_as_bytes(spark):
+    table = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("key"))
+    text = plan_of(quality.unique_check(table, "t", ["key"]))
+    shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\n]*)\]", text)
+    assert any("_md5_0" in columns for columns in shuffled)
+
+
 def test_severity(table):
     warn = quality.run_checks(table, "t", [quality.not_null("id", quality.WARN)])
     assert quality.enforce(warn) == ["t.not_null:id"]
