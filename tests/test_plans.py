@@ -152,3 +152,17 @@ def test_stored_tables_are_built_from_bounded_splits(spark, own, seen):
 def test_checks_of_all_layers_read_stored_tables_only(spark):
     text = plan(spark, "dq_all_layers")
     assert "/permits_rows" in text and "/lineitem.parquet" not in text and "/orders.parquet" not in text
+
+
+def test_replayed_history_is_built_from_bounded_splits(spark, monkeypatch):
+    seen = []
+
+    def replayed(star):
+        seen.append(spark.conf.get(context.MAX_SPLIT))
+        return star.dates
+
+    known = {k: v for k, v in star_plan._stored.items() if k[1] != "replay"}
+    monkeypatch.setattr(star_plan, "_stored", known)
+    monkeypatch.setattr(registry, "_replayed", replayed)
+    tree = plan(spark, "scd2_history").split("\n\n")[0]
+    assert seen == [f"{32 << 20}b"] and "Exchange" not in tree and "WindowGroupLimit" not in tree
