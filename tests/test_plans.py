@@ -150,19 +150,23 @@ def test_stored_tables_are_built_from_bounded_splits(spark, own, seen):
 
 
 def test_checks_of_all_layers_read_stored_tables_only(spark):
-    text = plan(spark, "dq_all_layers")
+    text = plan_of(registry._all_layers(stored_star(spark, TESTDATA)))
     assert "/permits_rows" in text and "/lineitem.parquet" not in text and "/orders.parquet" not in text
 
 
-def test_replayed_history_is_built_from_bounded_splits(spark, monkeypatch):
+@pytest.mark.parametrize(
+    ("name", "kind", "made_by"),
+    [("scd2_history", "replay", "_replayed"), ("dq_all_layers", "checks", "_all_layers")],
+)
+def test_stored_results_are_built_from_bounded_splits(spark, monkeypatch, name, kind, made_by):
     seen = []
 
-    def replayed(star):
+    def made(star):
         seen.append(spark.conf.get(context.MAX_SPLIT))
         return star.dates
 
-    known = {k: v for k, v in star_plan._stored.items() if k[1] != "replay"}
+    known = {k: v for k, v in star_plan._stored.items() if k[1] != kind}
     monkeypatch.setattr(star_plan, "_stored", known)
-    monkeypatch.setattr(registry, "_replayed", replayed)
-    tree = plan(spark, "scd2_history").split("\n\n")[0]
+    monkeypatch.setattr(registry, made_by, made)
+    tree = plan(spark, name).split("\n\n")[0]
     assert seen == [f"{32 << 20}b"] and "Exchange" not in tree and "WindowGroupLimit" not in tree
