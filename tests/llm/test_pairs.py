@@ -145,6 +145,14 @@ def test_line_keys_hash_each_place_once(monkeypatch):
         assert own <= set(keys)
 
 
+def test_line_keys_of_one_line_are_not_stored(spark):
+    """Keys move once: rows of a key that no other line has end there, repeats of one line included."""
+    rows = [(1, 10), (1, 11), (2, 10), (3, 12), (3, 12), (4, 11), (4, 10), (4, 10)]
+    shared = lines._shared(spark.createDataFrame(rows, "key long, id long"))
+    assert shared._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(key") == 1
+    assert set(map(tuple, shared.collect())) == {(1, 10), (1, 11), (4, 11), (4, 10)}
+
+
 def test_line_classes(spark, monkeypatch):
     monkeypatch.setattr(lines, "BLOCK", 400)
     rnd = random.Random(6)

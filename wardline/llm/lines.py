@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import CELLS, bitmap, map_batches, map_groups, record, slices, stored
@@ -268,6 +268,14 @@ def _verify(group: pa.Table) -> pa.Table:
     )
 
 
+def _shared(keys: DataFrame) -> DataFrame:
+    """The (key, id) whose key another id has too. Most keys are one line's alone, so all of them move
+    and are sorted once, and nothing is stored of those."""
+    same = Window.partitionBy("key")
+    ends = keys.withColumns({"low": F.min("id").over(same), "high": F.max("id").over(same)})
+    return ends.filter("low < high").select("key", "id")
+
+
 def line_classes(docs: DataFrame) -> DataFrame:
     """One row per line of `docs` (doc_id, text), repeated rows once.
 
@@ -283,7 +291,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     occurrences = stored(found, "line-occurrences")
     keys = map_batches(rows.select("text"), _keys, "key long, id long")
     sizes = occurrences.filter("id is not null").groupBy("id").agg(F.max("chars").alias("weight"))
-    home, pairs = block_pairs(stored(keys, "line-keys"), sizes, BLOCK)
+    home, pairs = block_pairs(stored(_shared(keys), "line-keys"), sizes, BLOCK)
     members = pairs.select(F.col("a").alias("block")).union(pairs.select("b")).distinct()
     candidates = stored(home.join(members, "block", "left_semi").select("id"), "line-candidates")
     wanted = spark.sparkContext.broadcast(bitmap(candidates, "id"))
