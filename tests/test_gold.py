@@ -1,13 +1,15 @@
 import datetime as dt
 
 import pytest
-from conftest import one, rows
+from conftest import TESTDATA, one, rows
 from pyspark.sql import functions as F
 
 from wardline.operators.ranking import ranked_share, top_ranked
 from wardline.operators.spine import month_rows
-from wardline.plans import analysis, dims, kpi, marts, staging
+from wardline.plans import analysis, dims, kpi, marts, monthly, staging
 from wardline.plans.fact import fact_neighborhood_monthly, pulse_score
+from wardline.plans.registry import all_queries
+from wardline.plans.star import stored_star
 
 COMPLAINTS = (
     "zip_code string, year_month string, total_complaints bigint, noise_complaints bigint, "
@@ -188,6 +190,35 @@ def test_lag_uses_calendar_months(spark):
     ]
 
 
+def test_dense_lag_looks_at_permit_months_and_back_on_quiet_ones(spark):
+    complaints = spark.createDataFrame(
+        [("1", "2024-01", 5, 2, 0, 1, 3.5, 1, 4), ("1", "2024-04", 4, 3, 0, 2, None, 0, 4)], COMPLAINTS
+    )
+    permits = spark.createDataFrame([("1", "2024-02", 6, 5, 4, 0, 0), ("2", "2024-01", 9, 8, 7, 0, 0)], PERMITS)
+    months = [f"2024-0{m}" for m in range(1, 6)]
+    grid = spark.createDataFrame([(z, m) for z in "123" for m in months], "zip_code string, year_month string")
+    lags = analysis.complaint_permit_lag(monthly.complaints_or_permits(complaints, permits), grid)
+    got = rows(lags, "zip_code", "year_month", *analysis.LAG_COLUMNS)
+    assert got == [
+        ("1", "2024-01", 2, 1, 5, 0, None, None, None, None, None),
+        ("1", "2024-02", 0, 0, 0, 4, 0, 0, 0, None, None),
+        ("1", "2024-04", 3, 2, 4, 0, 0, 0, 0, 4, 6),
+        ("2", "2024-01", 0, 0, 0, 7, None, None, None, None, None),
+    ]
+
+
+def test_dense_lag_query_covers_all_active_months(spark):
+    star = stored_star(spark, TESTDATA)
+    dense = all_queries()["lag_join_dense"](spark, TESTDATA)
+    placed = [df.select("zip_code", "year_month") for df in (star.monthly_complaints, star.monthly_permits)]
+    months = rows(placed[0].union(placed[1]).distinct())
+    assert rows(dense, "zip_code", "year_month") == months and len(months) > star.pairs.count()
+    first = one(star.dates.agg(F.min("year_month")))[0]
+    late = dense.filter(F.col("year_month") > first)
+    assert late.filter(F.col("total_permits_t_minus_1").isNull()).isEmpty()
+    assert one(dense.agg(F.sum("new_building_count_t"))) == one(star.monthly_permits.agg(F.sum("new_building_count")))
+
+
 def test_newest_restaurant_row(raw, ctx):
     df = raw(
         "inspections",
